@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.functions.common import round6
+
 DEFAULT_AS_OF = dt.date(2024, 1, 31)
 
 
@@ -26,8 +28,7 @@ def since(df: DataFrame, as_of: dt.date, days: int) -> DataFrame:
     return df.filter(_date(df) >= F.date_sub(F.lit(as_of), days))
 
 
-def r6(c: Column) -> Column:
-    return F.round(c, 6)
+r6 = round6
 
 
 def daily_events_summary(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, days: int = 30) -> DataFrame:

@@ -7,8 +7,9 @@ every oracle query is an independent SQL statement over them.
 
 from __future__ import annotations
 
+from cadenza.functions import derive_simple as S
 from cadenza.functions.derive_full import AD_SUPPORTED_PLATFORMS, PREMIUM_PLATFORMS
-from cadenza.schemas import GENRES_A, PLATFORMS_A, PLATFORMS_B
+from cadenza.schemas import EVENT_TYPES_A, GENRES_A, PLATFORMS_A, PLATFORMS_B
 from cadenza.sources import adapter as A
 
 AS_OF = "DATE '2024-01-31'"
@@ -131,8 +132,133 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["platform_performance"] = with_raw(f"""
 SELECT platform, COUNT(*) AS total_events, COUNT(DISTINCT user_id) AS unique_users,
-  ROUND(AVG(engagement_score), 6) AS avg_engagement,
-  ROUND(SUM(played_duration_ms) / 1000 / 3600, 6) AS total_hours_streamed,
-  ROUND(COUNT(CASE WHEN is_full_play THEN 1 END) / COUNT(*), 6) AS completion_rate
+  CAST(ROUND(CAST(AVG(engagement_score) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_engagement,
+  CAST(ROUND(CAST(SUM(played_duration_ms) / 1000 / 3600 AS DECIMAL(38,12)), 6) AS DOUBLE) AS total_hours_streamed,
+  CAST(ROUND(CAST(COUNT(CASE WHEN is_full_play THEN 1 END) / COUNT(*) AS DECIMAL(38,12)), 6) AS DOUBLE) AS completion_rate
 FROM raw_a WHERE CAST("timestamp" AS DATE) >= {AS_OF} - INTERVAL 7 DAY
 GROUP BY platform ORDER BY total_events DESC""")
+
+
+def dist_json(col: str, values) -> str:
+    """A2 in SQL: JSON object of non-zero counts in the order of ``values``."""
+    parts = ", ".join(
+        f"CASE WHEN count_if({col} = '{v}') > 0 THEN '\"{v}\":' || CAST(count_if({col} = '{v}') AS VARCHAR) END"
+        for v in values)
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
+
+
+ORACLE["raw_music_events"] = with_raw("SELECT * FROM raw_a")
+
+ORACLE["daily_events_summary"] = with_raw(f"""
+SELECT CAST("timestamp" AS DATE) AS event_date, COUNT(*) AS total_events,
+  COUNT(DISTINCT user_id) AS unique_users, COUNT(DISTINCT track_id) AS unique_tracks,
+  COUNT(DISTINCT artist_id) AS unique_artists, CAST(ROUND(CAST(AVG(engagement_score) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_engagement,
+  CAST(SUM(CASE WHEN event_type = 'play' THEN 1 ELSE 0 END) AS BIGINT) AS total_plays,
+  CAST(SUM(CASE WHEN event_type = 'skip' THEN 1 ELSE 0 END) AS BIGINT) AS total_skips,
+  CAST(SUM(CASE WHEN event_type = 'like' THEN 1 ELSE 0 END) AS BIGINT) AS total_likes
+FROM raw_a WHERE CAST("timestamp" AS DATE) >= {AS_OF} - INTERVAL 30 DAY
+GROUP BY CAST("timestamp" AS DATE) ORDER BY event_date DESC""")
+
+ORACLE["top_tracks_weekly"] = with_raw(f"""
+SELECT track_id, track_name, artist_name, COUNT(*) AS play_count,
+  COUNT(DISTINCT user_id) AS unique_listeners, CAST(ROUND(CAST(AVG(engagement_score) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_engagement,
+  CAST(ROUND(CAST(AVG(play_completion_ratio) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_completion
+FROM raw_a WHERE CAST("timestamp" AS DATE) >= {AS_OF} - INTERVAL 7 DAY AND event_type = 'play'
+GROUP BY track_id, track_name, artist_name
+HAVING COUNT(*) >= 10
+ORDER BY play_count DESC, avg_engagement DESC, track_id LIMIT 100""")
+
+ORACLE["event_window_metrics"] = with_raw(f"""
+SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS window_start,
+  time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE AS window_end,
+  COUNT(*) AS total_events, COUNT(DISTINCT user_id) AS unique_users,
+  COUNT(DISTINCT track_id) AS unique_tracks,
+  {dist_json('platform', PLATFORMS_A)} AS platform_distribution,
+  {dist_json('event_type', EVENT_TYPES_A)} AS event_type_distribution,
+  COALESCE(CAST(ROUND(CAST(AVG(engagement_score) AS DECIMAL(38,12)), 6) AS DOUBLE), 0.0) AS average_engagement_score,
+  MIN("timestamp") AS first_event_ts, MAX("timestamp") AS last_event_ts
+FROM raw_a GROUP BY time_bucket(INTERVAL 1 MINUTE, "timestamp")""")
+
+# --- shape B -----------------------------------------------------------------
+LOOSE_B = f"""
+loose_b AS (
+  SELECT 'evt-' || CAST(e AS VARCHAR) AS event_id, {TYPE_B} AS event_type,
+    {TITLE} AS track_title, {ARTIST} AS artist_name,
+    {pick(A.GENRE_POOL_B, 'k % 10')} AS genre,
+    {pick(PLATFORMS_B, 'u % 4')} AS platform,
+    {pick(A.CITIES, 'u % 5')} AS user_location,
+    strftime(t, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp"
+  FROM keyed
+)"""
+
+
+def _case_map(expr: str, table: dict, default) -> str:
+    def lit(v):
+        return f"CAST({v} AS DOUBLE)" if isinstance(v, float) else "'" + v + "'"
+    arms = " ".join(f"WHEN {expr} = '{k}' THEN {lit(v)}" for k, v in table.items())
+    return f"CASE {arms} ELSE {lit(default)} END"
+
+
+def _bands(value: bool) -> str:
+    arms = " ".join(f"WHEN hr BETWEEN {lo} AND {hi} THEN " + (f"CAST({m} AS DOUBLE)" if value else f"'{n}'")
+                    for lo, hi, n, m in S.TIME_BANDS)
+    null_v = "CAST(1.0 AS DOUBLE)" if value else "'unknown'"
+    other = "CAST(1.0 AS DOUBLE)" if value else "'other'"
+    return f"CASE WHEN hr IS NULL THEN {null_v} {arms} ELSE {other} END"
+
+
+def _level(expr: str) -> str:
+    return f"CASE WHEN {expr} > 1.5 THEN 'high' WHEN {expr} > 0.8 THEN 'medium' ELSE 'low' END"
+
+
+def processed_b(level_on: str = "adjusted") -> str:
+    loc_arms = " ".join(
+        "WHEN " + " OR ".join(f"loc LIKE '%{n}%'" for n in needles) + f" THEN base * CAST({m} AS DOUBLE)"
+        for needles, m in S.LOCATION_BONUS)
+    level_src = "engagement_score * time_multiplier" if level_on == "adjusted" else "engagement_score"
+    return KEYED + "," + LOOSE_B + f""",
+proc0 AS (
+  SELECT *, {_case_map('event_type', S.ENGAGEMENT_BY_TYPE, S.DEFAULT_ENGAGEMENT)} AS base,
+    lower(coalesce(user_location, '')) AS loc,
+    hour(TRY_CAST("timestamp" AS TIMESTAMP)) AS hr
+  FROM loose_b
+),
+proc1 AS (
+  SELECT *, CASE {loc_arms} ELSE base END AS engagement_score,
+    {_bands(False)} AS time_context, {_bands(True)} AS time_multiplier,
+    {_case_map("lower(coalesce(genre, ''))", S.GENRE_POPULARITY, S.DEFAULT_GENRE_POPULARITY)} AS genre_popularity
+  FROM proc0
+),
+processed AS (
+  SELECT event_id, event_type, track_title, artist_name, genre, platform, user_location, "timestamp",
+    engagement_score, {_level(level_src)} AS engagement_level,
+    genre_popularity, genre_popularity > 0.7 AS is_popular_genre,
+    {_case_map("lower(coalesce(platform, ''))", S.PLATFORM_QUALITY, 'unknown')} AS platform_quality,
+    lower(coalesce(platform, '')) IN {inlist(S.PREMIUM_PLATFORMS_B)} AS is_premium_platform,
+    time_context, time_multiplier, engagement_score * time_multiplier AS adjusted_engagement,
+    TRY_CAST("timestamp" AS TIMESTAMP) AS event_ts
+  FROM proc1
+)"""
+
+
+def with_processed(body: str, level_on: str = "adjusted") -> str:
+    return "WITH " + processed_b(level_on) + "\n" + body
+
+
+ORACLE["processed_events"] = with_processed("SELECT * EXCLUDE (event_ts) FROM processed")
+ORACLE["processed_events_base_level"] = with_processed("SELECT * EXCLUDE (event_ts) FROM processed", "base")
+
+
+def _keyed_window(key: str, agg: str) -> str:
+    b = "time_bucket(INTERVAL 5 MINUTE, event_ts)"
+    return with_processed(f"""
+SELECT {b} AS window_start, {b} + INTERVAL 5 MINUTE AS window_end,
+  coalesce({key}, 'unknown') AS {key}, COUNT(*) AS count, {agg}
+FROM processed WHERE event_ts IS NOT NULL
+GROUP BY {b}, coalesce({key}, 'unknown')""")
+
+
+ORACLE["engagement_metrics"] = _keyed_window("event_type", "CAST(ROUND(CAST(AVG(engagement_score) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_engagement")
+ORACLE["genre_metrics"] = _keyed_window("genre", "CAST(ROUND(CAST(AVG(genre_popularity) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_popularity")
+ORACLE["platform_metrics"] = _keyed_window(
+    "platform", "CAST(ROUND(CAST(AVG(CAST(is_premium_platform AS DOUBLE)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS premium_ratio")

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.functions.derive_full import raw_music_events
-from cadenza.operators import reports
-from cadenza.sources.adapter import nested_events_a, read_events
+from cadenza.functions.derive_full import derive_fields, raw_music_events
+from cadenza.functions.derive_simple import loose_parse_b, processed_events
+from cadenza.operators import metrics, reports
+from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,9 +40,60 @@ def to_ntz(df: DataFrame) -> DataFrame:
 def raw_a(spark: SparkSession, sf_dir: str, days: int | None = None, as_of: dt.date = AS_OF) -> DataFrame:
     """The 50-column raw table, optionally only the last ``days`` days (pushed to the scan)."""
     since = as_of - dt.timedelta(days=days) if days is not None else None
-    return raw_music_events(nested_events_a(read_events(spark, sf_dir, since=since)))
+    return derive_fields(flat_events_a(read_events(spark, sf_dir, since=since)))
 
 
 @register("platform_performance")
 def q_platform_performance(spark, sf_dir):
     return reports.platform_performance(raw_a(spark, sf_dir, 7), AS_OF)
+
+
+def processed_b(spark: SparkSession, sf_dir: str, level_on: str = "adjusted") -> DataFrame:
+    """Shape B events through the loose parse and Q1-Q8."""
+    return processed_events(loose_parse_b(nested_events_b(read_events(spark, sf_dir))), level_on)
+
+
+@register("raw_music_events")
+def q_raw_music_events(spark, sf_dir):
+    # nested message -> P1 flatten -> P2-P6, the full 50-column raw table
+    return raw_music_events(nested_events_a(read_events(spark, sf_dir)))
+
+
+@register("daily_events_summary")
+def q_daily_events_summary(spark, sf_dir):
+    return reports.daily_events_summary(raw_a(spark, sf_dir, 30), AS_OF)
+
+
+@register("top_tracks_weekly")
+def q_top_tracks_weekly(spark, sf_dir):
+    return reports.top_tracks_weekly(raw_a(spark, sf_dir, 7), AS_OF)
+
+
+@register("event_window_metrics")
+def q_event_window_metrics(spark, sf_dir):
+    return metrics.window_metrics(raw_a(spark, sf_dir))
+
+
+@register("processed_events")
+def q_processed_events(spark, sf_dir):
+    return processed_b(spark, sf_dir).drop("processing_time")
+
+
+@register("processed_events_base_level")
+def q_processed_events_base_level(spark, sf_dir):
+    return processed_b(spark, sf_dir, "base").drop("processing_time")
+
+
+@register("engagement_metrics")
+def q_engagement_metrics(spark, sf_dir):
+    return metrics.engagement_metrics(metrics.with_event_time(processed_b(spark, sf_dir)))
+
+
+@register("genre_metrics")
+def q_genre_metrics(spark, sf_dir):
+    return metrics.genre_metrics(metrics.with_event_time(processed_b(spark, sf_dir)))
+
+
+@register("platform_metrics")
+def q_platform_metrics(spark, sf_dir):
+    return metrics.platform_metrics(metrics.with_event_time(processed_b(spark, sf_dir)))

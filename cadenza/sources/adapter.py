@@ -118,75 +118,102 @@ def event_type_b(e: Column, src: Column) -> Column:
             .when(src == "purchase", F.when(e % 2 == 0, "like").otherwise("share")))
 
 
-def nested_events_a(events: DataFrame) -> DataFrame:
-    """Shape A ("full") nested events, one per ``events`` row."""
+def flat_events_a(events: DataFrame) -> DataFrame:
+    """Shape A events as the 37 flat base columns, one per ``events`` row.
+
+    Flat output lets Catalyst drop every column a query does not use before
+    it is computed; ``nest_a`` rebuilds the nested message form.
+    """
     df = _keys(events)
     k, a, e, u, ts = F.col("_k"), F.col("_a"), F.col("event_id"), F.col("user_id"), F.col("_ts")
     etype = event_type_a(e, F.col("event_type"))
+    is_play = etype == "play"
     has_album = (k % 5) != 4
     genres = F.when(k % 16 == 15, F.array().cast("array<string>")).otherwise(F.array(pick(GENRES_A, k % 16)))
-    track = F.struct(
-        F.concat(F.lit("track-"), k.cast("string")).alias("id"),
-        _title(k).alias("name"),
+    return df.select(
+        F.concat(F.lit("evt-"), e.cast("string")).alias("event_id"),
+        etype.alias("event_type"),
+        ts.alias("timestamp"),
+        ts.alias("processing_timestamp"),
+        F.concat(F.lit("track-"), k.cast("string")).alias("track_id"),
+        _title(k).alias("track_name"),
+        F.when(k == 0, F.lit(None)).when(k == 50, F.lit(0)).otherwise(60000 + k * 4000).cast("long").alias("track_duration_ms"),
+        (k % 4 == 0).alias("track_explicit"),
+        F.when(k % 10 != 3, k).cast("long").alias("track_popularity"),
+        F.when(k % 13 != 0, (k % 11) / 10.0).alias("track_energy"),
+        F.when(k % 17 != 0, (k % 5) / 4.0).alias("track_valence"),
+        F.when(k % 19 == 0, F.lit(0.0)).otherwise((60 + k).cast("double")).alias("track_tempo"),
+        genres.alias("track_genres"),
         F.concat(F.lit("artist-"), a.cast("string")).alias("artist_id"),
+        _artist(a).alias("artist_name"),
+        (a * 1000).cast("long").alias("artist_followers"),
+        (a < 10).alias("artist_verified"),
+        pick(COUNTRIES, a % 5).alias("artist_country"),
+        F.array(pick(GENRES_A, a % 16)).alias("artist_genres"),
         F.when(has_album, F.concat(F.lit("album-"), a.cast("string"))).alias("album_id"),
-        F.when(k == 0, F.lit(None)).when(k == 50, F.lit(0)).otherwise(60000 + k * 4000).cast("long").alias("duration_ms"),
-        (k % 4 == 0).alias("explicit"),
-        F.when(k % 10 != 3, k).cast("long").alias("popularity"),
-        F.when(k % 13 != 0, (k % 11) / 10.0).alias("energy"),
-        F.when(k % 17 != 0, (k % 5) / 4.0).alias("valence"),
-        F.when(k % 19 == 0, F.lit(0.0)).otherwise((60 + k).cast("double")).alias("tempo"),
-        genres.alias("genres"),
-    )
-    artist = F.struct(
-        F.concat(F.lit("artist-"), a.cast("string")).alias("id"),
-        _artist(a).alias("name"),
-        F.array(pick(GENRES_A, a % 16)).alias("genres"),
-        (a * 1000).cast("long").alias("followers"),
-        (a < 10).alias("verified"),
-        pick(COUNTRIES, a % 5).alias("country"),
-    )
-    album = F.when(has_album, F.struct(
-        F.concat(F.lit("album-"), a.cast("string")).alias("id"),
-        F.when(a < 15, pick(CATALOG_ALBUMS, a)).otherwise(F.concat(F.lit("Album "), a.cast("string"))).alias("name"),
-        F.concat(F.lit("artist-"), a.cast("string")).alias("artist_id"),
-        F.make_timestamp(F.when(a < 15, pick(CATALOG_YEARS, a)).otherwise(2000 + a),
-                         F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("release_date"),
-        (10 + a % 5).cast("long").alias("track_count"),
-        F.array(pick(GENRES_A, a % 16)).alias("genres"),
-    ))
-    user = F.struct(
+        F.when(has_album, F.when(a < 15, pick(CATALOG_ALBUMS, a))
+               .otherwise(F.concat(F.lit("Album "), a.cast("string")))).alias("album_name"),
+        F.when(has_album, F.make_timestamp(F.when(a < 15, pick(CATALOG_YEARS, a)).otherwise(2000 + a),
+                                           F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))).alias("album_release_date"),
         _user(u).alias("user_id"),
         _session(u, ts).alias("session_id"),
         pick(DEVICES, e % 3).alias("device_type"),
-        pick(COUNTRIES, u % 5).alias("location"),
+        pick(COUNTRIES, u % 5).alias("user_location"),
         F.when(u % 2 == 0, "premium").otherwise("free").alias("subscription_type"),
         pick(AGE_GROUPS, u % 4).alias("user_age_group"),
-    )
-    play = F.when(etype == "play", F.struct(
-        F.floor(F.col("value") * 2000).cast("long").alias("played_duration_ms"),
-        F.when(e % 5 == 0, "user_skip").alias("skip_reason"),
-        F.when(e % 4 == 0, F.concat(F.lit("playlist-"), (u % 10).cast("string"))).alias("playlist_id"),
-        (e % 2 == 0).alias("shuffle_mode"),
-        F.when(e % 10 < 7, "off").when(e % 10 < 9, "track").otherwise("context").alias("repeat_mode"),
-    ))
-    stream = F.struct(
         pick(PLATFORMS_A, u % 7).alias("platform"),
         pick(QUALITIES, e % 3).alias("stream_quality"),
         (64 * (1 + e % 5)).cast("long").alias("bandwidth_kbps"),
         (e % 4).cast("long").alias("buffer_events"),
+        F.when(is_play, F.floor(F.col("value") * 2000).cast("long")).alias("played_duration_ms"),
+        F.when(is_play & (e % 5 == 0), "user_skip").alias("skip_reason"),
+        F.when(is_play & (e % 4 == 0), F.concat(F.lit("playlist-"), (u % 10).cast("string"))).alias("playlist_id"),
+        F.when(is_play, e % 2 == 0).alias("shuffle_mode"),
+        F.when(is_play, F.when(e % 10 < 7, "off").when(e % 10 < 9, "track").otherwise("context")).alias("repeat_mode"),
     )
-    return df.select(
-        F.concat(F.lit("evt-"), e.cast("string")).alias("event_id"),
-        etype.alias("event_type"),
-        ts.alias("timestamp"),
-        ts.alias("processing_timestamp"),
-        track.alias("track"), artist.alias("artist"), album.alias("album"),
-        user.alias("user_interaction"), play.alias("play_event"),
-        stream.alias("streaming_event"),
+
+
+def nest_a(flat: DataFrame) -> DataFrame:
+    """Flat shape A columns back to the nested message shape (inverse of P1).
+
+    ``album`` is absent when ``album_id`` is null and ``play_event`` when
+    ``played_duration_ms`` is null.
+    """
+    c = F.col
+    return flat.select(
+        "event_id", "event_type", "timestamp", "processing_timestamp",
+        F.struct(c("track_id").alias("id"), c("track_name").alias("name"), c("artist_id").alias("artist_id"),
+                 c("album_id").alias("album_id"), c("track_duration_ms").alias("duration_ms"),
+                 c("track_explicit").alias("explicit"), c("track_popularity").alias("popularity"),
+                 c("track_energy").alias("energy"), c("track_valence").alias("valence"),
+                 c("track_tempo").alias("tempo"), c("track_genres").alias("genres")).alias("track"),
+        F.struct(c("artist_id").alias("id"), c("artist_name").alias("name"), c("artist_genres").alias("genres"),
+                 c("artist_followers").alias("followers"), c("artist_verified").alias("verified"),
+                 c("artist_country").alias("country")).alias("artist"),
+        F.when(c("album_id").isNotNull(), F.struct(
+            c("album_id").alias("id"), c("album_name").alias("name"), c("artist_id").alias("artist_id"),
+            c("album_release_date").alias("release_date"),
+            F.lit(None).cast("long").alias("track_count"),
+            c("artist_genres").alias("genres"))).alias("album"),
+        F.struct(c("user_id").alias("user_id"), c("session_id").alias("session_id"),
+                 c("device_type").alias("device_type"), c("user_location").alias("location"),
+                 c("subscription_type").alias("subscription_type"),
+                 c("user_age_group").alias("user_age_group")).alias("user_interaction"),
+        F.when(c("played_duration_ms").isNotNull(), F.struct(
+            c("played_duration_ms").alias("played_duration_ms"), c("skip_reason").alias("skip_reason"),
+            c("playlist_id").alias("playlist_id"), c("shuffle_mode").alias("shuffle_mode"),
+            c("repeat_mode").alias("repeat_mode"))).alias("play_event"),
+        F.struct(c("platform").alias("platform"), c("stream_quality").alias("stream_quality"),
+                 c("bandwidth_kbps").alias("bandwidth_kbps"),
+                 c("buffer_events").alias("buffer_events")).alias("streaming_event"),
     )
 
 
+def nested_events_a(events: DataFrame) -> DataFrame:
+    """Shape A ("full") nested events, one per ``events`` row."""
+    return nest_a(flat_events_a(events))
+
+
 def nested_events_b(events: DataFrame) -> DataFrame:
     """Shape B ("simple") nested events; ``timestamp`` is ISO text with ``Z``."""
     df = _keys(events)
