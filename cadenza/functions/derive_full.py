@@ -32,7 +32,8 @@ DERIVED_COLUMNS = [
     "platform_category",
 ]
 
-_EMPTY = F.array().cast("array<string>")
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def flatten_event(df: DataFrame) -> DataFrame:
@@ -50,12 +51,12 @@ def flatten_event(df: DataFrame) -> DataFrame:
         F.coalesce(t["explicit"], F.lit(False)).alias("track_explicit"),
         t["popularity"].alias("track_popularity"), t["energy"].alias("track_energy"),
         t["valence"].alias("track_valence"), t["tempo"].alias("track_tempo"),
-        F.coalesce(t["genres"], _EMPTY).alias("track_genres"),
+        F.coalesce(t["genres"], _empty()).alias("track_genres"),
         ar["id"].alias("artist_id"), ar["name"].alias("artist_name"),
         ar["followers"].alias("artist_followers"),
         F.coalesce(ar["verified"], F.lit(False)).alias("artist_verified"),
         ar["country"].alias("artist_country"),
-        F.coalesce(ar["genres"], _EMPTY).alias("artist_genres"),
+        F.coalesce(ar["genres"], _empty()).alias("artist_genres"),
         al["id"].alias("album_id"), al["name"].alias("album_name"),
         al["release_date"].alias("album_release_date"),
         u["user_id"].alias("user_id"), u["session_id"].alias("session_id"),

@@ -262,3 +262,29 @@ ORACLE["engagement_metrics"] = _keyed_window("event_type", "CAST(ROUND(CAST(AVG(
 ORACLE["genre_metrics"] = _keyed_window("genre", "CAST(ROUND(CAST(AVG(genre_popularity) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_popularity")
 ORACLE["platform_metrics"] = _keyed_window(
     "platform", "CAST(ROUND(CAST(AVG(CAST(is_premium_platform AS DOUBLE)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS premium_ratio")
+
+
+# --- validation: the injected faults are the expected error codes ----------------
+def _fault_sql(n: str, etype: str) -> str:
+    from cadenza.sources.messages import FAULTS
+    arms = " ".join(f"WHEN {n} % {mod} = 0" + (f" AND {etype} = 'play'" if play else "") + f" THEN '{name}'"
+                    for mod, name, play in FAULTS)
+    return f"CASE {arms} END"
+
+
+FAULTS_CTE = KEYED + f""",
+faults AS (SELECT e, {_fault_sql('e', f'({TYPE_A})')} AS fault FROM keyed)"""
+
+ORACLE["validation_summary"] = "WITH " + FAULTS_CTE + """
+SELECT COUNT(*) FILTER (WHERE fault IS NULL) AS valid_events,
+  COUNT(*) FILTER (WHERE fault IS NOT NULL) AS invalid_events,
+  COALESCE(CAST(ROUND(CAST(COUNT(*) FILTER (WHERE fault IS NULL) / COUNT(*) AS DECIMAL(38,12)), 6) AS DOUBLE), 0.0)
+    AS success_rate
+FROM faults"""
+
+ORACLE["validation_errors"] = "WITH " + FAULTS_CTE + """
+SELECT fault AS error_code, COUNT(*) AS events FROM faults WHERE fault IS NOT NULL GROUP BY fault"""
+
+ORACLE["valid_events_raw"] = with_raw(f"""
+SELECT * FROM raw_a
+WHERE {_fault_sql("CAST(split_part(event_id, '-', 2) AS BIGINT)", 'event_type')} IS NULL""")

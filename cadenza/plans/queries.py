@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 
 from cadenza.functions.derive_full import derive_fields, raw_music_events
 from cadenza.functions.derive_simple import loose_parse_b, processed_events
-from cadenza.operators import metrics, reports
+from cadenza.operators import metrics, reports, validate
+from cadenza.schemas import EVENT_A
+from cadenza.session import checkpoint_path
+from cadenza.sources import messages
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +100,36 @@ def q_genre_metrics(spark, sf_dir):
 @register("platform_metrics")
 def q_platform_metrics(spark, sf_dir):
     return metrics.platform_metrics(metrics.with_event_time(processed_b(spark, sf_dir)))
+
+
+def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged shape A messages written to a landing folder, read back parsed.
+
+    The landing folder sits under the shared checkpoint dir; it stands where
+    a message topic or an upload bucket would be in production.
+    """
+    import hashlib
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    path = checkpoint_path(spark, f"landing/messages-{tag}")
+    messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
+    return messages.read_landing(spark, path, EVENT_A)
+
+
+def checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.validate(landed_messages(spark, sf_dir))
+
+
+@register("validation_summary")
+def q_validation_summary(spark, sf_dir):
+    return validate.validation_counts(checked_messages(spark, sf_dir))
+
+
+@register("validation_errors")
+def q_validation_errors(spark, sf_dir):
+    return validate.error_breakdown(checked_messages(spark, sf_dir))
+
+
+@register("valid_events_raw")
+def q_valid_events_raw(spark, sf_dir):
+    good, _ = validate.split_valid(checked_messages(spark, sf_dir))
+    return raw_music_events(good)

@@ -118,7 +118,7 @@ def event_type_b(e: Column, src: Column) -> Column:
             .when(src == "purchase", F.when(e % 2 == 0, "like").otherwise("share")))
 
 
-def flat_events_a(events: DataFrame) -> DataFrame:
+def flat_events_a(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Shape A events as the 37 flat base columns, one per ``events`` row.
 
     Flat output lets Catalyst drop every column a query does not use before
@@ -131,6 +131,7 @@ def flat_events_a(events: DataFrame) -> DataFrame:
     has_album = (k % 5) != 4
     genres = F.when(k % 16 == 15, F.array().cast("array<string>")).otherwise(F.array(pick(GENRES_A, k % 16)))
     return df.select(
+        *(keep or []),
         F.concat(F.lit("evt-"), e.cast("string")).alias("event_id"),
         etype.alias("event_type"),
         ts.alias("timestamp"),
@@ -173,7 +174,7 @@ def flat_events_a(events: DataFrame) -> DataFrame:
     )
 
 
-def nest_a(flat: DataFrame) -> DataFrame:
+def nest_a(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Flat shape A columns back to the nested message shape (inverse of P1).
 
     ``album`` is absent when ``album_id`` is null and ``play_event`` when
@@ -181,6 +182,7 @@ def nest_a(flat: DataFrame) -> DataFrame:
     """
     c = F.col
     return flat.select(
+        *(keep or []),
         "event_id", "event_type", "timestamp", "processing_timestamp",
         F.struct(c("track_id").alias("id"), c("track_name").alias("name"), c("artist_id").alias("artist_id"),
                  c("album_id").alias("album_id"), c("track_duration_ms").alias("duration_ms"),
