@@ -77,3 +77,146 @@ def platform_performance(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, days: i
                  r6(F.sum("played_duration_ms") / 1000 / 3600).alias("total_hours_streamed"),
                  r6(F.count(F.when(F.col("is_full_play"), 1)) / F.count(F.lit(1))).alias("completion_rate"))
             .orderBy(F.col("total_events").desc()))
+
+
+# --- most frequent value per group ---------------------------------------------
+
+def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dict[str, Column] | None = None) -> DataFrame:
+    """Most frequent value of each attribute per ``keys`` group; ties go to the
+    smallest value.
+
+    All attributes are stacked into one long (key, attr, value) relation, so
+    the whole job is two aggregations: a count per (key, attr, value) that
+    combines map-side (a hot key is folded inside each task before the
+    shuffle), then one ``min(struct(-count, value))`` per key and attribute,
+    also algebraic. Nothing collects a group's rows. ``explode`` attributes
+    are arrays whose every element counts once.
+    """
+    explode = explode or {}
+    names = list(attrs) + list(explode)
+    items = [F.array(F.struct(F.lit(n).alias("attr"), c.cast("string").alias("vs"),
+                              (c.cast("long") if _is_integral(df, c) else F.lit(None).cast("long")).alias("vn")))
+             for n, c in attrs.items()]
+    items += [F.transform(arr, _tag(n)) for n, arr in explode.items()]
+    stacked = df.select(*keys, F.explode(F.concat(*items)).alias("s")).select(*keys, "s.*")
+    counted = (stacked.filter(F.col("vs").isNotNull())
+               .groupBy(*keys, "attr", "vs", "vn").agg(F.count(F.lit(1)).alias("n")))
+    best = counted.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("attr") == n, F.struct((-F.col("n")).alias("neg"), "vn", "vs"))).alias(n)
+        for n in names])
+    return best.select(*keys, *[(F.col(f"{n}.vn") if n in attrs and _is_integral(df, attrs[n])
+                                 else F.col(f"{n}.vs")).alias(n) for n in names])
+
+
+def _tag(name: str):
+    # one-argument lambda: Spark treats a two-argument one as (element, index)
+    def fn(g: Column) -> Column:
+        return F.struct(F.lit(name).alias("attr"), g.cast("string").alias("vs"), F.lit(None).cast("long").alias("vn"))
+    return fn
+
+
+def _is_integral(df: DataFrame, c: Column) -> bool:
+    from pyspark.sql import types as T
+    dt_ = df.select(c).schema.fields[0].dataType
+    return isinstance(dt_, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+
+
+def _rate(num: Column, den: Column) -> Column:
+    return round6(num / F.nullif(den, F.lit(0)))
+
+
+def _type_count(t: str) -> Column:
+    return F.count_if(F.col("event_type") == t)
+
+
+def user_daily_analytics(raw: DataFrame) -> DataFrame:
+    """A10: per user and day."""
+    keys = ["user_id", "analysis_date"]
+    df = raw.withColumn("analysis_date", _date(raw))
+    main = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_play_time_ms"),
+        F.countDistinct("track_id").alias("unique_tracks"),
+        F.countDistinct("artist_id").alias("unique_artists"),
+        round6(F.avg("engagement_score")).alias("average_engagement_score"),
+        F.countDistinct("session_id").alias("listening_sessions"),
+        _rate(_type_count("skip"), F.count(F.lit(1))).alias("skip_rate"),
+        _rate(F.count_if(F.col("is_full_play")), _type_count("play")).alias("completion_rate"))
+    top = modes(df, keys, {"favorite_platform": F.col("platform"), "preferred_device": F.col("device_type"),
+                           "most_active_hour": F.col("hour_of_day")},
+                explode={"top_genre": F.col("track_genres")})
+    return main.join(top, keys, "left").select(
+        "user_id", "analysis_date", "total_events", "total_play_time_ms", "unique_tracks", "unique_artists",
+        "top_genre", "favorite_platform", "average_engagement_score", "listening_sessions",
+        "preferred_device", "most_active_hour", "skip_rate", "completion_rate")
+
+
+def geo_distribution(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """A2, open keys: ``{"value": count}`` per group, keys sorted.
+
+    Counts per (group, value) first (map-side combined), so the list gathered
+    per group holds one entry per distinct value, never the group's rows.
+    """
+    per = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(col).isNotNull())
+    return per.groupBy(*keys).agg(
+        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(col), F.col("n")))))).alias(
+            "geographic_distribution"))
+
+
+def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
+    """Per track, artist and day, with a trending score.
+
+    ``trending_score`` = plays that day / (1 + mean plays over the previous
+    ``trend_days`` calendar days, missing days counted as 0). The window runs
+    over daily aggregates (one row per track and day), not over events.
+    """
+    from cadenza.operators.metrics import distribution_json
+    from cadenza.schemas import PLATFORMS_A
+    keys = ["track_id", "artist_id", "analysis_date"]
+    df = raw.withColumn("analysis_date", _date(raw))
+    n = F.count(F.lit(1))
+    main = df.groupBy(*keys).agg(
+        _type_count("play").alias("total_plays"),
+        F.countDistinct(F.when(F.col("event_type") == "play", F.col("user_id"))).alias("unique_listeners"),
+        F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_play_time_ms"),
+        round6(F.avg("play_completion_ratio")).alias("average_completion_ratio"),
+        _rate(_type_count("skip"), n).alias("skip_rate"),
+        _rate(_type_count("like"), n).alias("like_rate"),
+        _rate(_type_count("share"), n).alias("share_rate"),
+        _type_count("playlist_add").alias("playlist_adds"),
+        distribution_json("platform", PLATFORMS_A).alias("platform_distribution"))
+    geo = geo_distribution(df, keys, "user_location")
+    peak = modes(df, keys, {"peak_listening_hour": F.col("hour_of_day")})
+    day = F.datediff(F.col("analysis_date"), F.lit("1970-01-01"))
+    w = Window.partitionBy("track_id", "artist_id").orderBy(day).rangeBetween(-trend_days, -1)
+    prev = F.coalesce(F.sum("total_plays").over(w), F.lit(0)) / trend_days
+    return (main.join(geo, keys, "left").join(peak, keys, "left")
+            .withColumn("trending_score", round6(F.col("total_plays") / (1 + prev)))
+            .select("track_id", "artist_id", "analysis_date", "total_plays", "unique_listeners",
+                    "total_play_time_ms", "average_completion_ratio", "skip_rate", "like_rate", "share_rate",
+                    "playlist_adds", "platform_distribution", "geographic_distribution",
+                    "peak_listening_hour", "trending_score"))
+
+
+def platform_daily_analytics(raw: DataFrame) -> DataFrame:
+    """Per platform and day; session duration from per-session spans."""
+    keys = ["platform", "analysis_date"]
+    df = raw.withColumn("analysis_date", _date(raw))
+    main = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.countDistinct("user_id").alias("unique_users"),
+        F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_streaming_time_ms"),
+        round6(F.avg("engagement_score")).alias("average_engagement_score"),
+        _rate(F.countDistinct(F.when(F.col("subscription_type") == "premium", F.col("user_id"))),
+              F.countDistinct("user_id")).alias("premium_user_ratio"),
+        _rate(F.count_if(F.col("device_type") == "mobile"), F.count(F.lit(1))).alias("mobile_usage_ratio"))
+    span = (df.groupBy(*keys, "session_id")
+            .agg(((F.unix_micros(F.max("timestamp")) - F.unix_micros(F.min("timestamp"))) / 1000).alias("ms"))
+            .groupBy(*keys).agg(F.floor(F.avg("ms")).cast("long").alias("average_session_duration_ms")))
+    top = modes(df, keys, {"most_popular_artist": F.col("artist_name"), "most_popular_track": F.col("track_name"),
+                           "peak_usage_hour": F.col("hour_of_day")},
+                explode={"top_genre": F.col("track_genres")})
+    return (main.join(span, keys, "left").join(top, keys, "left")
+            .select("platform", "analysis_date", "total_events", "unique_users", "total_streaming_time_ms",
+                    "average_session_duration_ms", "top_genre", "most_popular_artist", "most_popular_track",
+                    "average_engagement_score", "premium_user_ratio", "mobile_usage_ratio", "peak_usage_hour"))

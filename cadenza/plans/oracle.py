@@ -288,3 +288,95 @@ SELECT fault AS error_code, COUNT(*) AS events FROM faults WHERE fault IS NOT NU
 ORACLE["valid_events_raw"] = with_raw(f"""
 SELECT * FROM raw_a
 WHERE {_fault_sql("CAST(split_part(event_id, '-', 2) AS BIGINT)", 'event_type')} IS NULL""")
+
+
+# --- daily analytics (A10-A12) ----------------------------------------------------
+def R6(x: str) -> str:
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
+def _mode_cte(name: str, keys: list[str], value_expr: str, src: str = "d", unnest: bool = False) -> str:
+    k = ", ".join(keys)
+    v = f"unnest({value_expr})" if unnest else value_expr
+    return f"""
+m_{name} AS (
+  SELECT {k}, v AS {name} FROM (
+    SELECT {k}, v, row_number() OVER (PARTITION BY {k} ORDER BY n DESC, v ASC) AS rn
+    FROM (SELECT {k}, v, COUNT(*) AS n FROM (SELECT {k}, {v} AS v FROM {src}) WHERE v IS NOT NULL GROUP BY {k}, v))
+  WHERE rn = 1)"""
+
+
+def _daily(keys: list[str], main_aggs: str, modes: list[tuple], extra_ctes: str, select: str,
+           joins: str = "") -> str:
+    k = ", ".join(keys)
+    mode_ctes = ",".join(_mode_cte(*m[:1], keys, *m[1:]) for m in modes)
+    mode_joins = " ".join(f"LEFT JOIN m_{m[0]} USING ({k})" for m in modes)
+    return with_raw(f""",
+d AS (SELECT *, CAST("timestamp" AS DATE) AS analysis_date FROM raw_a),
+main AS (SELECT {k}, {main_aggs} FROM d GROUP BY {k}),{mode_ctes}{extra_ctes}
+SELECT {select} FROM main {mode_joins} {joins}""")
+
+
+ORACLE["user_daily_analytics"] = _daily(
+    ["user_id", "analysis_date"],
+    f"""COUNT(*) AS total_events, CAST(COALESCE(SUM(played_duration_ms), 0) AS BIGINT) AS total_play_time_ms,
+    COUNT(DISTINCT track_id) AS unique_tracks, COUNT(DISTINCT artist_id) AS unique_artists,
+    {R6('AVG(engagement_score)')} AS average_engagement_score,
+    COUNT(DISTINCT session_id) AS listening_sessions,
+    {R6("count_if(event_type = 'skip') / NULLIF(COUNT(*), 0)")} AS skip_rate,
+    {R6("COUNT(CASE WHEN is_full_play THEN 1 END) / NULLIF(count_if(event_type = 'play'), 0)")} AS completion_rate""",
+    [("favorite_platform", "platform"), ("preferred_device", "device_type"),
+     ("most_active_hour", "hour_of_day"), ("top_genre", "track_genres", "d", True)],
+    "",
+    """user_id, analysis_date, total_events, total_play_time_ms, unique_tracks, unique_artists, top_genre,
+  favorite_platform, average_engagement_score, listening_sessions, preferred_device, most_active_hour,
+  skip_rate, completion_rate""")
+
+ORACLE["track_daily_analytics"] = _daily(
+    ["track_id", "artist_id", "analysis_date"],
+    f"""count_if(event_type = 'play') AS total_plays,
+    COUNT(DISTINCT CASE WHEN event_type = 'play' THEN user_id END) AS unique_listeners,
+    CAST(COALESCE(SUM(played_duration_ms), 0) AS BIGINT) AS total_play_time_ms,
+    {R6('AVG(play_completion_ratio)')} AS average_completion_ratio,
+    {R6("count_if(event_type = 'skip') / NULLIF(COUNT(*), 0)")} AS skip_rate,
+    {R6("count_if(event_type = 'like') / NULLIF(COUNT(*), 0)")} AS like_rate,
+    {R6("count_if(event_type = 'share') / NULLIF(COUNT(*), 0)")} AS share_rate,
+    count_if(event_type = 'playlist_add') AS playlist_adds,
+    {dist_json('platform', PLATFORMS_A)} AS platform_distribution""",
+    [("peak_listening_hour", "hour_of_day")],
+    """,
+geo AS (
+  SELECT track_id, artist_id, analysis_date,
+    '{' || string_agg('"' || user_location || '":' || CAST(n AS VARCHAR), ',' ORDER BY user_location) || '}'
+      AS geographic_distribution
+  FROM (SELECT track_id, artist_id, analysis_date, user_location, COUNT(*) AS n FROM d
+        WHERE user_location IS NOT NULL GROUP BY ALL)
+  GROUP BY track_id, artist_id, analysis_date)""",
+    f"""track_id, artist_id, analysis_date, total_plays, unique_listeners, total_play_time_ms,
+  average_completion_ratio, skip_rate, like_rate, share_rate, playlist_adds, platform_distribution,
+  geographic_distribution, peak_listening_hour,
+  {R6('''total_plays / (1 + COALESCE(SUM(total_plays) OVER (PARTITION BY track_id, artist_id ORDER BY analysis_date
+      RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 0) / 7)''')} AS trending_score""",
+    "LEFT JOIN geo USING (track_id, artist_id, analysis_date)")
+
+ORACLE["platform_daily_analytics"] = _daily(
+    ["platform", "analysis_date"],
+    f"""COUNT(*) AS total_events, COUNT(DISTINCT user_id) AS unique_users,
+    CAST(COALESCE(SUM(played_duration_ms), 0) AS BIGINT) AS total_streaming_time_ms,
+    {R6('AVG(engagement_score)')} AS average_engagement_score,
+    {R6("COUNT(DISTINCT CASE WHEN subscription_type = 'premium' THEN user_id END) / NULLIF(COUNT(DISTINCT user_id), 0)")}
+      AS premium_user_ratio,
+    {R6("count_if(device_type = 'mobile') / NULLIF(COUNT(*), 0)")} AS mobile_usage_ratio""",
+    [("most_popular_artist", "artist_name"), ("most_popular_track", "track_name"),
+     ("peak_usage_hour", "hour_of_day"), ("top_genre", "track_genres", "d", True)],
+    """,
+span AS (
+  SELECT platform, analysis_date, CAST(floor(AVG(ms)) AS BIGINT) AS average_session_duration_ms
+  FROM (SELECT platform, analysis_date, session_id,
+          (epoch_us(MAX("timestamp")) - epoch_us(MIN("timestamp"))) / 1000 AS ms
+        FROM d GROUP BY platform, analysis_date, session_id)
+  GROUP BY platform, analysis_date)""",
+    """platform, analysis_date, total_events, unique_users, total_streaming_time_ms, average_session_duration_ms,
+  top_genre, most_popular_artist, most_popular_track, average_engagement_score, premium_user_ratio,
+  mobile_usage_ratio, peak_usage_hour""",
+    "LEFT JOIN span USING (platform, analysis_date)")

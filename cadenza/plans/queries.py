@@ -133,3 +133,18 @@ def q_validation_errors(spark, sf_dir):
 def q_valid_events_raw(spark, sf_dir):
     good, _ = validate.split_valid(checked_messages(spark, sf_dir))
     return raw_music_events(good)
+
+
+@register("user_daily_analytics")
+def q_user_daily_analytics(spark, sf_dir):
+    return reports.user_daily_analytics(raw_a(spark, sf_dir))
+
+
+@register("track_daily_analytics")
+def q_track_daily_analytics(spark, sf_dir):
+    return reports.track_daily_analytics(raw_a(spark, sf_dir))
+
+
+@register("platform_daily_analytics")
+def q_platform_daily_analytics(spark, sf_dir):
+    return reports.platform_daily_analytics(raw_a(spark, sf_dir))
