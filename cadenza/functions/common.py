@@ -14,3 +14,25 @@ def round6(c: Column) -> Column:
     way in every engine that reads the result.
     """
     return F.round(c.cast("decimal(38,12)"), 6).cast("double")
+
+
+def session_cached(fn):
+    """Memoise a builder of Column expressions per SparkContext.
+
+    Column expressions are immutable and name-based, so a list built once can
+    be reused by every DataFrame of the session; this saves thousands of
+    driver-to-JVM calls per query plan. Arguments must be hashable.
+    """
+    import functools
+
+    from pyspark import SparkContext
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        key = (id(SparkContext._active_spark_context), args)
+        hit = cache.get(key)
+        if hit is None:
+            hit = cache[key] = fn(*args)
+        return hit
+    return wrapper

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.common import session_cached
+
 # --- fixed values: platform categories --------------------------------------
 PREMIUM_PLATFORMS = ["spotify", "apple_music", "tidal"]
 AD_SUPPORTED_PLATFORMS = ["youtube_music", "soundcloud", "pandora"]
@@ -99,14 +101,18 @@ def derive_fields(flat: DataFrame) -> DataFrame:
     ``day_of_week`` counts Monday as 0. A null or zero duration leaves the
     duration and completion fields null.
     """
+    return flat.select("*", *_derived_columns())
+
+
+@session_cached
+def _derived_columns() -> list[Column]:
     ts = F.col("timestamp")
     dur = F.col("track_duration_ms")
     has_play = F.col("played_duration_ms").isNotNull()
     secs = F.when(dur != 0, dur / 1000.0)
     ratio = raw_play_ratio(F.col("played_duration_ms"), dur)
     dow = F.weekday(ts).cast("long")
-    return flat.select(
-        "*",
+    return [
         F.hour(ts).cast("long").alias("hour_of_day"),
         dow.alias("day_of_week"),
         (dow >= 5).alias("is_weekend"),
@@ -121,7 +127,7 @@ def derive_fields(flat: DataFrame) -> DataFrame:
         (ratio < 0.3).alias("is_skip"),
         engagement_score(F.col("event_type"), ratio, has_play, F.col("repeat_mode")).alias("engagement_score"),
         platform_category(F.col("platform")).alias("platform_category"),
-    )
+    ]
 
 
 def raw_music_events(nested: DataFrame) -> DataFrame:

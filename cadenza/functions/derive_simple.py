@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.common import session_cached
+
 # --- fixed values: lookup tables -----------------------------------------------
 ENGAGEMENT_BY_TYPE = {"play": 1.0, "like": 2.0, "share": 3.0, "pause": 0.5, "skip": 0.1}
 DEFAULT_ENGAGEMENT = 1.0
@@ -121,18 +123,25 @@ def processed_events(loose: DataFrame, level_on: str = "adjusted") -> DataFrame:
     """
     if level_on not in ("adjusted", "base"):
         raise ValueError("level_on must be 'adjusted' or 'base'")
+    return loose.select(*_processed_columns(level_on))
+
+
+@session_cached
+def _processed_columns(level_on: str) -> list[Column]:
     score = location_bonus(base_engagement(F.col("event_type")), F.col("user_location"))
     ctx, mult = time_context(F.hour(event_time(F.col("timestamp"))))
-    df = loose.select(
-        "*",
-        score.alias("engagement_score"),
-        genre_popularity(F.col("genre")).alias("genre_popularity"),
-        platform_quality(F.col("platform")).alias("platform_quality"),
-        is_premium_platform(F.col("platform")).alias("is_premium_platform"),
-        ctx.alias("time_context"), mult.alias("time_multiplier"),
-    )
-    df = df.withColumn("adjusted_engagement", F.col("engagement_score") * F.col("time_multiplier"))
-    graded = F.col("adjusted_engagement") if level_on == "adjusted" else F.col("engagement_score")
-    return (df.withColumn("engagement_level", engagement_level(graded))
-              .withColumn("is_popular_genre", F.col("genre_popularity") > POPULAR_GENRE_ABOVE)
-              .select(*PROCESSED_COLUMNS))
+    adjusted = score * mult
+    graded = adjusted if level_on == "adjusted" else score
+    pop = genre_popularity(F.col("genre"))
+    derived = {
+        "engagement_score": score,
+        "engagement_level": engagement_level(graded),
+        "genre_popularity": pop,
+        "is_popular_genre": pop > POPULAR_GENRE_ABOVE,
+        "platform_quality": platform_quality(F.col("platform")),
+        "is_premium_platform": is_premium_platform(F.col("platform")),
+        "time_context": ctx,
+        "time_multiplier": mult,
+        "adjusted_engagement": adjusted,
+    }
+    return [derived[c].alias(c) if c in derived else F.col(c) for c in PROCESSED_COLUMNS]

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.common import session_cached
 from cadenza.schemas import EVENT_A, EVENT_TYPES_A, GENRES_A, PLATFORMS_A, REPEAT_MODES
 
 # --- fixed values: field limits --------------------------------------------------
@@ -163,9 +164,14 @@ def validate(parsed: DataFrame, business_rules: bool = False) -> DataFrame:
 
     A row that did not parse carries the single code ``parse_error``.
     """
+    return parsed.select("*", *_check_columns(business_rules))
+
+
+@session_cached
+def _check_columns(business_rules: bool) -> list[Column]:
     raw = F.col("raw_value") if business_rules else None
     errs = F.when(~F.col("parse_ok"), F.array(F.lit("parse_error"))).otherwise(event_errors(raw))
-    return parsed.withColumn("errors", errs).withColumn("is_valid", F.size("errors") == 0)
+    return [errs.alias("errors"), (F.size(errs) == 0).alias("is_valid")]
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.functions.common import session_cached
 from cadenza.schemas import GENRES_A, PLATFORMS_A, PLATFORMS_B
 
 # --- fixed values: the fifteen-track catalog (titles, artists, albums, years,
@@ -68,7 +69,7 @@ def read_events(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
     as a pushed filter (row-group skipping) instead of being evaluated after
     the music columns are built.
     """
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    df = _scan(spark, f"{sf_dir}/events.parquet")
     if since is not None:
         df = df.filter(F.col("ts") >= F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp_ntz"))
     if until is not None:
@@ -76,16 +77,31 @@ def read_events(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
     return df
 
 
+_SCANS: dict = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """One resolved Parquet relation per session and path (listing and footer
+    reads happen once; the plan is immutable, so sharing it is safe)."""
+    key = (id(spark.sparkContext), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
 def pick(values: list, idx: Column) -> Column:
     """Item ``idx`` (0-based) of a literal list; folds into generated code."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
+@session_cached
+def _key_columns() -> list[Column]:
+    k = F.get_json_object("props", "$.k").cast("int")
+    return [F.col("*"), k.alias("_k"), (k % N_ARTIST_SLOTS).alias("_a"), F.col("ts").cast("timestamp").alias("_ts")]
+
+
 def _keys(events: DataFrame) -> DataFrame:
-    return (events
-            .withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
-            .withColumn("_a", F.col("_k") % N_ARTIST_SLOTS)
-            .withColumn("_ts", F.col("ts").cast("timestamp")))
+    return events.select(*_key_columns())
 
 
 def _title(k: Column) -> Column:
@@ -124,14 +140,17 @@ def flat_events_a(events: DataFrame, keep: list[str] | None = None) -> DataFrame
     Flat output lets Catalyst drop every column a query does not use before
     it is computed; ``nest_a`` rebuilds the nested message form.
     """
-    df = _keys(events)
+    return _keys(events).select(*(keep or []), *_flat_a_columns())
+
+
+@session_cached
+def _flat_a_columns() -> list[Column]:
     k, a, e, u, ts = F.col("_k"), F.col("_a"), F.col("event_id"), F.col("user_id"), F.col("_ts")
     etype = event_type_a(e, F.col("event_type"))
     is_play = etype == "play"
     has_album = (k % 5) != 4
     genres = F.when(k % 16 == 15, F.array().cast("array<string>")).otherwise(F.array(pick(GENRES_A, k % 16)))
-    return df.select(
-        *(keep or []),
+    return [
         F.concat(F.lit("evt-"), e.cast("string")).alias("event_id"),
         etype.alias("event_type"),
         ts.alias("timestamp"),
@@ -171,7 +190,7 @@ def flat_events_a(events: DataFrame, keep: list[str] | None = None) -> DataFrame
         F.when(is_play & (e % 4 == 0), F.concat(F.lit("playlist-"), (u % 10).cast("string"))).alias("playlist_id"),
         F.when(is_play, e % 2 == 0).alias("shuffle_mode"),
         F.when(is_play, F.when(e % 10 < 7, "off").when(e % 10 < 9, "track").otherwise("context")).alias("repeat_mode"),
-    )
+    ]
 
 
 def nest_a(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -180,9 +199,13 @@ def nest_a(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
     ``album`` is absent when ``album_id`` is null and ``play_event`` when
     ``played_duration_ms`` is null.
     """
+    return flat.select(*(keep or []), *_nest_a_columns())
+
+
+@session_cached
+def _nest_a_columns() -> list[Column]:
     c = F.col
-    return flat.select(
-        *(keep or []),
+    return [
         "event_id", "event_type", "timestamp", "processing_timestamp",
         F.struct(c("track_id").alias("id"), c("track_name").alias("name"), c("artist_id").alias("artist_id"),
                  c("album_id").alias("album_id"), c("track_duration_ms").alias("duration_ms"),
@@ -208,7 +231,7 @@ def nest_a(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
         F.struct(c("platform").alias("platform"), c("stream_quality").alias("stream_quality"),
                  c("bandwidth_kbps").alias("bandwidth_kbps"),
                  c("buffer_events").alias("buffer_events")).alias("streaming_event"),
-    )
+    ]
 
 
 def nested_events_a(events: DataFrame) -> DataFrame:
@@ -218,11 +241,15 @@ def nested_events_a(events: DataFrame) -> DataFrame:
 
 def nested_events_b(events: DataFrame) -> DataFrame:
     """Shape B ("simple") nested events; ``timestamp`` is ISO text with ``Z``."""
-    df = _keys(events)
+    return _keys(events).select(*_nested_b_columns())
+
+
+@session_cached
+def _nested_b_columns() -> list[Column]:
     k, a, e, u, ts = F.col("_k"), F.col("_a"), F.col("event_id"), F.col("user_id"), F.col("_ts")
     iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     genre = pick(GENRE_POOL_B, k % 10)
-    return df.select(
+    return [
         F.concat(F.lit("evt-"), e.cast("string")).alias("event_id"),
         event_type_b(e, F.col("event_type")).alias("event_type"),
         F.struct(
@@ -252,4 +279,4 @@ def nested_events_b(events: DataFrame) -> DataFrame:
             pick(BITRATES, e % 3).cast("long").alias("bitrate"),
         ).alias("streaming_event"),
         iso.alias("timestamp"),
-    )
+    ]
