@@ -145,3 +145,17 @@ def _processed_columns(level_on: str) -> list[Column]:
         "adjusted_engagement": adjusted,
     }
     return [derived[c].alias(c) if c in derived else F.col(c) for c in PROCESSED_COLUMNS]
+
+
+def enrichment_input_b(nested: DataFrame) -> DataFrame:
+    """Shape B fields the enrichment rules and confidence scores read."""
+    return nested.select(
+        "event_id", "event_type",
+        F.col("track.id").alias("track_id"), F.col("track.title").alias("track_title"),
+        F.col("track.artist").alias("track_artist"), F.col("artist.name").alias("artist_name"),
+        F.col("track.album").alias("album"), F.col("track.release_year").alias("release_year"),
+        F.col("track.duration").alias("duration"), F.col("track.genre").alias("genre"),
+        F.col("artist.genre").alias("artist_genre"), F.col("artist.followers").alias("followers"),
+        F.col("streaming_event.platform").alias("platform"), F.col("streaming_event.quality").alias("quality"),
+        F.col("user_interaction.location").alias("user_location"), "timestamp",
+        event_time(F.col("timestamp")).alias("event_ts"))

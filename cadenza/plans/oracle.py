@@ -380,3 +380,237 @@ span AS (
   top_genre, most_popular_artist, most_popular_track, average_engagement_score, premium_user_ratio,
   mobile_usage_ratio, peak_usage_hour""",
     "LEFT JOIN span USING (platform, analysis_date)")
+
+
+# --- enrichment (R1-R7, Q9-Q12), prompt text (P7, P8), answer cleaning (P9-P13) ---------
+from cadenza.functions import confidence as CF  # noqa: E402
+from cadenza.functions import text as TXT  # noqa: E402
+from cadenza.operators import rules as RU  # noqa: E402
+
+
+def q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def D(v: float) -> str:
+    return f"CAST({v} AS DOUBLE)"
+
+
+def present(x: str) -> str:
+    return f"({x} IS NOT NULL AND {x} <> '')"
+
+
+def sql_sum(base: float, terms: list[tuple[str, float]]) -> str:
+    return "(" + D(base) + "".join(f" + CASE WHEN {c} THEN {D(w)} ELSE {D(0.0)} END" for c, w in terms) + ")"
+
+
+def case(pairs: list[tuple[str, str]], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {default} END"
+
+
+def contains(col: str, needle: str) -> str:
+    return f"contains({col}, {q(needle)})"
+
+
+ENR_B = KEYED + f""",
+enr_b AS (
+  SELECT 'evt-' || CAST(e AS VARCHAR) AS event_id, {TYPE_B} AS event_type,
+    'track-' || CAST(k AS VARCHAR) AS track_id, {TITLE} AS track_title, {ARTIST} AS track_artist,
+    {ARTIST} AS artist_name, {ALBUM} AS album, CAST({YEAR} AS BIGINT) AS release_year,
+    CAST(60 + k * 4 AS BIGINT) AS duration, {pick(A.GENRE_POOL_B, 'k % 10')} AS genre,
+    {pick(A.GENRE_POOL_B, 'k % 10')} AS artist_genre, CAST(a * 1000 AS BIGINT) AS followers,
+    {pick(PLATFORMS_B, 'u % 4')} AS platform, {pick(A.QUALITIES, 'e % 3')} AS quality,
+    {pick(A.CITIES, 'u % 5')} AS user_location, strftime(t, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
+    t AS event_ts
+  FROM keyed
+)"""
+
+
+def genre_fallback(gl: str, idx: int, default: str) -> str:
+    pairs = []
+    for needles, *vals in RU.GENRE_FALLBACK:
+        v = vals[idx]
+        pairs.append((" OR ".join(contains(gl, n) for n in needles), lst(v) if isinstance(v, list) else q(v)))
+    return case(pairs, default)
+
+
+def artist_rule_sql(tl: str = "tl", al: str = "al", gl: str = "gl") -> dict[str, str]:
+    either = [(f"({contains(tl, t)} OR {contains(al, a)})", r) for t, a, *r in RU.ARTIST_RULES]
+    by_artist = {a: r for t, a, *r in RU.ARTIST_RULES}
+    only = [(contains(al, a), by_artist[a]) for a in RU.ARTIST_ONLY_ORDER]
+    return {
+        "mood_analysis": case([(c, q(r[0])) for c, r in either], genre_fallback(gl, 0, q(RU.DEFAULT_MOOD))),
+        "listening_context": case([(c, q(r[1])) for c, r in either], genre_fallback(gl, 1, q(RU.DEFAULT_CONTEXT))),
+        "predicted_genres": case([(c, lst(r[2])) for c, r in only],
+                                 genre_fallback(gl, 2, f"[{gl}, " + ", ".join(q(g) for g in RU.DEFAULT_GENRE_TAIL) + "]")),
+        "similar_tracks": case([(c, lst(r[3])) for c, r in only], genre_fallback(gl, 3, lst(RU.DEFAULT_SIMILAR))),
+    }
+
+
+def local_conf_sql() -> str:
+    famous = " OR ".join(contains("al", n) for n in CF.FAMOUS_15)
+    return f"""least({sql_sum(0.5, [(present('track_title') + ' AND ' + present('track_artist'), 0.15),
+                                    (present('genre'), 0.1), (present('artist_name'), 0.1), (present('platform'), 0.05),
+                                    (f'({famous})', 0.1),
+                                    (present('album') + ' AND COALESCE(release_year <> 0, false)', 0.05)])}, {D(0.95)})"""
+
+
+LOWERED = """x AS (SELECT *, lower(coalesce(track_title, '')) AS tl, lower(coalesce(artist_name, '')) AS al,
+    lower(coalesce(genre, '')) AS gl FROM enr_b)"""
+
+_R = artist_rule_sql()
+ORACLE["rule_enrichment"] = "WITH " + ENR_B + ",\n" + LOWERED + f"""
+SELECT event_id,
+  printf({q(RU.DESCRIPTION_TEMPLATE)}, track_title, artist_name, platform) AS event_description,
+  {_R['mood_analysis']} AS mood_analysis, {_R['predicted_genres']} AS predicted_genres,
+  {_R['listening_context']} AS listening_context, {_R['similar_tracks']} AS similar_tracks,
+  {local_conf_sql()} AS enrichment_confidence
+FROM x"""
+ORACLE["rule_enrichment_table"] = ORACLE["rule_enrichment"]
+
+PROD_CONF = f"""least({sql_sum(0.5, [(present('track_title') + ' AND ' + present('track_artist'), 0.2),
+                                     (present('genre'), 0.1), (present('user_location'), 0.1),
+                                     (present('platform'), 0.1)])}, {D(1.0)})"""
+FAMOUS_CONF = f"""least({sql_sum(0.5, [(present('track_title') + ' AND ' + present('track_artist'), 0.2),
+                                       (present('genre'), 0.1), (present('user_location'), 0.1),
+                                       (present('platform'), 0.1),
+                                       (f"lower(artist_name) IN {inlist(CF.FAMOUS_4)}", 0.1)])}, {D(1.0)})"""
+SIMPLE_CONF = f"""least({sql_sum(0.5, [(present('track_title') + ' AND ' + present('track_artist'), 0.2),
+                                       (present('artist_name'), 0.1), (present('platform'), 0.1),
+                                       (f"artist_name IN {inlist(CF.FAMOUS_5)}", 0.1),
+                                       (present('album') + ' AND COALESCE(release_year <> 0, false)', 0.1)])},
+                        {D(0.95)})"""
+
+TEXTED = """y AS (SELECT *, lower(concat_ws(' ', event_type, track_title, artist_name, album, genre, platform, quality,
+      user_location)) AS txt, hour(event_ts) AS hr,
+    lower(string_split_regex(trim(coalesce(genre, '')), '\\s+')[1]) AS g FROM enr_b)"""
+
+
+def _hour_ctx(extra: list[tuple[str, str]]) -> str:
+    pairs = [(f"(contains(txt, 'morning') OR hr IN {tuple(RU.MORNING_HOURS)})", q(RU.MORNING_CONTEXT)),
+             (f"(contains(txt, 'night') OR hr IN {tuple(RU.NIGHT_HOURS)})", q(RU.NIGHT_CONTEXT))] + extra
+    return case(pairs, q(RU.DEFAULT_CONTEXT))
+
+
+def _base_genres(rock: str) -> str:
+    tail = ", ".join(q(x) for x in RU.DEFAULT_GENRE_TAIL)
+    return case([("g = 'rock'", rock), ("g = 'pop'", lst(RU.PRODUCTION_GENRES['pop']))], f"[g, {tail}]")
+
+
+ORACLE["production_enrichment"] = "WITH " + ENR_B + ",\n" + TEXTED + f"""
+SELECT event_id, 'User is enjoying music with ' || platform || ' quality streaming' AS enhanced_description,
+  {case([(contains('txt', w), q(m)) for w, m in RU.PRODUCTION_MOOD], q(RU.DEFAULT_MOOD))} AS mood_analysis,
+  {_base_genres(lst(RU.PRODUCTION_GENRES['rock']))} AS genre_prediction,
+  {_hour_ctx([])} AS listening_context,
+  {case([(f"contains(coalesce(artist_name, ''), {q(a)})", lst(v)) for a, v in RU.PRODUCTION_SIMILAR],
+        lst(RU.DEFAULT_SIMILAR))} AS similar_tracks,
+  {PROD_CONF} AS enrichment_confidence
+FROM y"""
+
+_EAG = "(contains(txt, 'eagles') OR contains(txt, 'hotel california'))"
+_QUE = "contains(txt, 'queen')"
+_ROCK_MOOD = case([(_EAG, q(RU.ARTIST_RULES[0][2])), (f"({_QUE} OR contains(txt, 'bohemian rhapsody'))",
+                                                    q(RU.ARTIST_RULES[1][2]))], q(RU.PRODUCTION_MOOD[0][1]))
+ORACLE["extended_enrichment"] = "WITH " + ENR_B + ",\n" + TEXTED + f"""
+SELECT event_id, printf({q(RU.DESCRIPTION_TEMPLATE)}, track_title, artist_name, platform) AS enhanced_description,
+  {case([("contains(txt, 'rock')", _ROCK_MOOD), ("contains(txt, 'pop')", q(RU.PRODUCTION_MOOD[1][1])),
+         ("contains(txt, 'jazz')", q(RU.PRODUCTION_MOOD[2][1]))], q(RU.DEFAULT_MOOD))} AS mood_analysis,
+  {_base_genres(case([("contains(txt, 'eagles')", lst(RU.ARTIST_RULES[0][4])), (_QUE, lst(RU.ARTIST_RULES[1][4]))],
+                     lst(RU.PRODUCTION_GENRES['rock'])))} AS genre_prediction,
+  {_hour_ctx([(_EAG, q(RU.ARTIST_RULES[0][3])), (_QUE, q(RU.ARTIST_RULES[1][3]))])} AS listening_context,
+  {case([(contains('txt', a), lst(v)) for a, v in RU.EXTENDED_SIMILAR], lst(RU.DEFAULT_SIMILAR))} AS similar_tracks,
+  {FAMOUS_CONF} AS enrichment_confidence
+FROM y"""
+
+ORACLE["confidence_scores"] = "WITH " + ENR_B + ",\n" + LOWERED + f"""
+SELECT event_id, {PROD_CONF} AS production_confidence, {FAMOUS_CONF} AS famous_confidence,
+  {SIMPLE_CONF} AS simple_confidence, {local_conf_sql()} AS local_confidence
+FROM x"""
+
+
+def FMT(x: str, d: int) -> str:
+    """Fixed decimals as Spark's format_string prints them (half-up on the shortest decimal form)."""
+    return f"CAST(CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
+
+
+_PLAY = "played_duration_ms IS NOT NULL"
+ORACLE["prompt_context"] = with_raw(f"""
+SELECT event_id, concat_ws({q(TXT.CONTEXT_SEPARATOR)},
+    'Event Type: ' || event_type, 'Track: ''' || track_name || ''' by ' || artist_name, 'Platform: ' || platform,
+    CASE WHEN len(track_genres) > 0 THEN 'Track Genres: ' || array_to_string(track_genres, ', ') END,
+    CASE WHEN COALESCE(track_duration_ms <> 0, false)
+         THEN 'Duration: ' || {FMT('CAST(track_duration_ms AS DOUBLE) / 60000.0', 1)} || ' minutes' END,
+    CASE WHEN track_energy IS NOT NULL THEN 'Energy Level: ' || {FMT('track_energy', 2)} END,
+    CASE WHEN track_valence IS NOT NULL THEN 'Valence (Positivity): ' || {FMT('track_valence', 2)} END,
+    CASE WHEN COALESCE(track_tempo <> 0, false) THEN 'Tempo: ' || {FMT('track_tempo', 0)} || ' BPM' END,
+    CASE WHEN {present('device_type')} THEN 'Device: ' || device_type END,
+    CASE WHEN {present('user_location')} THEN 'Location: ' || user_location END,
+    CASE WHEN {_PLAY} THEN 'Played Duration: ' || {FMT('CAST(played_duration_ms AS DOUBLE) / 1000.0', 1)}
+         || ' seconds' END,
+    CASE WHEN {_PLAY} AND {present('skip_reason')} THEN 'Skip Reason: ' || skip_reason END,
+    CASE WHEN {_PLAY} AND COALESCE(shuffle_mode, false) THEN 'Shuffle Mode: ON' END,
+    CASE WHEN {_PLAY} AND COALESCE(repeat_mode, 'off') <> 'off' THEN 'Repeat Mode: ' || repeat_mode END
+  ) AS context_text,
+  least({sql_sum(0.0, [('len(COALESCE(track_genres, [])) > 0', 0.2), ('track_energy IS NOT NULL', 0.15),
+                       ('track_valence IS NOT NULL', 0.15), ('COALESCE(track_tempo <> 0, false)', 0.1),
+                       ('track_popularity IS NOT NULL', 0.1), (present('device_type'), 0.1),
+                       (present('user_location'), 0.1), (_PLAY, 0.1)])}, {D(1.0)}) AS data_confidence
+FROM raw_a""")
+
+
+def STRIP(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def WORDS(x: str) -> str:
+    return f"CASE WHEN {STRIP(x)} = '' THEN 0 ELSE len(string_split_regex({STRIP(x)}, '\\s+')) END"
+
+
+_S = STRIP("text")
+_L = f"lower({_S})"
+_GITEMS = f"list_filter(list_transform(string_split({_L}, ','), lambda g: {STRIP('g')}), lambda g: g IN {inlist(GENRES_A)})"
+ORACLE["answer_cleaning"] = f"""
+SELECT conv_id, turn,
+  CASE WHEN length({_S}) > {TXT.DESCRIPTION_LIMIT} THEN substring({_S}, 1, {TXT.DESCRIPTION_KEEP}) || '...' ELSE {_S} END
+    AS description,
+  CASE WHEN {WORDS(_L)} <= {TXT.MOOD_MAX_WORDS} THEN {_L} END AS mood,
+  CASE WHEN {WORDS(_L)} <= {TXT.CONTEXT_MAX_WORDS} THEN {_L} END AS listening_context,
+  CASE WHEN {_L} = 'none' THEN NULL WHEN len({_GITEMS}) > 0 THEN {_GITEMS} END AS genres,
+  CASE WHEN lower({_S}) = 'none' THEN NULL
+       ELSE list_slice(list_transform(string_split({_S}, ','), lambda x: {STRIP('x')}), 1, {TXT.SIMILAR_MAX}) END
+    AS similar_tracks,
+  list_slice(list_transform(string_split(regexp_replace({_S}, '[\\[\\]]', '', 'g'), ','),
+             lambda x: lower({STRIP('x')})), 1, {TXT.VARIANT_GENRES_MAX}) AS genres_variant,
+  list_slice(list_filter(list_transform(string_split({_S}, chr(10)), lambda x: {STRIP('x')}), lambda x: x <> ''),
+             1, {TXT.VARIANT_TRACKS_MAX}) AS tracks_variant
+FROM conversations WHERE role = 'assistant'"""
+
+# --- catalog, search, dimensions ---------------------------------------------------------
+CATALOG_CTE = ENR_B + """,
+cat0 AS (SELECT track_id, min(track_title) AS track_title, min(artist_name) AS artist_name, min(album) AS album,
+    min(genre) AS genre, min(release_year) AS release_year, min(duration) AS duration FROM enr_b GROUP BY track_id),
+plat AS (SELECT track_id, platform FROM (
+    SELECT track_id, platform, row_number() OVER (PARTITION BY track_id ORDER BY n DESC, platform) AS rn
+    FROM (SELECT track_id, platform, COUNT(*) AS n FROM enr_b WHERE platform IS NOT NULL GROUP BY ALL)) WHERE rn = 1),
+cx AS (SELECT c.*, p.platform, lower(coalesce(track_title, '')) AS tl, lower(coalesce(artist_name, '')) AS al,
+    lower(coalesce(genre, '')) AS gl FROM cat0 c LEFT JOIN plat p USING (track_id)),
+catalog AS (SELECT track_id, track_title, artist_name, album, genre, release_year, duration, platform,
+""" + f"""  {_R['mood_analysis']} AS mood_analysis, {_R['predicted_genres']} AS predicted_genres,
+  {_R['listening_context']} AS listening_context, {_R['similar_tracks']} AS similar_tracks FROM cx)"""
+
+ORACLE["track_catalog"] = "WITH " + CATALOG_CTE + "\nSELECT * FROM catalog"
+ORACLE["catalog_search"] = "WITH " + CATALOG_CTE + """
+SELECT * FROM catalog WHERE (genre = 'hard_rock' OR list_contains(predicted_genres, 'hard_rock'))
+  AND contains(lower(mood_analysis), 'energetic')"""
+ORACLE["genre_track_counts"] = "WITH " + CATALOG_CTE + """
+SELECT genre, COUNT(*) AS tracks, COUNT(DISTINCT artist_name) AS artists FROM catalog GROUP BY genre"""
+
+ORACLE["events_with_dimensions"] = with_raw(""",
+ad AS (SELECT artist_id, min(artist_name) AS artist_name, max(artist_followers) AS artist_followers,
+    CAST(max(CAST(artist_verified AS INTEGER)) AS BOOLEAN) AS artist_verified, min(artist_country) AS artist_country
+  FROM raw_a GROUP BY artist_id),
+ald AS (SELECT album_id, min(album_name) AS album_name, min(album_release_date) AS album_release_date
+  FROM raw_a WHERE album_id IS NOT NULL GROUP BY album_id)
+SELECT f.event_id, f.event_type, f.track_id, f.artist_id, f.album_id, f.played_duration_ms,
+  ad.artist_name, ad.artist_followers, ad.artist_verified, ad.artist_country, ald.album_name, ald.album_release_date
+FROM raw_a f LEFT JOIN ad USING (artist_id) LEFT JOIN ald USING (album_id)""")

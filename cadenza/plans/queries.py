@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.functions.derive_full import derive_fields, raw_music_events
-from cadenza.functions.derive_simple import loose_parse_b, processed_events
-from cadenza.operators import metrics, reports, validate
+from cadenza.functions import confidence as C
+from cadenza.functions import text as TX
+from cadenza.functions.derive_simple import enrichment_input_b, loose_parse_b, processed_events
+from cadenza.operators import lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import checkpoint_path
 from cadenza.sources import messages
@@ -148,3 +150,113 @@ def q_track_daily_analytics(spark, sf_dir):
 @register("platform_daily_analytics")
 def q_platform_daily_analytics(spark, sf_dir):
     return reports.platform_daily_analytics(raw_a(spark, sf_dir))
+
+
+def enrich_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrichment_input_b(nested_events_b(read_events(spark, sf_dir)))
+
+
+def _c(*names):
+    return [F.col(n) for n in names]
+
+
+@register("rule_enrichment")
+def q_rule_enrichment(spark, sf_dir):
+    df = rules.enrich_rules(enrich_input(spark, sf_dir))
+    conf = C.local_confidence(*_c("track_title", "track_artist", "genre", "artist_name", "platform", "album",
+                                  "release_year"))
+    return df.select("event_id", "event_description", "mood_analysis", "predicted_genres", "listening_context",
+                     "similar_tracks", conf.alias("enrichment_confidence"))
+
+
+@register("rule_enrichment_table")
+def q_rule_enrichment_table(spark, sf_dir):
+    rules_df = spark.createDataFrame(rules.rules_as_rows(), rules.RULES_SCHEMA)
+    df = rules.match_rules_table(enrich_input(spark, sf_dir), rules_df)
+    conf = C.local_confidence(*_c("track_title", "track_artist", "genre", "artist_name", "platform", "album",
+                                  "release_year"))
+    return df.select("event_id", "event_description", "mood_analysis", "predicted_genres", "listening_context",
+                     "similar_tracks", conf.alias("enrichment_confidence"))
+
+
+@register("production_enrichment")
+def q_production_enrichment(spark, sf_dir):
+    df = rules.enrich_production(enrich_input(spark, sf_dir))
+    conf = C.production_confidence(*_c("track_title", "track_artist", "genre", "user_location", "platform"))
+    return df.select("event_id", "enhanced_description", "mood_analysis", "genre_prediction", "listening_context",
+                     "similar_tracks", conf.alias("enrichment_confidence"))
+
+
+@register("extended_enrichment")
+def q_extended_enrichment(spark, sf_dir):
+    df = rules.enrich_extended(enrich_input(spark, sf_dir))
+    conf = C.famous_confidence(*_c("track_title", "track_artist", "genre", "user_location", "platform",
+                                   "artist_name"))
+    return df.select("event_id", "enhanced_description", "mood_analysis", "genre_prediction", "listening_context",
+                     "similar_tracks", conf.alias("enrichment_confidence"))
+
+
+@register("confidence_scores")
+def q_confidence_scores(spark, sf_dir):
+    c = F.col
+    return enrich_input(spark, sf_dir).select(
+        "event_id",
+        C.production_confidence(c("track_title"), c("track_artist"), c("genre"), c("user_location"),
+                                c("platform")).alias("production_confidence"),
+        C.famous_confidence(c("track_title"), c("track_artist"), c("genre"), c("user_location"), c("platform"),
+                            c("artist_name")).alias("famous_confidence"),
+        C.simple_confidence(c("track_title"), c("track_artist"), c("artist_name"), c("platform"), c("album"),
+                            c("release_year")).alias("simple_confidence"),
+        C.local_confidence(c("track_title"), c("track_artist"), c("genre"), c("artist_name"), c("platform"),
+                           c("album"), c("release_year")).alias("local_confidence"))
+
+
+@register("prompt_context")
+def q_prompt_context(spark, sf_dir):
+    c = F.col
+    raw = raw_a(spark, sf_dir)
+    return raw.select(
+        "event_id",
+        TX.prompt_context(c("event_type"), c("track_name"), c("artist_name"), c("platform"), c("track_genres"),
+                          c("track_duration_ms"), c("track_energy"), c("track_valence"), c("track_tempo"),
+                          c("device_type"), c("user_location"), c("played_duration_ms"), c("skip_reason"),
+                          c("shuffle_mode"), c("repeat_mode")).alias("context_text"),
+        C.data_confidence(c("track_genres"), c("track_energy"), c("track_valence"), c("track_tempo"),
+                          c("track_popularity"), c("device_type"), c("user_location"),
+                          c("played_duration_ms").isNotNull()).alias("data_confidence"))
+
+
+@register("answer_cleaning")
+def q_answer_cleaning(spark, sf_dir):
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter(F.col("role") == "assistant")
+    t = F.col("text")
+    return conv.select("conv_id", "turn",
+                       TX.clean_description(t).alias("description"), TX.clean_mood(t).alias("mood"),
+                       TX.clean_context(t).alias("listening_context"), TX.clean_genres(t).alias("genres"),
+                       TX.clean_similar(t).alias("similar_tracks"),
+                       TX.clean_genres_variant(t).alias("genres_variant"),
+                       TX.clean_tracks_variant(t).alias("tracks_variant"))
+
+
+@register("track_catalog")
+def q_track_catalog(spark, sf_dir):
+    return lookups.track_catalog(enrich_input(spark, sf_dir))
+
+
+@register("catalog_search")
+def q_catalog_search(spark, sf_dir):
+    cat = lookups.track_catalog(enrich_input(spark, sf_dir))
+    return lookups.search_catalog(cat, genre="hard_rock", mood="energetic")
+
+
+@register("genre_track_counts")
+def q_genre_track_counts(spark, sf_dir):
+    return lookups.genre_track_counts(lookups.track_catalog(enrich_input(spark, sf_dir)))
+
+
+@register("events_with_dimensions")
+def q_events_with_dimensions(spark, sf_dir):
+    raw = raw_a(spark, sf_dir)
+    facts = raw.select("event_id", "event_type", "track_id", "artist_id", "album_id", "played_duration_ms")
+    out = lookups.lookup_join(facts, lookups.artist_dimension(raw), "artist_id")
+    return lookups.lookup_join(out, lookups.album_dimension(raw), "album_id")
