@@ -614,3 +614,47 @@ ald AS (SELECT album_id, min(album_name) AS album_name, min(album_release_date)
 SELECT f.event_id, f.event_type, f.track_id, f.artist_id, f.album_id, f.played_duration_ms,
   ad.artist_name, ad.artist_followers, ad.artist_verified, ad.artist_country, ald.album_name, ald.album_release_date
 FROM raw_a f LEFT JOIN ad USING (artist_id) LEFT JOIN ald USING (album_id)""")
+
+
+# --- streams and sinks ---------------------------------------------------------------
+_VALID = _fault_sql("CAST(split_part(event_id, '-', 2) AS BIGINT)", "event_type") + " IS NULL"
+ORACLE["stream_window_metrics"] = with_raw(f""",
+v AS (SELECT * FROM raw_a WHERE {_VALID})
+SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS window_start,
+  time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE AS window_end,
+  COUNT(*) AS total_events, COUNT(DISTINCT user_id) AS unique_users, COUNT(DISTINCT track_id) AS unique_tracks,
+  {dist_json('platform', PLATFORMS_A)} AS platform_distribution,
+  {dist_json('event_type', EVENT_TYPES_A)} AS event_type_distribution,
+  COALESCE({R6('AVG(engagement_score)')}, 0.0) AS average_engagement_score,
+  MIN("timestamp") AS first_event_ts, MAX("timestamp") AS last_event_ts
+FROM v GROUP BY time_bucket(INTERVAL 1 MINUTE, "timestamp")
+HAVING time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE <= (SELECT MAX("timestamp") FROM v)""")
+
+ORACLE["stream_engagement_metrics"] = with_processed(f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+  time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
+  coalesce(event_type, 'unknown') AS event_type, COUNT(*) AS count,
+  {R6('AVG(engagement_score)')} AS avg_engagement
+FROM processed WHERE event_ts IS NOT NULL
+GROUP BY time_bucket(INTERVAL 5 MINUTE, event_ts), coalesce(event_type, 'unknown')
+HAVING time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE <= (SELECT MAX(event_ts) FROM processed)""")
+
+ORACLE["stream_dedup_counts"] = with_raw(f"""
+SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS distinct_events
+FROM raw_a WHERE {_VALID} GROUP BY event_type""")
+
+ORACLE["error_rate_windows"] = f"""
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, COUNT(*) AS errors,
+  {R6('COUNT(*) / 300.0')} AS errors_per_second, {R6('COUNT(*) / 300.0')} > 10 AS alert
+FROM (SELECT time_bucket(INTERVAL 1 MINUTE, CAST(ts AS TIMESTAMP)) - to_minutes(CAST(r.i AS BIGINT)) AS ws
+      FROM events, range(5) AS r(i) WHERE event_type = 'error')
+GROUP BY ws"""
+
+ORACLE["envelope_decode"] = ORACLE["processed_events"]
+ORACLE["json_export_roundtrip"] = ORACLE["raw_music_events"]
+
+ORACLE["retained_partitions"] = with_raw("""
+SELECT CAST("timestamp" AS DATE) AS event_date, COUNT(*) AS events, COUNT(DISTINCT user_id) AS users,
+  CAST(COALESCE(SUM(played_duration_ms), 0) AS BIGINT) AS played_ms
+FROM raw_a WHERE CAST("timestamp" AS DATE) >= DATE '2024-04-25' - INTERVAL 90 DAY
+GROUP BY CAST("timestamp" AS DATE)""")

@@ -20,7 +20,8 @@ from cadenza.functions.derive_simple import enrichment_input_b, loose_parse_b, p
 from cadenza.operators import lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import checkpoint_path
-from cadenza.sources import messages
+from cadenza.sources import messages, sinks
+from cadenza.streaming import pipeline as stream
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,3 +261,94 @@ def q_events_with_dimensions(spark, sf_dir):
     facts = raw.select("event_id", "event_type", "track_id", "artist_id", "album_id", "played_duration_ms")
     out = lookups.lookup_join(facts, lookups.artist_dimension(raw), "artist_id")
     return lookups.lookup_join(out, lookups.album_dimension(raw), "album_id")
+
+
+# --- streams and sinks: each run drains into a fresh folder of the checkpoint dir ----
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    import uuid
+    return checkpoint_path(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def landed_b(spark: SparkSession, sf_dir: str) -> str:
+    import hashlib
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    path = checkpoint_path(spark, f"landing/messages-b-{tag}")
+    return messages.land_text(messages.to_json_text(nested_events_b(read_events(spark, sf_dir))), path)
+
+
+def landed_a_path(spark: SparkSession, sf_dir: str) -> str:
+    import hashlib
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    path = checkpoint_path(spark, f"landing/messages-{tag}")
+    return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
+
+
+def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    out = fresh_dir(spark, name)
+    stream.run_to_completion(df, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("stream_window_metrics")
+def q_stream_window_metrics(spark, sf_dir):
+    raw = stream.raw_stream(stream.event_stream(spark, landed_a_path(spark, sf_dir)))
+    return _drain(spark, stream.window_metrics_stream(raw), "window-metrics")
+
+
+@register("stream_engagement_metrics")
+def q_stream_engagement_metrics(spark, sf_dir):
+    proc = stream.processed_stream(spark, landed_b(spark, sf_dir))
+    return _drain(spark, stream.keyed_metrics_stream(proc, "engagement"), "engagement-metrics")
+
+
+@register("stream_dedup_counts")
+def q_stream_dedup_counts(spark, sf_dir):
+    # every message delivered twice (two readers of one folder); dedup keeps one
+    landing = landed_a_path(spark, sf_dir)
+    twice = stream.event_stream(spark, landing).unionByName(stream.event_stream(spark, landing))
+    rows = _drain(spark, stream.raw_stream(twice, watermark=stream.DEFAULT_WATERMARK)
+                  .select("event_id", "event_type", "timestamp"), "dedup")
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
+                                          F.countDistinct("event_id").alias("distinct_events"))
+
+
+@register("error_rate_windows")
+def q_error_rate_windows(spark, sf_dir):
+    failures = (read_events(spark, sf_dir).filter(F.col("event_type") == "error")
+                .select(F.col("ts").cast("timestamp").alias("failed_at")))
+    return stream.error_alerts(failures, time_col="failed_at", only_alerts=False)
+
+
+@register("envelope_decode")
+def q_envelope_decode(spark, sf_dir):
+    from cadenza.schemas import EVENT_B
+    text = messages.to_json_text(nested_events_b(read_events(spark, sf_dir)), keep=["event_id"])
+    n = F.substring_index("event_id", "-", -1).cast("long")
+    env = messages.encode_envelope(text, bare=(n % 2 == 1))
+    decoded = messages.decode_envelope(env).filter("decode_ok")
+    parsed = decoded.select(F.from_json("value", EVENT_B, messages.JSON_OPTIONS).alias("e")).select("e.*")
+    return processed_events(loose_parse_b(parsed)).drop("processing_time")
+
+
+@register("json_export_roundtrip")
+def q_json_export_roundtrip(spark, sf_dir):
+    out = fresh_dir(spark, "json-export")
+    messages.write_json_events(nested_events_a(read_events(spark, sf_dir)), out)
+    back = messages.read_landing(spark, out, EVENT_A).drop("raw_value", "parse_ok")
+    return raw_music_events(back)
+
+
+RETENTION_AS_OF = dt.date(2024, 4, 25)
+
+
+@register("retained_partitions")
+def q_retained_partitions(spark, sf_dir):
+    out = fresh_dir(spark, "raw-table")
+    sinks.write_table(raw_a(spark, sf_dir), out, "raw_music_events")
+    sinks.apply_retention(spark, out, "raw_music_events", RETENTION_AS_OF)
+    table = spark.read.parquet(out)
+    return table.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"),
+                                           F.countDistinct("user_id").alias("users"),
+                                           F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long")
+                                           .alias("played_ms"))

@@ -16,10 +16,10 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def to_json_text(nested: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One JSON object per event in ``value`` (nulls left out)."""
-    keep = keep or []
-    cols = [c for c in nested.columns if c not in keep]
-    return nested.select(*keep, F.to_json(F.struct(*cols), JSON_OPTIONS).alias("value"))
+    """One JSON object per event in ``value`` (nulls left out);
+    ``keep`` columns are also passed through beside the text."""
+    body = F.to_json(F.struct(*nested.columns), JSON_OPTIONS)
+    return nested.select(*(keep or []), body.alias("value"))
 
 
 # --- fault injection for the validation checks (ours) --------------------------
@@ -71,11 +71,12 @@ def damaged_messages(events: DataFrame) -> DataFrame:
     return nested.select(F.when(f == "parse_error", F.concat(F.lit("corrupt:"), text)).otherwise(text).alias("value"))
 
 
-def encode_envelope(text: DataFrame, bare: bool = False) -> DataFrame:
-    """Wrap ``value`` as base64, inside ``{"data": ...}`` unless ``bare``."""
+def encode_envelope(text: DataFrame, bare: bool | Column = False) -> DataFrame:
+    """Wrap ``value`` as base64, inside ``{"data": ...}`` unless ``bare`` (a flag or a per-row condition)."""
     b64 = F.base64(F.encode(F.col("value"), "UTF-8"))
-    wrapped = b64 if bare else F.to_json(F.struct(b64.alias("data")))
-    return text.select(wrapped.alias("value"))
+    wrapped = F.to_json(F.struct(b64.alias("data")))
+    cond = bare if isinstance(bare, Column) else F.lit(bool(bare))
+    return text.select(F.when(cond, b64).otherwise(wrapped).alias("value"))
 
 
 def decode_envelope(env: DataFrame, value_col: str = "value") -> DataFrame:
@@ -95,19 +96,13 @@ def decode_envelope(env: DataFrame, value_col: str = "value") -> DataFrame:
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON files holding one event or an array of events, one row per event.
 
-    Files are read whole (``wholetext``) so an array may span lines; each
-    element becomes a row, a single object becomes one row, and the source
-    file name is kept as ``source_file``. The files are split across tasks,
+    The multi-line JSON source reads each file as one document; a top-level
+    array yields one row per element, a single object one row. The source
+    file name is kept as ``source_file``. Files are split across tasks,
     never gathered on the driver.
     """
-    raw = (spark.read.option("wholetext", "true").text(path)
-           .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
-    as_array = F.from_json(F.col("value"), T.ArrayType(schema), JSON_OPTIONS)
-    as_object = F.from_json(F.col("value"), schema, JSON_OPTIONS)
-    is_array = F.trim(F.col("value")).startswith("[")
-    items = F.when(is_array, as_array).otherwise(F.array(as_object))
-    return (raw.select("source_file", F.explode(items).alias("e"))
-               .select("e.*", "source_file"))
+    return (spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", "true").json(path)
+            .withColumn("source_file", F.col("_metadata.file_path")))
 
 
 def write_json_events(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -132,7 +127,7 @@ def land_text(text: DataFrame, path: str) -> str:
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """JSON-lines messages parsed at the scan, batch or stream.
 
     The JSON source parses each line once against ``schema`` and only the
@@ -145,6 +140,9 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if streaming and archive_dir:
+        # S3: move each fully processed input file to the archive folder
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.json(path)
     return (df.withColumnRenamed("_corrupt_record", "raw_value")
               .withColumn("parse_ok", F.col("raw_value").isNull()))
