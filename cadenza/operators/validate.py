@@ -33,14 +33,17 @@ _CORRUPT = "_corrupt_record"
 def parse_json(raw: DataFrame, schema=EVENT_A, value_col: str = "value") -> DataFrame:
     """V1: text column to the nested event plus ``parse_ok``.
 
-    Unparsable text yields a null struct (``from_json`` in PERMISSIVE mode);
-    the raw text is kept for the dead-letter table.
+    Parsed in PERMISSIVE mode with a corrupt-record field, so malformed text
+    is flagged (Spark returns an all-null struct for it, not a null) and its
+    raw text is kept for the dead-letter table.
     """
-    parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"})
-    return (raw.select(F.col(value_col).alias("raw_value"), parsed.alias("e"),
-                       *[c for c in raw.columns if c != value_col])
-               .select("raw_value", "e.*", *[c for c in raw.columns if c != value_col],
-                       F.col("e").isNotNull().alias("parse_ok")))
+    from pyspark.sql import types as T
+    full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col(value_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    rest = [c for c in raw.columns if c != value_col]
+    return (raw.select(F.col(value_col).alias("raw_value"), parsed.alias("e"), *rest)
+               .select("raw_value", *[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest,
+                       (F.col("e").isNotNull() & F.col(f"e.{_CORRUPT}").isNull()).alias("parse_ok")))
 
 
 def _err(cond: Column, code: str) -> Column:

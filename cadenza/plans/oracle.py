@@ -658,3 +658,33 @@ SELECT CAST("timestamp" AS DATE) AS event_date, COUNT(*) AS events, COUNT(DISTIN
   CAST(COALESCE(SUM(played_duration_ms), 0) AS BIGINT) AS played_ms
 FROM raw_a WHERE CAST("timestamp" AS DATE) >= DATE '2024-04-25' - INTERVAL 90 DAY
 GROUP BY CAST("timestamp" AS DATE)""")
+
+
+# --- V12 business rules on raw text; Q13 context layouts -------------------------------
+ORACLE["business_rule_check"] = "WITH " + FAULTS_CTE + f""",
+m AS (SELECT f.fault, k.u, k.k FROM faults f JOIN keyed k USING (e))
+SELECT NOT (fault IS NOT DISTINCT FROM 'parse_error' OR (u % 7 = 0 AND k % 10 = 3 AND fault IS DISTINCT FROM
+    'popularity_out_of_range')) AS passed, COUNT(*) AS messages
+FROM m GROUP BY 1"""
+
+_PROD_LINES = ["", "    Music Event Context:", "    - Event Type: %s", "    - Track: %s by %s", "    - Album: %s (%s)",
+               "    - Genre: %s", "    - Duration: %s seconds", "    - Platform: %s", "    - Quality: %s",
+               "    - User Location: %s", "    - Timestamp: %s", "    "]
+_SIMPLE_KEYS = ["Track: %s by %s", "Album: %s", "Duration: %s seconds", "Genre: %s", "Release Year: %s",
+                "Artist: %s", "Artist Genre: %s", "Artist Followers: %s", "Event Type: %s", "Platform: %s",
+                "User Location: %s"]
+
+
+def _fmt_args(cols):
+    return ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in cols)
+
+
+ORACLE["context_text_b"] = "WITH " + ENR_B + f"""
+SELECT event_id,
+  printf({q(chr(10).join(_PROD_LINES))}, {_fmt_args(['event_type', 'track_title', 'track_artist', 'album',
+      'release_year', 'genre', 'duration', 'platform', 'quality', 'user_location',
+      "strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') || '+00:00'"])}) AS production_context,
+  {STRIP(f"printf({q(chr(10).join(['    ' + k if i else k for i, k in enumerate(_SIMPLE_KEYS)]))}, " + _fmt_args(
+      ['track_title', 'track_artist', 'album', 'duration', 'genre', 'release_year', 'artist_name', 'artist_genre',
+       'followers', 'event_type', 'platform', 'user_location']) + ")")} AS simple_context
+FROM enr_b"""

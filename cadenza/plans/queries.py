@@ -327,7 +327,7 @@ def q_envelope_decode(spark, sf_dir):
     n = F.substring_index("event_id", "-", -1).cast("long")
     env = messages.encode_envelope(text, bare=(n % 2 == 1))
     decoded = messages.decode_envelope(env).filter("decode_ok")
-    parsed = decoded.select(F.from_json("value", EVENT_B, messages.JSON_OPTIONS).alias("e")).select("e.*")
+    parsed = decoded.select(F.from_json("value", EVENT_B).alias("e")).select("e.*")
     return processed_events(loose_parse_b(parsed)).drop("processing_time")
 
 
@@ -352,3 +352,26 @@ def q_retained_partitions(spark, sf_dir):
                                            F.countDistinct("user_id").alias("users"),
                                            F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long")
                                            .alias("played_ms"))
+
+
+@register("business_rule_check")
+def q_business_rule_check(spark, sf_dir):
+    # V12 reads the raw message text: key presence is invisible after parsing
+    text = spark.read.text(landed_a_path(spark, sf_dir))
+    ok = validate.business_rules_ok(F.col("value"))
+    return text.groupBy(ok.alias("passed")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("context_text_b")
+def q_context_text_b(spark, sf_dir):
+    c = F.col
+    df = enrich_input(spark, sf_dir)
+    ts_text = F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
+    return df.select(
+        "event_id",
+        TX.production_context(c("event_type"), c("track_title"), c("track_artist"), c("album"), c("release_year"),
+                              c("genre"), c("duration"), c("platform"), c("quality"), c("user_location"),
+                              ts_text).alias("production_context"),
+        TX.simple_context(c("track_title"), c("track_artist"), c("album"), c("duration"), c("genre"),
+                          c("release_year"), c("artist_name"), c("artist_genre"), c("followers"), c("event_type"),
+                          c("platform"), c("user_location")).alias("simple_context"))

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Written timestamps keep microseconds; reads use Spark's default ISO-8601
+# parser, which accepts any fraction length and a "Z" or offset.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+READ_OPTIONS: dict = {}
 
 
 def to_json_text(nested: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -101,7 +104,7 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> Da
     file name is kept as ``source_file``. Files are split across tasks,
     never gathered on the driver.
     """
-    return (spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", "true").json(path)
+    return (spark.read.schema(schema).options(**READ_OPTIONS).option("multiLine", "true").json(path)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
@@ -136,7 +139,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     """
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     reader = spark.readStream if streaming else spark.read
-    reader = (reader.schema(full).options(**JSON_OPTIONS)
+    reader = (reader.schema(full).options(**READ_OPTIONS)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -146,3 +149,4 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     df = reader.json(path)
     return (df.withColumnRenamed("_corrupt_record", "raw_value")
               .withColumn("parse_ok", F.col("raw_value").isNull()))
+
