@@ -210,11 +210,11 @@ def match_rules_table(df: DataFrame, rules: DataFrame) -> DataFrame:
     """First matching rule per output, rules given as a DataFrame.
 
     The rules table must be small: its row count is checked against
-    ``MAX_TABLE_RULES`` before its rows are embedded in the plan as a literal
-    array (a broadcast whose size is proven). Each event then scans the array
-    with ``filter`` and takes the lowest priority hit: no join, no shuffle,
-    and an event is never paired with more rules than the table holds.
-    Unmatched outputs take the genre fallback as in ``enrich_rules``.
+    ``MAX_TABLE_RULES`` before its rows are read and turned into one ``CASE``
+    chain per output, ordered by priority (a broadcast whose size is
+    proven, compiled into the generated code). No join and no shuffle, and an
+    event is never paired with more rules than the table holds. Unmatched
+    outputs take the genre fallback as in ``enrich_rules``.
     """
     n = rules.count()
     if n > MAX_TABLE_RULES:
@@ -223,19 +223,15 @@ def match_rules_table(df: DataFrame, rules: DataFrame) -> DataFrame:
     title_l = F.lower(F.coalesce(F.col("track_title"), F.lit("")))
     artist_l = F.lower(F.coalesce(F.col("artist_name"), F.lit("")))
     genre_l = F.lower(F.coalesce(F.col("genre"), F.lit("")))
+    field = {"track_title": title_l, "artist_name": artist_l}
     defaults = [F.lit(DEFAULT_MOOD), F.lit(DEFAULT_CONTEXT),
                 F.array(genre_l, *[F.lit(g) for g in DEFAULT_GENRE_TAIL]), _lits(DEFAULT_SIMILAR)]
     cols = []
     for idx, out in enumerate(("mood_analysis", "listening_context", "predicted_genres", "similar_tracks")):
-        arr = F.array(*[F.struct(F.lit(r["priority"]).alias("p"), F.lit(r["field"]).alias("f"),
-                                 F.lit(r["needle"]).alias("n"), _lits(list(r["value"])).alias("v"))
-                        for r in rows if r["output"] == out])
-        hits = F.filter(arr, lambda r: F.when(r["f"] == "track_title", title_l.contains(r["n"]))
-                        .otherwise(artist_l.contains(r["n"])))
-        first = F.array_min(hits)  # lowest priority wins
-        hit = first["v"][0] if idx < 2 else first["v"]
-        fallback = _genre_fallback(genre_l, idx, defaults[idx])
-        cols.append(F.when(first.isNotNull(), hit).otherwise(fallback).alias(out))
+        pairs = [(field[r["field"]].contains(r["needle"]),
+                  F.lit(r["value"][0]) if idx < 2 else _lits(list(r["value"])))
+                 for r in rows if r["output"] == out]
+        cols.append(_chain(pairs, _genre_fallback(genre_l, idx, defaults[idx])).alias(out))
     desc = F.format_string(DESCRIPTION_TEMPLATE, F.col("track_title"), F.col("artist_name"), F.col("platform"))
     return df.select("*", desc.alias("event_description"), *cols)
 

@@ -21,6 +21,7 @@ from cadenza.operators import lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import checkpoint_path
 from cadenza.sources import messages, sinks
+from cadenza.sources.tables import read_table
 from cadenza.streaming import pipeline as stream
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 
@@ -229,7 +230,7 @@ def q_prompt_context(spark, sf_dir):
 
 @register("answer_cleaning")
 def q_answer_cleaning(spark, sf_dir):
-    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter(F.col("role") == "assistant")
+    conv = read_table(spark, sf_dir, "conversations", spread_key="conv_id").filter(F.col("role") == "assistant")
     t = F.col("text")
     return conv.select("conv_id", "turn",
                        TX.clean_description(t).alias("description"), TX.clean_mood(t).alias("mood"),
@@ -326,7 +327,9 @@ def q_envelope_decode(spark, sf_dir):
     text = messages.to_json_text(nested_events_b(read_events(spark, sf_dir)), keep=["event_id"])
     n = F.substring_index("event_id", "-", -1).cast("long")
     env = messages.encode_envelope(text, bare=(n % 2 == 1))
-    decoded = messages.decode_envelope(env).filter("decode_ok")
+    # no pre-filter on decode_ok: Catalyst would push it below the projections
+    # and evaluate the decode chain twice; undecodable rows parse to nulls
+    decoded = messages.decode_envelope(env)
     parsed = decoded.select(F.from_json("value", EVENT_B).alias("e")).select("e.*")
     return processed_events(loose_parse_b(parsed)).drop("processing_time")
 

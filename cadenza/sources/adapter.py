@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.common import session_cached
+from cadenza.sources.tables import read_table
 from cadenza.schemas import GENRES_A, PLATFORMS_A, PLATFORMS_B
 
 # --- fixed values: the fifteen-track catalog (titles, artists, albums, years,
@@ -69,7 +70,7 @@ def read_events(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
     as a pushed filter (row-group skipping) instead of being evaluated after
     the music columns are built.
     """
-    df = _scan(spark, f"{sf_dir}/events.parquet")
+    df = read_table(spark, sf_dir, "events", spread_key="event_id")
     if since is not None:
         df = df.filter(F.col("ts") >= F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp_ntz"))
     if until is not None:
@@ -77,18 +78,6 @@ def read_events(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
     return df
 
 
-_SCANS: dict = {}
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """One resolved Parquet relation per session and path (listing and footer
-    reads happen once; the plan is immutable, so sharing it is safe)."""
-    key = (id(spark.sparkContext), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
-
-
 def pick(values: list, idx: Column) -> Column:
     """Item ``idx`` (0-based) of a literal list; folds into generated code."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))

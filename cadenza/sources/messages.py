@@ -90,10 +90,9 @@ def decode_envelope(env: DataFrame, value_col: str = "value") -> DataFrame:
     """
     raw = F.col(value_col)
     inner = F.when(F.trim(raw).startswith("{"), F.get_json_object(raw, "$.data")).otherwise(F.trim(raw))
-    binary = F.try_to_binary(inner, F.lit("base64"))
-    decoded = F.when(F.try_validate_utf8(binary).isNotNull(), F.try_validate_utf8(binary))
-    return env.select(F.col(value_col).alias("envelope"), decoded.alias("value"),
-                      decoded.isNotNull().alias("decode_ok"))
+    decoded = F.try_validate_utf8(F.try_to_binary(inner, F.lit("base64")).cast("string"))
+    return (env.select(F.col(value_col).alias("envelope"), decoded.alias("value"))
+               .withColumn("decode_ok", F.col("value").isNotNull()))
 
 
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
