@@ -81,7 +81,8 @@ def platform_performance(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, days: i
 
 # --- most frequent value per group ---------------------------------------------
 
-def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dict[str, Column] | None = None) -> DataFrame:
+def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dict[str, Column] | None = None,
+          distributions: dict[str, Column] | None = None) -> DataFrame:
     """Most frequent value of each attribute per ``keys`` group; ties go to the
     smallest value.
 
@@ -90,10 +91,15 @@ def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dic
     combines map-side (a hot key is folded inside each task before the
     shuffle), then one ``min(struct(-count, value))`` per key and attribute,
     also algebraic. Nothing collects a group's rows. ``explode`` attributes
-    are arrays whose every element counts once.
+    are arrays whose every element counts once. ``distributions`` attributes
+    come back as a JSON object of count per value (keys sorted), built from
+    the same counts: the list gathered per group holds one entry per
+    distinct value, never the group's rows.
     """
     explode = explode or {}
+    distributions = distributions or {}
     names = list(attrs) + list(explode)
+    attrs = {**attrs, **distributions}
     items = [F.array(F.struct(F.lit(n).alias("attr"), c.cast("string").alias("vs"),
                               (c.cast("long") if _is_integral(df, c) else F.lit(None).cast("long")).alias("vn")))
              for n, c in attrs.items()]
@@ -103,9 +109,11 @@ def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dic
                .groupBy(*keys, "attr", "vs", "vn").agg(F.count(F.lit(1)).alias("n")))
     best = counted.groupBy(*keys).agg(*[
         F.min(F.when(F.col("attr") == n, F.struct((-F.col("n")).alias("neg"), "vn", "vs"))).alias(n)
-        for n in names])
+        for n in names], *[
+        _json_counts(F.collect_list(F.when(F.col("attr") == n, F.struct("vs", "n")))).alias(n)
+        for n in distributions])
     return best.select(*keys, *[(F.col(f"{n}.vn") if n in attrs and _is_integral(df, attrs[n])
-                                 else F.col(f"{n}.vs")).alias(n) for n in names])
+                                 else F.col(f"{n}.vs")).alias(n) for n in names], *distributions)
 
 
 def _tag(name: str):
@@ -151,16 +159,9 @@ def user_daily_analytics(raw: DataFrame) -> DataFrame:
         "preferred_device", "most_active_hour", "skip_rate", "completion_rate")
 
 
-def geo_distribution(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """A2, open keys: ``{"value": count}`` per group, keys sorted.
-
-    Counts per (group, value) first (map-side combined), so the list gathered
-    per group holds one entry per distinct value, never the group's rows.
-    """
-    per = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(col).isNotNull())
-    return per.groupBy(*keys).agg(
-        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(col), F.col("n")))))).alias(
-            "geographic_distribution"))
+def _json_counts(entries: Column) -> Column:
+    """(value, count) entries to a JSON object with sorted keys; null when empty."""
+    return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(F.sort_array(entries))))
 
 
 def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
@@ -185,12 +186,12 @@ def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
         _rate(_type_count("share"), n).alias("share_rate"),
         _type_count("playlist_add").alias("playlist_adds"),
         distribution_json("platform", PLATFORMS_A).alias("platform_distribution"))
-    geo = geo_distribution(df, keys, "user_location")
-    peak = modes(df, keys, {"peak_listening_hour": F.col("hour_of_day")})
+    peak = modes(df, keys, {"peak_listening_hour": F.col("hour_of_day")},
+                 distributions={"geographic_distribution": F.col("user_location")})
     day = F.datediff(F.col("analysis_date"), F.lit("1970-01-01"))
     w = Window.partitionBy("track_id", "artist_id").orderBy(day).rangeBetween(-trend_days, -1)
     prev = F.coalesce(F.sum("total_plays").over(w), F.lit(0)) / trend_days
-    return (main.join(geo, keys, "left").join(peak, keys, "left")
+    return (main.join(peak, keys, "left")
             .withColumn("trending_score", round6(F.col("total_plays") / (1 + prev)))
             .select("track_id", "artist_id", "analysis_date", "total_plays", "unique_listeners",
                     "total_play_time_ms", "average_completion_ratio", "skip_rate", "like_rate", "share_rate",
