@@ -22,6 +22,9 @@ BASE_CONF = {
     # (8000 bytes) fall back to per-expression code, which does get compiled;
     # wide row-level projections run ~3x faster this way.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A failed task is retried up to 5 attempts before the job fails (the
+    # source system's dead-letter policy allows 5 deliveries).
+    "spark.task.maxFailures": "5",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

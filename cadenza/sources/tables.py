@@ -23,8 +23,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | No
     if key not in _SCANS:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         if spread_key is not None:
-            want = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
+            try:
+                want = spark.sparkContext.defaultParallelism
+                splits = df.rdd.getNumPartitions()
+            except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
+                want, splits = 0, 0
+            if splits < want:
                 df = df.repartition(want, spread_key)
         _SCANS[key] = df
     return _SCANS[key]

@@ -131,11 +131,24 @@ def start_full_pipeline(spark: SparkSession, landing: str, out_root: str, waterm
     return [q1, q2]
 
 
-def run_to_completion(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append") -> None:
-    """Drain a streaming DataFrame with ``availableNow`` into Parquet and wait."""
-    q = (df.writeStream.outputMode(mode).format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+def run_to_completion(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
+                      state_partitions: int | None = None) -> None:
+    """Drain a streaming DataFrame with ``availableNow`` into Parquet and wait.
+
+    Stateful operators fix their partition count when a checkpoint is first
+    created; ``state_partitions`` (default: the cluster's parallelism) sizes
+    it for this query only, the caller's setting is restored afterwards.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = (df.writeStream.outputMode(mode).format("parquet").option("path", out_path)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
 
 
 def _tag(path: str) -> str:
