@@ -11,10 +11,11 @@ nothing is counted on the driver: counts are ``observe`` metrics or a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cadenza.functions.common import session_cached
+from cadenza.functions.common import round6, session_cached
 from cadenza.schemas import EVENT_A, EVENT_TYPES_A, GENRES_A, PLATFORMS_A, REPEAT_MODES
 
 # --- fixed values: field limits --------------------------------------------------
@@ -27,7 +28,7 @@ USER_ID_MIN = 8
 DEFAULT_ENRICHMENT_MODEL = "claude-3"
 # -------------------------------------------------------------------------------
 
-_CORRUPT = "_corrupt_record"
+_CORRUPT = "_corrupt_record"  # parser column for malformed text
 
 
 def parse_json(raw: DataFrame, schema=EVENT_A, value_col: str = "value") -> DataFrame:
@@ -37,7 +38,6 @@ def parse_json(raw: DataFrame, schema=EVENT_A, value_col: str = "value") -> Data
     is flagged (Spark returns an all-null struct for it, not a null) and its
     raw text is kept for the dead-letter table.
     """
-    from pyspark.sql import types as T
     full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     rest = [c for c in raw.columns if c != value_col]
@@ -194,7 +194,6 @@ def validation_counts(checked: DataFrame) -> DataFrame:
 
 
 def round_rate(ok: Column, bad: Column) -> Column:
-    from cadenza.functions.common import round6
     return round6(ok / F.nullif(ok + bad, F.lit(0)))
 
 
@@ -209,7 +208,6 @@ def observe_counts(checked: DataFrame, name: str = "validation"):
 
     Returns ``(df, observation)``; read ``observation.get`` after an action.
     """
-    from pyspark.sql import Observation
     obs = Observation(name)
     df = checked.observe(obs, F.count_if(F.col("is_valid")).alias("valid"),
                          F.count_if(~F.col("is_valid")).alias("invalid"))

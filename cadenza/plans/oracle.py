@@ -688,3 +688,41 @@ SELECT event_id,
       ['track_title', 'track_artist', 'album', 'duration', 'genre', 'release_year', 'artist_name', 'artist_genre',
        'followers', 'event_type', 'platform', 'user_location']) + ")")} AS simple_context
 FROM enr_b"""
+
+
+# --- enriched tables (S6) ------------------------------------------------------------
+_RA = artist_rule_sql()
+ORACLE["enriched_music_events"] = with_raw(f""",
+x AS (SELECT *, lower(coalesce(track_name, '')) AS tl, lower(coalesce(artist_name, '')) AS al,
+    lower(coalesce(track_genres[1], '')) AS gl FROM raw_a)
+SELECT event_id, event_type, "timestamp", processing_timestamp, track_id, track_name, artist_id, artist_name,
+  album_id, album_name, platform, user_id, session_id,
+  printf({q(RU.DESCRIPTION_TEMPLATE)}, track_name, artist_name, platform) AS enhanced_description,
+  {_RA['mood_analysis']} AS mood_analysis, {_RA['predicted_genres']} AS genre_prediction,
+  {_RA['similar_tracks']} AS similar_tracks, {_RA['listening_context']} AS listening_context,
+  processing_timestamp AS enrichment_timestamp, 'rules' AS enrichment_model,
+  least({sql_sum(0.0, [('len(COALESCE(track_genres, [])) > 0', 0.2), ('track_energy IS NOT NULL', 0.15),
+                       ('track_valence IS NOT NULL', 0.15), ('COALESCE(track_tempo <> 0, false)', 0.1),
+                       ('track_popularity IS NOT NULL', 0.1), (present('device_type'), 0.1),
+                       (present('user_location'), 0.1), ('played_duration_ms IS NOT NULL', 0.1)])}, {D(1.0)})
+    AS enrichment_confidence
+FROM x""")
+
+
+def JSON_LIST(x: str) -> str:
+    return (f"CASE WHEN len(COALESCE({x}, [])) > 0 THEN "
+            f"'[' || array_to_string(list_transform({x}, lambda v: '\"' || v || '\"'), ', ') || ']' END")
+
+
+ORACLE["enriched_events"] = "WITH " + ENR_B + ",\n" + TEXTED + f"""
+SELECT event_id, event_type, track_title, artist_name, platform,
+  'User is enjoying music with ' || platform || ' quality streaming' AS event_description,
+  {case([(contains('txt', w), q(m)) for w, m in RU.PRODUCTION_MOOD], q(RU.DEFAULT_MOOD))} AS mood_analysis,
+  {JSON_LIST(_base_genres(lst(RU.PRODUCTION_GENRES['rock'])))} AS predicted_genres,
+  {_hour_ctx([])} AS listening_context,
+  {JSON_LIST(case([(f"contains(coalesce(artist_name, ''), {q(a)})", lst(v)) for a, v in RU.PRODUCTION_SIMILAR],
+                  lst(RU.DEFAULT_SIMILAR)))} AS similar_tracks,
+  {PROD_CONF} AS enrichment_confidence,
+  strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+  event_ts AS enrichment_timestamp
+FROM y"""

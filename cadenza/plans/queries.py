@@ -17,7 +17,7 @@ from cadenza.functions.derive_full import derive_fields, raw_music_events
 from cadenza.functions import confidence as C
 from cadenza.functions import text as TX
 from cadenza.functions.derive_simple import enrichment_input_b, loose_parse_b, processed_events
-from cadenza.operators import lookups, metrics, reports, rules, validate
+from cadenza.operators import enrich, lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import checkpoint_path
 from cadenza.sources import messages, sinks
@@ -378,3 +378,14 @@ def q_context_text_b(spark, sf_dir):
         TX.simple_context(c("track_title"), c("track_artist"), c("album"), c("duration"), c("genre"),
                           c("release_year"), c("artist_name"), c("artist_genre"), c("followers"), c("event_type"),
                           c("platform"), c("user_location")).alias("simple_context"))
+
+
+@register("enriched_music_events")
+def q_enriched_music_events(spark, sf_dir):
+    # the enrichment time is pinned to the processing time so reruns are identical
+    return enrich.enriched_music_events(raw_a(spark, sf_dir), enriched_at=F.col("processing_timestamp"))
+
+
+@register("enriched_events")
+def q_enriched_events(spark, sf_dir):
+    return enrich.enriched_events_b(enrich_input(spark, sf_dir), enriched_at=F.col("event_ts"))

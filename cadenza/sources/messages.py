@@ -149,3 +149,31 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     return (df.withColumnRenamed("_corrupt_record", "raw_value")
               .withColumn("parse_ok", F.col("raw_value").isNull()))
 
+
+
+def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S1 on a message bus: a Kafka topic as a stream of ``value`` text.
+
+    Needs the ``spark-sql-kafka`` package on the cluster's classpath (not
+    bundled here). Message attributes travel as Kafka headers; the
+    partition and offset are kept so a replay can be traced.
+    """
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic).option("startingOffsets", starting_offsets)
+              .option("includeHeaders", "true"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load().select(F.col("value").cast("string").alias("value"), "headers", "partition", "offset",
+                                F.col("timestamp").alias("published_at"))
+
+
+def parse_topic(messages_df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parse ``value`` text of a topic stream like a landing folder row (``raw_value``, ``parse_ok``)."""
+    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rest = [c for c in messages_df.columns if c != "value"]
+    return (messages_df.select(parsed.alias("e"), *rest)
+            .select(*[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest,
+                    F.col("e._corrupt_record").alias("raw_value"))
+            .withColumn("parse_ok", F.col("raw_value").isNull()))
