@@ -83,7 +83,7 @@ def platform_performance(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, days: i
 # --- most frequent value per group ---------------------------------------------
 
 def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dict[str, Column] | None = None,
-          distributions: dict[str, Column] | None = None) -> DataFrame:
+          distributions: dict[str, Column] | None = None, distinct: dict[str, Column] | None = None) -> DataFrame:
     """Most frequent value of each attribute per ``keys`` group; ties go to the
     smallest value.
 
@@ -95,14 +95,18 @@ def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dic
     are arrays whose every element counts once. ``distributions`` attributes
     come back as a JSON object of count per value (keys sorted), built from
     the same counts: the list gathered per group holds one entry per
-    distinct value, never the group's rows.
+    distinct value, never the group's rows. ``distinct`` attributes come back
+    as exact distinct counts (the counted relation has one row per distinct
+    non-null value), which spares the caller a ``countDistinct`` rewrite.
     """
     explode = explode or {}
     distributions = distributions or {}
+    distinct = distinct or {}
     names = list(attrs) + list(explode)
-    attrs = {**attrs, **distributions}
+    attrs = {**attrs, **distributions, **{n: c.cast("string") for n, c in distinct.items()}}
+    integral = _integral_attrs(df, attrs)  # one analysis for all attribute types
     items = [F.array(F.struct(F.lit(n).alias("attr"), c.cast("string").alias("vs"),
-                              (c.cast("long") if _is_integral(df, c) else F.lit(None).cast("long")).alias("vn")))
+                              (c.cast("long") if n in integral else F.lit(None).cast("long")).alias("vn")))
              for n, c in attrs.items()]
     items += [F.transform(arr, _tag(n)) for n, arr in explode.items()]
     stacked = df.select(*keys, F.explode(F.concat(*items)).alias("s")).select(*keys, "s.*")
@@ -112,9 +116,9 @@ def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dic
         F.min(F.when(F.col("attr") == n, F.struct((-F.col("n")).alias("neg"), "vn", "vs"))).alias(n)
         for n in names], *[
         _json_counts(F.collect_list(F.when(F.col("attr") == n, F.struct("vs", "n")))).alias(n)
-        for n in distributions])
-    return best.select(*keys, *[(F.col(f"{n}.vn") if n in attrs and _is_integral(df, attrs[n])
-                                 else F.col(f"{n}.vs")).alias(n) for n in names], *distributions)
+        for n in distributions], *[F.count_if(F.col("attr") == n).alias(n) for n in distinct])
+    return best.select(*keys, *[(F.col(f"{n}.vn") if n in integral else F.col(f"{n}.vs")).alias(n)
+                                for n in names], *distributions, *distinct)
 
 
 def _tag(name: str):
@@ -124,9 +128,10 @@ def _tag(name: str):
     return fn
 
 
-def _is_integral(df: DataFrame, c: Column) -> bool:
-    dt_ = df.select(c).schema.fields[0].dataType
-    return isinstance(dt_, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+def _integral_attrs(df: DataFrame, attrs: dict[str, Column]) -> set[str]:
+    integral = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
+    schema = df.select(*[c.alias(n) for n, c in attrs.items()]).schema
+    return {f.name for f in schema.fields if isinstance(f.dataType, integral)}
 
 
 def _rate(num: Column, den: Column) -> Column:
@@ -144,15 +149,14 @@ def user_daily_analytics(raw: DataFrame) -> DataFrame:
     main = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_events"),
         F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_play_time_ms"),
-        F.countDistinct("track_id").alias("unique_tracks"),
-        F.countDistinct("artist_id").alias("unique_artists"),
         round6(F.avg("engagement_score")).alias("average_engagement_score"),
-        F.countDistinct("session_id").alias("listening_sessions"),
         _rate(_type_count("skip"), F.count(F.lit(1))).alias("skip_rate"),
         _rate(F.count_if(F.col("is_full_play")), _type_count("play")).alias("completion_rate"))
     top = modes(df, keys, {"favorite_platform": F.col("platform"), "preferred_device": F.col("device_type"),
                            "most_active_hour": F.col("hour_of_day")},
-                explode={"top_genre": F.col("track_genres")})
+                explode={"top_genre": F.col("track_genres")},
+                distinct={"unique_tracks": F.col("track_id"), "unique_artists": F.col("artist_id"),
+                          "listening_sessions": F.col("session_id")})
     return main.join(top, keys, "left").select(
         "user_id", "analysis_date", "total_events", "total_play_time_ms", "unique_tracks", "unique_artists",
         "top_genre", "favorite_platform", "average_engagement_score", "listening_sessions",
@@ -178,7 +182,6 @@ def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
     n = F.count(F.lit(1))
     main = df.groupBy(*keys).agg(
         _type_count("play").alias("total_plays"),
-        F.countDistinct(F.when(F.col("event_type") == "play", F.col("user_id"))).alias("unique_listeners"),
         F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_play_time_ms"),
         round6(F.avg("play_completion_ratio")).alias("average_completion_ratio"),
         _rate(_type_count("skip"), n).alias("skip_rate"),
@@ -187,7 +190,8 @@ def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
         _type_count("playlist_add").alias("playlist_adds"),
         distribution_json("platform", PLATFORMS_A).alias("platform_distribution"))
     peak = modes(df, keys, {"peak_listening_hour": F.col("hour_of_day")},
-                 distributions={"geographic_distribution": F.col("user_location")})
+                 distributions={"geographic_distribution": F.col("user_location")},
+                 distinct={"unique_listeners": F.when(F.col("event_type") == "play", F.col("user_id"))})
     day = F.datediff(F.col("analysis_date"), F.lit("1970-01-01"))
     w = Window.partitionBy("track_id", "artist_id").orderBy(day).rangeBetween(-trend_days, -1)
     prev = F.coalesce(F.sum("total_plays").over(w), F.lit(0)) / trend_days
@@ -205,18 +209,18 @@ def platform_daily_analytics(raw: DataFrame) -> DataFrame:
     df = raw.withColumn("analysis_date", _date(raw))
     main = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct("user_id").alias("unique_users"),
         F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_streaming_time_ms"),
         round6(F.avg("engagement_score")).alias("average_engagement_score"),
-        _rate(F.countDistinct(F.when(F.col("subscription_type") == "premium", F.col("user_id"))),
-              F.countDistinct("user_id")).alias("premium_user_ratio"),
         _rate(F.count_if(F.col("device_type") == "mobile"), F.count(F.lit(1))).alias("mobile_usage_ratio"))
     span = (df.groupBy(*keys, "session_id")
             .agg(((F.unix_micros(F.max("timestamp")) - F.unix_micros(F.min("timestamp"))) / 1000).alias("ms"))
             .groupBy(*keys).agg(F.floor(F.avg("ms")).cast("long").alias("average_session_duration_ms")))
     top = modes(df, keys, {"most_popular_artist": F.col("artist_name"), "most_popular_track": F.col("track_name"),
                            "peak_usage_hour": F.col("hour_of_day")},
-                explode={"top_genre": F.col("track_genres")})
+                explode={"top_genre": F.col("track_genres")},
+                distinct={"unique_users": F.col("user_id"),
+                          "_premium_users": F.when(F.col("subscription_type") == "premium", F.col("user_id"))})
+    top = top.withColumn("premium_user_ratio", _rate(F.col("_premium_users"), F.col("unique_users")))
     return (main.join(span, keys, "left").join(top, keys, "left")
             .select("platform", "analysis_date", "total_events", "unique_users", "total_streaming_time_ms",
                     "average_session_duration_ms", "top_genre", "most_popular_artist", "most_popular_track",
