@@ -726,3 +726,5 @@ SELECT event_id, event_type, track_title, artist_name, platform,
   strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
   event_ts AS enrichment_timestamp
 FROM y"""
+
+ORACLE["sql_platform_performance"] = ORACLE["platform_performance"]

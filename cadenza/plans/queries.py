@@ -389,3 +389,11 @@ def q_enriched_music_events(spark, sf_dir):
 @register("enriched_events")
 def q_enriched_events(spark, sf_dir):
     return enrich.enriched_events_b(enrich_input(spark, sf_dir), enriched_at=F.col("event_ts"))
+
+
+@register("sql_platform_performance")
+def q_sql_platform_performance(spark, sf_dir):
+    # the same view through spark.sql over a temp view of the raw rows
+    from cadenza.plans.views import register_views
+    register_views(spark, raw_a(spark, sf_dir, 7))
+    return spark.table("platform_performance")
