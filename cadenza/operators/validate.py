@@ -25,7 +25,6 @@ ALBUM_NAME_MAX = 300
 COUNTRY_MAX = 2
 DESCRIPTION_MAX = 1000
 USER_ID_MIN = 8
-DEFAULT_ENRICHMENT_MODEL = "claude-3"
 # -------------------------------------------------------------------------------
 
 _CORRUPT = "_corrupt_record"  # parser column for malformed text
