@@ -112,13 +112,25 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     The landing folder sits under the shared checkpoint dir; it stands where
     a message topic or an upload bucket would be in production.
     """
-    import hashlib
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = checkpoint_path(spark, f"landing/messages-{tag}")
-    messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
+    path = landed_a_path(spark, sf_dir)
     return messages.read_landing(spark, path, EVENT_A)
 
 
+def _landing_tag(sf_dir: str) -> str:
+    """Landing folders are reused across queries of a run; the tag changes
+    with the input folder, the library version and the injected faults, so
+    a shared checkpoint dir never serves messages of another format."""
+    import hashlib
+
+    from cadenza import __version__
+    return hashlib.sha1(f"{sf_dir}|{__version__}|{messages.FAULTS}".encode()).hexdigest()[:12]
+
+
+def landed_a_path(spark: SparkSession, sf_dir: str) -> str:
+    path = checkpoint_path(spark, f"landing/messages-{_landing_tag(sf_dir)}")
+    return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
+
+
 def checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate(landed_messages(spark, sf_dir))
 
@@ -272,19 +284,10 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def landed_b(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = checkpoint_path(spark, f"landing/messages-b-{tag}")
+    path = checkpoint_path(spark, f"landing/messages-b-{_landing_tag(sf_dir)}")
     return messages.land_text(messages.to_json_text(nested_events_b(read_events(spark, sf_dir))), path)
 
 
-def landed_a_path(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = checkpoint_path(spark, f"landing/messages-{tag}")
-    return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
-
-
 def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     out = fresh_dir(spark, name)
     stream.run_to_completion(df, f"{out}/data", f"{out}/checkpoint")
