@@ -38,15 +38,16 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def flatten_event(df: DataFrame) -> DataFrame:
+def flatten_event(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Nested shape A event to the 37 base columns of the raw table.
 
     Missing genre lists become ``[]``; album and play fields are null when
-    the struct is absent.
+    the struct is absent. ``keep`` columns (e.g. ``batch_file``) pass through.
     """
     t, ar, al, u, p, s = (F.col(c) for c in
                           ("track", "artist", "album", "user_interaction", "play_event", "streaming_event"))
     return df.select(
+        *(keep or []),
         "event_id", "event_type", "timestamp", "processing_timestamp",
         t["id"].alias("track_id"), t["name"].alias("track_name"),
         t["duration_ms"].alias("track_duration_ms"),
@@ -130,6 +131,6 @@ def _derived_columns() -> list[Column]:
     ]
 
 
-def raw_music_events(nested: DataFrame) -> DataFrame:
+def raw_music_events(nested: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Nested shape A events to the 50-column raw table (P1 then P2-P6)."""
-    return derive_fields(flatten_event(nested))
+    return derive_fields(flatten_event(nested, keep))

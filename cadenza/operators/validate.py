@@ -180,7 +180,7 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean valid events, and the dead-letter rows."""
     good = clean_event(checked.filter("is_valid")).drop("raw_value", "parse_ok", "errors", "is_valid")
     bad = checked.filter(~F.col("is_valid")).select("raw_value", "errors", *[
-        c for c in checked.columns if c in ("batch_id", "source_file", "received_at")])
+        c for c in checked.columns if c in ("batch_id", "batch_file", "source_file", "received_at")])
     return good, bad
 
 

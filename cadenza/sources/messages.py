@@ -147,7 +147,8 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.json(path)
     return (df.withColumnRenamed("_corrupt_record", "raw_value")
-              .withColumn("parse_ok", F.col("raw_value").isNull()))
+              .withColumn("parse_ok", F.col("raw_value").isNull())
+              .withColumn("batch_file", F.col("_metadata.file_name")))
 
 
 

@@ -98,18 +98,25 @@ def fan_out_batch(out_root: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("batch_id", F.lit(batch_id))
         good, bad = validate.split_valid(batch)
-        raw = raw_music_events(good)
-        sinks.append_partitioned(raw.withColumn("batch_id", F.lit(batch_id)), f"{out_root}/raw_music_events")
+        keep = [c for c in ("batch_file",) if c in good.columns]
+        raw = raw_music_events(good, keep)
+        sinks.append_partitioned(raw.drop(*keep).withColumn("batch_id", F.lit(batch_id)),
+                                 f"{out_root}/raw_music_events")
         sinks.append(bad.withColumn("batch_id", F.lit(batch_id)), f"{out_root}/dead_letters")
         sinks.append(enrichment_messages(raw), f"{out_root}/enrichment_topic")
     return run
 
 
+ATTRIBUTES = ["event_type", "platform", "timestamp", "event_id", "batch_file"]
+
+
 def enrichment_messages(raw: DataFrame) -> DataFrame:
-    """One JSON message per valid event plus routing attributes."""
-    body = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c != "batch_id"]), messages.JSON_OPTIONS)
-    return raw.select(F.col("event_type"), F.col("platform"), F.col("timestamp"), F.col("event_id"),
-                      body.alias("value"))
+    """One JSON message per valid event plus routing attributes
+    (event type, platform, timestamp, event id and the source file)."""
+    body_cols = [c for c in raw.columns if c not in ("batch_id", "batch_file")]
+    body = F.to_json(F.struct(*body_cols), messages.JSON_OPTIONS)
+    attrs = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ATTRIBUTES]
+    return raw.select(*attrs, body.alias("value"))
 
 
 def start_full_pipeline(spark: SparkSession, landing: str, out_root: str, watermark: str = DEFAULT_WATERMARK,

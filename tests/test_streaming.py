@@ -26,7 +26,8 @@ def test_full_pipeline_fan_out(spark):
     assert spark.read.parquet(f"{root}/out/dead_letters").count() == n_bad
     topic = spark.read.parquet(f"{root}/out/enrichment_topic")
     assert topic.count() == n_valid
-    assert set(topic.columns) >= {"event_type", "platform", "timestamp", "event_id", "value"}
+    assert set(topic.columns) >= {"event_type", "platform", "timestamp", "event_id", "batch_file", "value"}
+    assert topic.filter(F.col("batch_file").startswith("part-")).count() == n_valid
     metrics = spark.read.parquet(f"{root}/out/music_event_metrics")
     assert metrics.agg(F.sum("total_events")).first()[0] <= n_valid
     assert metrics.count() > 0
