@@ -728,3 +728,4 @@ SELECT event_id, event_type, track_title, artist_name, platform,
 FROM y"""
 
 ORACLE["sql_platform_performance"] = ORACLE["platform_performance"]
+ORACLE["table_platform_performance"] = ORACLE["platform_performance"]

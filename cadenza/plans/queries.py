@@ -400,3 +400,19 @@ def q_sql_platform_performance(spark, sf_dir):
     from cadenza.plans.views import register_views
     register_views(spark, raw_a(spark, sf_dir, 7))
     return spark.table("platform_performance")
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table written once per run as date-partitioned, clustered Parquet."""
+    path = checkpoint_path(spark, f"tables/raw_music_events-{_landing_tag(sf_dir)}")
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        sinks.write_table(raw_a(spark, sf_dir), path, "raw_music_events")
+    return spark.read.parquet(path)
+
+
+@register("table_platform_performance")
+def q_table_platform_performance(spark, sf_dir):
+    # the view over the stored table: the date window becomes a partition filter
+    return reports.platform_performance(raw_table(spark, sf_dir), AS_OF)

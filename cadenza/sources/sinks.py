@@ -50,6 +50,16 @@ def append_partitioned(df: DataFrame, path: str, cluster_by: list[str] | None =
     if cluster_by:
         df = layout(df, cluster_by)
     df.write.mode("append").partitionBy("event_date").parquet(path)
+    _mark_success(df.sparkSession, path)
+
+
+def _mark_success(spark: SparkSession, path: str) -> None:
+    # appends keep Spark's commit marker, so readers can tell a finished table
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        fs.create(p, True).close()
 
 
 def append(df: DataFrame, path: str) -> None:

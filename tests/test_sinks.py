@@ -71,3 +71,11 @@ def test_error_alert_flags(spark):
     flagged = out.filter("alert").collect()
     assert flagged and all(r.errors_per_second > 10 for r in flagged)
     assert stream.error_alerts(df, time_col="failed_at").count() == len(flagged)
+
+
+def test_views_prune_date_partitions(spark):
+    import __spark_entry__ as E
+    df = E.queries()["table_platform_performance"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
+    assert df.count() > 0
