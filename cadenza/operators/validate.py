@@ -166,14 +166,16 @@ def validate(parsed: DataFrame, business_rules: bool = False) -> DataFrame:
 
     A row that did not parse carries the single code ``parse_error``.
     """
-    return parsed.select("*", *_check_columns(business_rules))
+    # two projections: ``is_valid`` reads the computed array instead of
+    # repeating the whole rule expression
+    return (parsed.select("*", _errors_column(business_rules).alias("errors"))
+                  .withColumn("is_valid", F.size("errors") == 0))
 
 
 @session_cached
-def _check_columns(business_rules: bool) -> list[Column]:
+def _errors_column(business_rules: bool) -> Column:
     raw = F.col("raw_value") if business_rules else None
-    errs = F.when(~F.col("parse_ok"), F.array(F.lit("parse_error"))).otherwise(event_errors(raw))
-    return [errs.alias("errors"), (F.size(errs) == 0).alias("is_valid")]
+    return F.when(~F.col("parse_ok"), F.array(F.lit("parse_error"))).otherwise(event_errors(raw))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
