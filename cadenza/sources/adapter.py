@@ -59,8 +59,6 @@ QUALITIES = ["high", "medium", "low"]
 BITRATES = [320, 128, 64]
 N_ARTIST_SLOTS = 20
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-
 
 def read_events(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
                 until: dt.date | None = None) -> DataFrame:
