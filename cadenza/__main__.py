@@ -1,4 +1,5 @@
-"""Command line for cluster runs (``spark-submit -m cadenza ...`` or ``python -m cadenza``).
+"""Command line for cluster runs (``spark-submit --py-files cadenza.zip cadenza/__main__.py ...``
+or ``python -m cadenza ...`` locally).
 
   load     JSON messages of a landing folder -> raw table + dead letters (batch)
   reports  raw table -> daily, weekly and platform views and daily analytics
