@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.functions.common import round6, session_cached
+from cadenza.functions.text import strip
 from cadenza.schemas import EVENT_A, EVENT_TYPES_A, GENRES_A, PLATFORMS_A, REPEAT_MODES
 
 # --- fixed values: field limits --------------------------------------------------
@@ -54,7 +55,7 @@ def _name_errors(name: Column, prefix: str, max_len: int) -> list[Column]:
     return [
         _err(name.isNull(), f"{prefix}_missing"),
         _err(F.length(name) > max_len, f"{prefix}_too_long"),
-        _err(name.isNotNull() & (F.length(F.trim(name)) == 0), f"{prefix}_empty"),
+        _err(name.isNotNull() & (F.length(strip(name)) == 0), f"{prefix}_empty"),
     ]
 
 
@@ -148,13 +149,13 @@ def clean_event(df: DataFrame) -> DataFrame:
             .withColumn("event_id", F.coalesce(F.col("event_id"), F.expr("uuid()")))
             .withColumn("timestamp", F.coalesce(F.col("timestamp"), F.current_timestamp()))
             .withColumn("processing_timestamp", F.coalesce(F.col("processing_timestamp"), F.current_timestamp()))
-            .withColumn("track", t.withField("name", F.trim(t["name"]))
+            .withColumn("track", t.withField("name", strip(t["name"]))
                         .withField("explicit", F.coalesce(t["explicit"], F.lit(False)))
                         .withField("genres", F.coalesce(t["genres"], empty)))
-            .withColumn("artist", ar.withField("name", F.trim(ar["name"]))
+            .withColumn("artist", ar.withField("name", strip(ar["name"]))
                         .withField("verified", F.coalesce(ar["verified"], F.lit(False)))
                         .withField("genres", F.coalesce(ar["genres"], empty)))
-            .withColumn("album", F.when(al.isNotNull(), al.withField("name", F.trim(al["name"]))
+            .withColumn("album", F.when(al.isNotNull(), al.withField("name", strip(al["name"]))
                                         .withField("genres", F.coalesce(al["genres"], empty))))
             .withColumn("play_event", F.when(p.isNotNull(), p
                                              .withField("shuffle_mode", F.coalesce(p["shuffle_mode"], F.lit(False)))

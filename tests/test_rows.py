@@ -63,6 +63,7 @@ def test_valid_event_has_no_errors(spark):
 @pytest.mark.parametrize("over,code", [
     ({"track__name": ""}, "track_name_empty"),
     ({"track__name": "   "}, "track_name_empty"),
+    ({"track__name": "\t\n "}, "track_name_empty"),
     ({"track__popularity": 150}, "popularity_out_of_range"),
     ({"track__energy": 1.5}, "energy_out_of_range"),
     ({"track__tempo": -1.0}, "tempo_out_of_range"),
@@ -90,7 +91,7 @@ def test_unparsable_text_is_quarantined(spark):
 
 
 def test_names_are_trimmed_and_defaults_filled(spark):
-    good, _ = validate.split_valid(check(spark, [event_a(track__name="  Trimmed Name  ")]))
+    good, _ = validate.split_valid(check(spark, [event_a(track__name="  Trimmed Name \t")]))
     r = good.first()
     assert r.track.name == "Trimmed Name"
     assert r.track.explicit is False and r.artist.verified is False
