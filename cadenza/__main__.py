@@ -14,6 +14,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from cadenza.functions.derive_full import raw_music_events
 from cadenza.operators import reports, validate
 from cadenza.schemas import EVENT_A
@@ -21,6 +23,8 @@ from cadenza.session import build_session
 from cadenza.sources import messages, sinks
 from cadenza.streaming import pipeline
 
+TREND_DAYS = 7
+
 
 def cmd_load(spark, args) -> None:
     checked = validate.validate(messages.read_landing(spark, args.landing, EVENT_A))
@@ -30,20 +34,30 @@ def cmd_load(spark, args) -> None:
 
 
 def cmd_reports(spark, args) -> None:
+    """Views as of ``--as-of``; daily tables for all days, or with ``--days N``
+    only the last N days (incremental: the read is pruned to those partitions
+    plus the trending score's look-back, and only those days are written,
+    replacing their partitions)."""
     raw = spark.read.parquet(args.raw)
     as_of = dt.date.fromisoformat(args.as_of)
+    daily_in = raw
+    if args.days:
+        daily_in = reports.since(raw, as_of, args.days + TREND_DAYS)
     outputs = {
         "daily_events_summary": reports.daily_events_summary(raw, as_of),
         "top_tracks_weekly": reports.top_tracks_weekly(raw, as_of),
         "platform_performance": reports.platform_performance(raw, as_of),
-        "user_analytics": reports.user_daily_analytics(raw),
-        "track_analytics": reports.track_daily_analytics(raw),
-        "platform_analytics": reports.platform_daily_analytics(raw),
+        "user_analytics": reports.user_daily_analytics(daily_in),
+        "track_analytics": reports.track_daily_analytics(daily_in, TREND_DAYS),
+        "platform_analytics": reports.platform_daily_analytics(daily_in),
     }
     for name, df in outputs.items():
         if name.endswith("_analytics"):
             df = df.withColumnRenamed("analysis_date", "event_date")
-            sinks.write_table(df, f"{args.out}/{name}", name, time_col="event_date")
+            if args.days:
+                df = df.filter(F.col("event_date") >= F.date_sub(F.lit(as_of), args.days))
+            sinks.write_table(df, f"{args.out}/{name}", name, time_col="event_date",
+                              replace_partitions=bool(args.days))
         else:
             df.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
@@ -65,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     s = sub.add_parser("reports")
     s.add_argument("--raw", required=True)
     s.add_argument("--as-of", required=True)
+    s.add_argument("--days", type=int, default=None, help="recompute only the last N days of the daily tables")
     s.add_argument("--out", required=True)
     s = sub.add_parser("stream")
     s.add_argument("--pipeline", choices=["full", "simple"], default="full")

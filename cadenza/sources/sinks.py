@@ -44,12 +44,22 @@ def layout(df: DataFrame, cluster_by: list[str], date_col: str = "event_date") -
 
 
 def append_partitioned(df: DataFrame, path: str, cluster_by: list[str] | None = None,
-                       time_col: str = "timestamp") -> None:
-    """Append to a date-partitioned Parquet table (created on first write)."""
+                       time_col: str = "timestamp", replace_partitions: bool = False) -> None:
+    """Append to a date-partitioned Parquet table (created on first write).
+
+    ``replace_partitions`` overwrites only the dates present in ``df``
+    (dynamic partition overwrite), so a recomputed day replaces its old rows
+    and every other day is left untouched.
+    """
     df = with_event_date(df, time_col)
     if cluster_by:
         df = layout(df, cluster_by)
-    df.write.mode("append").partitionBy("event_date").parquet(path)
+    writer = df.write.partitionBy("event_date")
+    if replace_partitions:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
     _mark_success(df.sparkSession, path)
 
 
@@ -67,9 +77,10 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_table(df: DataFrame, path: str, table: str, time_col: str = "timestamp") -> None:
+def write_table(df: DataFrame, path: str, table: str, time_col: str = "timestamp",
+                replace_partitions: bool = False) -> None:
     """Write a named table with its layout (partition by date, sort by cluster columns)."""
-    append_partitioned(df, path, CLUSTER_BY.get(table), time_col)
+    append_partitioned(df, path, CLUSTER_BY.get(table), time_col, replace_partitions)
 
 
 def apply_retention(spark: SparkSession, path: str, table: str, as_of: dt.date) -> list[str]:
