@@ -111,3 +111,42 @@ def test_processed_events(spark, rows):
         assert (r.engagement_score, r.genre_popularity, r.is_popular_genre, r.platform_quality,
                 r.time_context, r.time_multiplier, r.adjusted_engagement, r.engagement_level) == \
             (base, pop, popular, quality, ctx, mult, adj, level), rows[i]
+
+
+GENRES = ["pop", "rock", "hip_hop", "electronic", "jazz", "classical", "country", "r_and_b", "indie",
+          "alternative", "folk", "reggae", "blues", "metal", "punk", "other"]
+
+
+def py_clean(text):
+    s = text.strip()
+    desc = s[:197] + "..." if len(s) > 200 else s
+    low = s.lower()
+    mood = low if len(low.split()) <= 2 else None
+    ctx = low if len(low.split()) <= 3 else None
+    if low == "none":
+        genres = None
+    else:
+        items = [g.strip() for g in low.split(",") if g.strip() in GENRES]
+        genres = items or None
+    similar = None if s.lower() == "none" else [t.strip() for t in s.split(",")][:3]
+    return desc, mood, ctx, genres, similar
+
+
+words = st.sampled_from(["rock", "Pop", "jazz ", " indie", "none", "NONE", "happy", "x" * 120, "Artist - Song",
+                         "\t", "\n", " ", ",", "dance", "metal,", "r_and_b"])
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(words, max_size=12).map("".join), min_size=1, max_size=40))
+def test_answer_cleaning_matches_python(spark, texts):
+    from pyspark.sql import functions as F
+
+    from cadenza.functions import text as TX
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    got = {r.i: r for r in df.select("i", TX.clean_description(t).alias("d"), TX.clean_mood(t).alias("m"),
+                                     TX.clean_context(t).alias("c"), TX.clean_genres(t).alias("g"),
+                                     TX.clean_similar(t).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        r = got[i]
+        assert (r.d, r.m, r.c, r.g, r.s) == py_clean(text), repr(text)
