@@ -11,8 +11,8 @@ WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\
 shingle AS (SELECT DISTINCT doc_id, s FROM (
     SELECT doc_id, unnest([array_to_string(ws[i:i + 4], ' ') for i in range(1, greatest(len(ws) - 4, 1) + 1)]) AS s FROM doc WHERE len(ws) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
-both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
-link AS (SELECT a, b FROM both JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b WHERE 100 * both.n >= 75 * (sa.n + sb.n - both.n)),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b WHERE 100 * pair.n >= 75 * (sa.n + sb.n - pair.n)),
 edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.r),
 part AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
