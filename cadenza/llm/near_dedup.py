@@ -6,21 +6,25 @@ candidates, the sketch of the union estimates each one's similarity, and the
 full shingle sets confirm what remains.
 
 Documents with one shingle set are folded into one node first, so exact
-copies never meet in a list. Lists are then read twice, without emitting all
-pairs of a group:
-
-1. every member against the smallest member of its list (a star). A group of
-   copies becomes one component here, whatever its size;
-2. members of different components only. A list that one component holds
-   entirely is done; else the members outside its largest component are
-   compared with the others. In lists over ``LONG_LIST`` members (a line or
-   passage that many documents share) only documents take part whose sketch
-   lies in such lists by half or more: two others that are linked share at
-   least a quarter of their union outside them, and meet in a short list.
+copies never meet in a list. No list emits all its pairs:
+
+1. Lists over ``LONG_LIST`` members (a line or passage that many documents
+   share) are set aside. Two linked documents share at least a quarter of
+   their union outside them, and so meet in a short list, unless half or more
+   of both sketches lies in long lists. Such documents, the crowd, meet by the
+   shingles of their full sets that fewest of the crowd have (an exact prefix
+   filter), so common matter opens no lists for them either.
+2. In turns, the members of a list are compared with a few pivots, and
+   confirmed links are joined to components. A list that one component holds
+   entirely is done. A group of copies becomes one component after few turns,
+   whatever its size.
+3. Once the rest is small (``WORK`` pairs a member), the members outside a
+   list's largest component are compared with all that lie in others. After
+   ``TURNS`` turns this is done whatever the rest, so no link is lost.
 
 With k = 48 a linked pair shares no retained value with probability below
 0.25**48, and none in a short list with probability below 0.75**48 (1e-6)
-when half of both sketches is common matter. The union estimate keeps all
+where nearly half of a sketch is common matter. The union estimate keeps all
 that lie within 6 standard deviations.
 
 Null or empty texts have no shingles and are linked with nothing. Rows that
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
@@ -44,7 +48,11 @@ from cadenza.llm.graph import components
 SHINGLE = 5
 THRESHOLD = 0.75
 K = 48
-LONG_LIST = 32
+PARITY = 512  # bits
+LONG_LIST = 16
+PIVOTS = 4
+TURNS = 3
+WORK = 8  # pairs a member that the last turn may form without another turn of pivots
 MARGIN = 6 * (0.75 * 0.25 / K) ** 0.5
 
 
@@ -71,18 +79,20 @@ def _sketches(k: int, width: int):
 
     def run(batches):
         for b in slices(batches):
-            ids, sizes, prints, sketches = b.column("doc_id"), [], [], []
+            ids, sizes, prints, sketches, parities = b.column("doc_id"), [], [], [], []
             for s in shingle_sets(b.column("text"), width):
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sketches.append(s[:k].view(np.int64))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "sketch"])
+                odd = np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "sketch", "parity"])
     return run
 
 
 def sketch(docs: DataFrame, k: int = K, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, print (digest of the whole set, null if empty), sketch."""
-    return docs.select("doc_id", "text").mapInArrow(_sketches(k, width), "doc_id long, n_shingles long, print binary, sketch array<long>")
+    """doc_id, n_shingles, print (digest of the whole set, null if empty), sketch, parity."""
+    return docs.select("doc_id", "text").mapInArrow(_sketches(k, width), "doc_id long, n_shingles long, print binary, sketch array<long>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -100,8 +110,15 @@ def union_estimate(a: Column, b: Column, k: int = K) -> Column:
     return F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.size(union)
 
 
-def _sizes_allow(n: str, m: str, threshold: float) -> Column:
-    return F.least(n, m) >= F.greatest(n, m) * F.lit(threshold)
+def _may_link(n: str, m: str, p: str, q: str, threshold: float) -> Column:
+    """False only for pairs that cannot be linked, by set sizes and parities.
+
+    ``parity`` has a bit for each residue of the shingle hashes, set where an
+    odd number of shingles has it. Every shingle that one set lacks flips one
+    bit, so the bits that differ bound the sets' difference from below.
+    """
+    differ = sum((F.bit_count(F.get(p, F.lit(i)).bitwiseXOR(F.get(q, F.lit(i)))) for i in range(PARITY // 64)), F.lit(0))
+    return (F.least(n, m) >= F.greatest(n, m) * F.lit(threshold)) & (differ <= (F.col(n) + F.col(m)) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6))
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float, k: int, width: int) -> DataFrame:
@@ -117,37 +134,75 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: flo
         100 * both >= F.lit(round(100 * threshold)) * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
 
 
+def _rarest(docs: DataFrame, crowd: DataFrame, threshold: float, width: int) -> DataFrame:
+    """v, node, n: of each crowd document the n - ceil(threshold n) + 1 shingles that
+    fewest of the crowd have. Two linked documents share one of them."""
+    sets = stored(full_sets(by_ids(docs.where("doc_id IS NOT NULL"), crowd, "left_semi").dropDuplicates(["doc_id"]), width), "crowd-sets")
+    each = sets.select(F.col("doc_id").alias("node"), F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
+    counts = each.groupBy("v").agg(F.count("*").alias("c"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("c", "v"))
+    return each.join(counts, "v").withColumn("place", place).where(
+        (F.col("place") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("c") > 1)).select("v", "node", "n")
+
+
+def _mixed_lists(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """v, node, n, component, largest (component of most members) of the lists that several components share."""
+    if found is None:
+        placed = members.withColumn("component", F.col("node"))
+    else:
+        placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = placed.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(
+        F.count("*").alias("groups"), F.max_by("component", F.struct("c", "component")).alias("largest")).where("groups > 1")
+    return placed.join(held.drop("groups"), "v")
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _to_pivots(mixed: DataFrame, turn: int, threshold: float) -> DataFrame:
+    """Every member of a mixed list with one member of another component; lists
+    of one group mostly agree on it, so a turn adds few pairs a document."""
+    order = F.xxhash64(F.lit(turn), F.pmod("v", F.lit(PIVOTS)), "node")
+    pivots = mixed.groupBy("v").agg(F.min(F.struct(order, "node", "n", "component", "parity")).alias("p"))
+    return mixed.join(pivots, "v").where("component <> p.component").where(_may_link("n", "p.n", "parity", "p.parity", threshold)).select(*_pair("node", "p.node")).distinct()
+
+
+def _across(mixed: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of a list whose components differ."""
+    left = mixed.where("component <> largest").select("v", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), F.col("parity").alias("xp"))
+    right = mixed.select("v", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"), F.col("parity").alias("yp"))
+    return left.join(right, "v").where("xc <> yc").where(_may_link("xn", "yn", "xp", "yp", threshold)).select(*_pair("x", "y")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, width: int = SHINGLE,
                     long_list: int = LONG_LIST) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked doc_id), n_copies (documents with the same set), kept."""
     rows = stored(sketch(docs, k, width), "sketch")
     some = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    nodes = stored(some.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("m"), F.count("*").alias("n_copies"))
-                   .select("print", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.n_shingles").alias("n"), F.col("m.sketch").alias("sketch")), "nodes")
+    nodes = stored(some.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "sketch", "parity")).alias("m"), F.count("*").alias("n_copies"))
+                   .select("print", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.n_shingles").alias("n"), F.col("m.sketch").alias("sketch"), F.col("m.parity").alias("parity")), "nodes")
     posts = nodes.select("node", "n", F.explode("sketch").alias("v"))
-    lists = posts.groupBy("v").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("pivot")).where("size > 1")
+    lists = posts.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(posts.join(lists, "v"), "members")
-
-    star = stored(members.where("node <> pivot.node").where(_sizes_allow("n", "pivot.n", threshold))
-                  .select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    links = stored(verified(docs, nodes, star, threshold, k, width), "links")
-    found = stored(components(links), "found")
-
     hot = members.where(F.col("size") > long_list).groupBy("node").agg(F.count("*").alias("n_long"))
-    placed = members.join(found, "node", "left").join(hot, "node", "left").select(
-        "v", "node", "n", F.coalesce("component", "node").alias("component")).where(
-        (F.col("size") <= long_list) | (2 * F.col("n_long") >= F.least("n", F.lit(k))))
-    placed = stored(placed, "placed")
-    held = placed.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(
-        F.count("*").alias("groups"), F.max_by("component", F.struct("c", "component")).alias("largest")).where("groups > 1")
-    mixed = stored(placed.join(held, "v"), "mixed")
-    left = mixed.where("component <> largest").select("v", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    right = mixed.select("v", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))
-    cross = left.join(right, "v").where("xc <> yc").where(_sizes_allow("xn", "yn", threshold)).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = stored(verified(docs, nodes, stored(cross, "cross"), threshold, k, width), "links")
-    if not more.isEmpty():
-        found = stored(components(links.unionByName(more)), "found")
+    crowd = stored(nodes.join(hot, "node").where(2 * F.col("n_long") >= F.least("n", F.lit(k))).select(F.col("node").alias("doc_id")), "crowd")
+    short = members.where(F.col("size") <= long_list).select("v", "node", "n")
+    members = stored(short.unionByName(_rarest(docs, crowd, threshold, width)).join(nodes.select("node", "parity"), "node"), "lists")
+    bound = WORK * members.count()
+    links = found = tried = None
+    for turn in range(TURNS):
+        mixed = stored(_mixed_lists(members, found), "mixed")
+        work = mixed.groupBy("v").agg((F.count("*") * F.count_if(F.col("component") != F.col("largest"))).alias("w")).agg(F.sum("w")).first()[0] or 0
+        last = work <= bound or turn == TURNS - 1
+        pairs = _across(mixed, threshold) if last else _to_pivots(mixed, turn, threshold)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = verified(docs, nodes, pairs, threshold, k, width)
+        links = stored(new if links is None else links.unionByName(new), "links")
+        found = stored(components(links), "found")
+        if last:
+            break
 
     groups = nodes.where("n_copies > 1").join(found, "node", "full").select(
         "node", F.coalesce("component", "node").alias("component"))
