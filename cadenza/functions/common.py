@@ -30,7 +30,8 @@ def session_cached(fn):
 
     @functools.wraps(fn)
     def wrapper(*args):
-        key = (id(SparkContext._active_spark_context), args)
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId if sc else None, args)
         hit = cache.get(key)
         if hit is None:
             hit = cache[key] = fn(*args)

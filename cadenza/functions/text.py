@@ -22,11 +22,11 @@ VARIANT_TRACKS_MAX = 5
 CONTEXT_SEPARATOR = " | "
 # -------------------------------------------------------------------------------------
 
-_WS = r"^\s+|\s+$"
+_WS = r"(?U)^\s+|\s+$"
 
 
 def strip(c: Column) -> Column:
-    """Trim leading and trailing whitespace (spaces, tabs, newlines)."""
+    """Trim leading and trailing whitespace, no-break and other Unicode spaces included."""
     return F.regexp_replace(c, _WS, "")
 
 

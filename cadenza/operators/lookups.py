@@ -65,12 +65,14 @@ def search_catalog(catalog: DataFrame, genre: str | None = None, artist: str | N
                    mood: str | None = None, platform: str | None = None) -> DataFrame:
     """tracks matching every given filter.
 
-    genre: the track's genre or one of its predicted genres (exact);
-    artist and mood: case-blind substring; platform: exact.
+    genre: case-blind substring of the track's genre or of one of its
+    predicted genres; artist and mood: case-blind substring; platform: exact.
     """
     cond: Column = F.lit(True)
     if genre is not None:
-        cond = cond & ((F.col("genre") == genre) | F.array_contains("predicted_genres", genre))
+        wanted = genre.lower()
+        cond = cond & (F.lower(F.col("genre")).contains(wanted)
+                       | F.coalesce(F.exists("predicted_genres", lambda g: F.lower(g).contains(wanted)), F.lit(False)))
     if artist is not None:
         cond = cond & F.lower(F.col("artist_name")).contains(artist.lower())
     if mood is not None:

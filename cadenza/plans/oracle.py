@@ -600,8 +600,13 @@ catalog AS (SELECT track_id, track_title, artist_name, album, genre, release_yea
 
 ORACLE["track_catalog"] = "WITH " + CATALOG_CTE + "\nSELECT * FROM catalog"
 ORACLE["catalog_search"] = "WITH " + CATALOG_CTE + """
-SELECT * FROM catalog WHERE (genre = 'hard_rock' OR list_contains(predicted_genres, 'hard_rock'))
-  AND contains(lower(mood_analysis), 'energetic')"""
+SELECT * FROM catalog WHERE contains(lower(genre), 'rock')
+  OR len([g FOR g IN predicted_genres IF contains(lower(g), 'rock')]) > 0"""
+ORACLE["catalog_search_mood"] = "WITH " + CATALOG_CTE + """
+SELECT * FROM catalog WHERE (contains(lower(genre), 'hard_rock')
+  OR len([g FOR g IN predicted_genres IF contains(lower(g), 'hard_rock')]) > 0) AND contains(lower(mood_analysis), 'energetic')"""
+ORACLE["catalog_search_artist"] = "WITH " + CATALOG_CTE + """
+SELECT * FROM catalog WHERE contains(lower(artist_name), 'the') AND platform = 'spotify'"""
 ORACLE["genre_track_counts"] = "WITH " + CATALOG_CTE + """
 SELECT genre, COUNT(*) AS tracks, COUNT(DISTINCT artist_name) AS artists FROM catalog GROUP BY genre"""
 

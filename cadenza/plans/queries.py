@@ -116,18 +116,8 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.read_landing(spark, path, EVENT_A)
 
 
-def _landing_tag(sf_dir: str) -> str:
-    """Landing folders are reused across queries of a run; the tag changes
-    with the input folder, the library version and the injected faults, so
-    a shared checkpoint dir never serves messages of another format."""
-    import hashlib
-
-    from cadenza import __version__
-    return hashlib.sha1(f"{sf_dir}|{__version__}|{messages.FAULTS}".encode()).hexdigest()[:12]
-
-
 def landed_a_path(spark: SparkSession, sf_dir: str) -> str:
-    path = checkpoint_path(spark, f"landing/messages-{_landing_tag(sf_dir)}")
+    path = fresh_dir(spark, "landing-a")
     return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
 
 
@@ -260,7 +250,19 @@ def q_track_catalog(spark, sf_dir):
 @register("catalog_search")
 def q_catalog_search(spark, sf_dir):
     cat = lookups.track_catalog(enrich_input(spark, sf_dir))
-    return lookups.search_catalog(cat, genre="hard_rock", mood="energetic")
+    return lookups.search_catalog(cat, genre="Rock")
+
+
+@register("catalog_search_mood")
+def q_catalog_search_mood(spark, sf_dir):
+    cat = lookups.track_catalog(enrich_input(spark, sf_dir))
+    return lookups.search_catalog(cat, genre="hard_rock", mood="Energetic")
+
+
+@register("catalog_search_artist")
+def q_catalog_search_artist(spark, sf_dir):
+    cat = lookups.track_catalog(enrich_input(spark, sf_dir))
+    return lookups.search_catalog(cat, artist="THE", platform="spotify")
 
 
 @register("genre_track_counts")
@@ -284,10 +286,14 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def landed_b(spark: SparkSession, sf_dir: str) -> str:
-    path = checkpoint_path(spark, f"landing/messages-b-{_landing_tag(sf_dir)}")
+    path = fresh_dir(spark, "landing-b")
     return messages.land_text(messages.to_json_text(nested_events_b(read_events(spark, sf_dir))), path)
 
 
+# The landing is drained as one micro-batch, in which nothing can be late.
+ONE_BATCH = "0 seconds"
+
+
 def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     out = fresh_dir(spark, name)
     stream.run_to_completion(df, f"{out}/data", f"{out}/checkpoint")
@@ -297,13 +303,13 @@ def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 @register("stream_window_metrics")
 def q_stream_window_metrics(spark, sf_dir):
     raw = stream.raw_stream(stream.event_stream(spark, landed_a_path(spark, sf_dir)))
-    return _drain(spark, stream.window_metrics_stream(raw), "window-metrics")
+    return _drain(spark, stream.window_metrics_stream(raw, ONE_BATCH), "window-metrics")
 
 
 @register("stream_engagement_metrics")
 def q_stream_engagement_metrics(spark, sf_dir):
     proc = stream.processed_stream(spark, landed_b(spark, sf_dir))
-    return _drain(spark, stream.keyed_metrics_stream(proc, "engagement"), "engagement-metrics")
+    return _drain(spark, stream.keyed_metrics_stream(proc, "engagement", ONE_BATCH), "engagement-metrics")
 
 
 @register("stream_dedup_counts")
@@ -403,12 +409,9 @@ def q_sql_platform_performance(spark, sf_dir):
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table written once per run as date-partitioned, clustered Parquet."""
-    path = checkpoint_path(spark, f"tables/raw_music_events-{_landing_tag(sf_dir)}")
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        sinks.write_table(raw_a(spark, sf_dir), path, "raw_music_events")
+    """The raw table as date-partitioned, clustered Parquet (S5/S9), written anew for each call."""
+    path = fresh_dir(spark, "raw-music-events")
+    sinks.write_table(raw_a(spark, sf_dir), path, "raw_music_events")
     return spark.read.parquet(path)
 
 

@@ -100,10 +100,14 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
     The multi-line JSON source reads each file as one document; a top-level
     array yields one row per element, a single object one row. The source
-    file name is kept as ``source_file``. Files are split across tasks,
-    never gathered on the driver.
+    file name is kept as ``source_file``. A file that does not parse is one
+    row with ``parse_ok`` false and its text in ``raw_value``. Files are split
+    across tasks, never gathered on the driver.
     """
-    return (spark.read.schema(schema).options(**READ_OPTIONS).option("multiLine", "true").json(path)
+    full = T.StructType(schema.fields + [T.StructField("raw_value", T.StringType())])
+    return (spark.read.schema(full).options(**READ_OPTIONS).option("multiLine", "true")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "raw_value").json(path)
+            .withColumn("parse_ok", F.col("raw_value").isNull())
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
@@ -113,18 +117,8 @@ def write_json_events(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def land_text(text: DataFrame, path: str) -> str:
-    """Write a ``value`` text column as a landing folder (one file per task).
-
-    A folder that already holds a committed write (``_SUCCESS``) is reused, so
-    a re-run after a lost executor or a second query over the same landing
-    does not rewrite it.
-    """
-    spark = text.sparkSession
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-        text.write.mode("overwrite").text(path)
+    """Write a ``value`` text column as a landing folder (one file per task), replacing what it held."""
+    text.write.mode("overwrite").text(path)
     return path
 
 
@@ -132,24 +126,19 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
                  max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """JSON-lines messages parsed at the scan, batch or stream.
 
-    The JSON source parses each line once against ``schema`` and only the
-    fields a query uses. A line that does not parse keeps its text in
-    ``raw_value`` (``parse_ok`` false) for the dead-letter table.
+    Lines are read as text and parsed with ``from_json``; every row keeps its
+    line in ``raw_value``, so a dead letter always has its message and the
+    business rules can look at the text. Blank lines are no messages.
     """
-    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     reader = spark.readStream if streaming else spark.read
-    reader = (reader.schema(full).options(**READ_OPTIONS)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if streaming and archive_dir:
         # S3: move each fully processed input file to the archive folder
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    df = reader.json(path)
-    return (df.withColumnRenamed("_corrupt_record", "raw_value")
-              .withColumn("parse_ok", F.col("raw_value").isNull())
-              .withColumn("batch_file", F.col("_metadata.file_name")))
-
+    lines = reader.text(path).select("value", F.col("_metadata.file_name").alias("batch_file")).where(F.trim("value") != "")
+    parsed = parse_topic(lines, schema)
+    return parsed.select(*[f.name for f in schema.fields], "raw_value", "parse_ok", "batch_file")
 
 
 def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
@@ -170,11 +159,10 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starting
 
 
 def parse_topic(messages_df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Parse ``value`` text of a topic stream like a landing folder row (``raw_value``, ``parse_ok``)."""
+    """Parse ``value`` text against ``schema``: its fields, the text itself as ``raw_value``, and ``parse_ok``."""
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     rest = [c for c in messages_df.columns if c != "value"]
-    return (messages_df.select(parsed.alias("e"), *rest)
-            .select(*[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest,
-                    F.col("e._corrupt_record").alias("raw_value"))
-            .withColumn("parse_ok", F.col("raw_value").isNull()))
+    return (messages_df.select(parsed.alias("e"), F.col("value").alias("raw_value"), *rest)
+            .select(*[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest, "raw_value",
+                    (F.col("e").isNotNull() & F.col("e._corrupt_record").isNull()).alias("parse_ok")))

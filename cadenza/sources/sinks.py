@@ -35,12 +35,13 @@ def with_event_date(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
 def layout(df: DataFrame, cluster_by: list[str], date_col: str = "event_date") -> DataFrame:
     """Group rows of a date into the same task and sort them by the cluster columns.
 
-    ``repartition(date_col)`` alone would put a whole day in one task; adding
-    the first clustering column spreads a large (or hot) day over many
-    tasks while keeping each file's rows sorted.
+    Ranges are cut by sampled size over the date, the clustering columns and
+    the event id, so a hot day and platform spread over many tasks and a file
+    holds neighbouring rows only.
     """
-    keys = [date_col] + cluster_by[:1]
-    return df.repartition(*keys).sortWithinPartitions(date_col, *cluster_by)
+    keys = [date_col] + cluster_by
+    spread = [c for c in ("event_id",) if c in df.columns and c not in keys]
+    return df.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys)
 
 
 def append_partitioned(df: DataFrame, path: str, cluster_by: list[str] | None = None,
@@ -97,7 +98,11 @@ def apply_retention(spark: SparkSession, path: str, table: str, as_of: dt.date)
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("event_date="):
-            if dt.date.fromisoformat(name.split("=", 1)[1]) < cutoff:
+            try:
+                day = dt.date.fromisoformat(name.split("=", 1)[1])
+            except ValueError:  # rows without a date stay
+                continue
+            if day < cutoff:
                 fs.delete(st.getPath(), True)
                 dropped.append(name)
     return dropped

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCANS: dict = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    """One resolved Parquet relation per session and table.
+    """A table as it is now; nothing is kept between calls.
 
-    Listing and footer reads happen once per session (the plan is
-    immutable, so sharing it is safe). If the files give fewer read splits
+    If the files give fewer read splits
     than the cluster's default parallelism (a small table, or one large file
     with a single row group), rows are hash-spread on ``spread_key`` so the
     row-level work that follows uses every core. A large input already has
@@ -19,16 +16,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | No
     at scale. Filters and column pruning still reach the scan through the
     repartition.
     """
-    key = (id(spark.sparkContext), sf_dir, name, spread_key)
-    if key not in _SCANS:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if spread_key is not None:
-            try:
-                want = spark.sparkContext.defaultParallelism
-                splits = df.rdd.getNumPartitions()
-            except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
-                want, splits = 0, 0
-            if splits < want:
-                df = df.repartition(want, spread_key)
-        _SCANS[key] = df
-    return _SCANS[key]
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread_key is not None:
+        try:
+            want = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
+            want, splits = 0, 0
+        if splits < want:
+            df = df.repartition(want, spread_key)
+    return df

@@ -12,6 +12,7 @@ rescheduled query resumes where it stopped (at-least-once input plus
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +25,9 @@ from cadenza.schemas import EVENT_A, EVENT_B
 from cadenza.session import checkpoint_path
 from cadenza.sources import messages, sinks
 
-DEFAULT_WATERMARK = "0 seconds"  # no allowed lateness, as the source system runs
+# Allowed lateness of event time. Rows later than this are dropped by the window
+# aggregations; choose it above the longest delay of the input.
+DEFAULT_WATERMARK = "1 day"
 
 
 def event_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -92,21 +95,48 @@ def _seconds(span: str) -> int:
 def fan_out_batch(out_root: str):
     """S5-S8 in one ``foreachBatch``: raw table, dead letters, enrichment topic.
 
-    Each micro-batch is written with its batch id as a column, so a batch
-    replayed after a failure can be recognised downstream.
+    Every table has a partition per batch id that a replay overwrites, so a
+    batch repeated after a failure adds no row. Redelivered events (W6) are
+    dropped against the stored rows of the same dates, however late they
+    come; a first delivery is always kept.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id))
-        good, bad = validate.split_valid(batch)
-        keep = [c for c in ("batch_file",) if c in good.columns]
-        raw = raw_music_events(good, keep)
-        sinks.append_partitioned(raw.drop(*keep).withColumn("batch_id", F.lit(batch_id)),
-                                 f"{out_root}/raw_music_events")
-        sinks.append(bad.withColumn("batch_id", F.lit(batch_id)), f"{out_root}/dead_letters")
-        sinks.append(enrichment_messages(raw), f"{out_root}/enrichment_topic")
+        batch = batch.persist()
+        try:
+            good, bad = validate.split_valid(batch)
+            keep = [c for c in ("batch_file",) if c in good.columns]
+            raw = sinks.with_event_date(raw_music_events(good, keep)).dropDuplicates(["event_id"])
+            stored = _stored_ids(raw, f"{out_root}/raw_music_events", batch_id)
+            if stored is not None:
+                raw = raw.join(stored, ["event_id", "event_date"], "left_anti")
+            raw = raw.persist()
+            _write_batch(raw.drop(*keep), f"{out_root}/raw_music_events", batch_id, ["event_date"])
+            _write_batch(bad, f"{out_root}/dead_letters", batch_id)
+            _write_batch(enrichment_messages(raw.drop("event_date")), f"{out_root}/enrichment_topic", batch_id)
+            raw.unpersist()
+        finally:
+            batch.unpersist()
     return run
 
 
+def _stored_ids(raw: DataFrame, path: str, batch_id: int) -> DataFrame | None:
+    """Event ids that other batches stored under the dates of ``raw``; None before the first write."""
+    spark = raw.sparkSession
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+    dates = raw.select("event_date").distinct()
+    return table.where(F.col("batch_id") != batch_id).join(F.broadcast(dates), "event_date", "left_semi").select("event_id", "event_date")
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*(partition_by or []), "batch_id").parquet(path))
+
+
 ATTRIBUTES = ["event_type", "platform", "timestamp", "event_id", "batch_file"]
 
 

@@ -10,6 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from cadenza.plans.queries import QUERIES  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -26,10 +27,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
