@@ -15,8 +15,9 @@ The units of a text are bytes or words; a window is ``length`` of them.
 
 No pairs are formed and nothing is dropped: every step is a count or minimum
 per key with partial aggregation, so a passage in a third of all documents is
-folded inside each task. Classes and windows are told apart by 64-bit hashes
-of their content together with the 64-bit hash of the representative.
+folded inside each task. Classes are told apart by the 64-bit hashes of their
+content and representative, windows by 64 bits of content and 32 of the
+representative.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def span_table(docs: DataFrame, units: Units, length: int, gram: int, only_gram:
 
 
 def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataFrame:
-    """Windows of the spans listed in column ``open`` (array of start, count): doc_id, place, w (content), g."""
+    """Windows of the spans listed in column ``open`` (array of start, count): doc_id, place, w (content), g (half of the representative)."""
     def run(batches):
         for b in slices(batches):
             prefix, bounds = units(b.column("text"))
@@ -70,8 +71,8 @@ def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataF
             place = np.repeat(start, count) + step
             at = place + np.repeat(bounds[doc], count)
             ids = b.column("doc_id").take(pa.array(np.repeat(doc, count)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(place, pa.int32()), _int64(prefix.of(at, at + length)), pa.array(np.repeat(g, count))], ["doc_id", "place", "w", "g"])
-    return docs.select("doc_id", "text", "open").mapInArrow(run, "doc_id long, place int, w long, g long")
+            yield pa.RecordBatch.from_arrays([ids, pa.array(place, pa.int32()), _int64(prefix.of(at, at + length)), pa.array(np.repeat(g.astype(np.int32), count))], ["doc_id", "place", "w", "g"])
+    return docs.select("doc_id", "text", "open").mapInArrow(run, "doc_id long, place int, w long, g int")
 
 
 def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earlier_only: bool) -> DataFrame:
@@ -95,11 +96,12 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
     ends = classes.join(several, "g", "left_semi").select("m.*", "g").groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "count", "g")).alias("open"))
     windows = stored(window_table(docs.join(ends, "doc_id"), units, length, gram), "windows")
-    first = F.min(F.struct("doc_id", "place")).alias("m")
-    same = windows.groupBy("g", "w").agg(F.count("*").alias("n"), first).where("n > 1")
-    single = windows.join(same, ["g", "w"])
     if earlier_only:
-        single = single.where((F.col("doc_id") != F.col("m.doc_id")) | (F.col("place") != F.col("m.place")))
+        same = windows.groupBy("g", "w").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("m")).where("n > 1").drop("n")
+        single = windows.join(same, ["g", "w"]).where((F.col("doc_id") != F.col("m.doc_id")) | (F.col("place") != F.col("m.place")))
+    else:
+        same = windows.groupBy("g", "w").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        single = windows.join(same, ["g", "w"], "left_semi")
     single = single.select("doc_id", F.col("place").alias("a"), F.col("place").alias("b"))
     return sure.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
