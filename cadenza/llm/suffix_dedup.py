@@ -25,7 +25,7 @@ from cadenza.llm.common import slices
 from cadenza.llm.repeats import repeated_ranges, runs_of
 
 LENGTH = 200
-GRAM = 40
+GRAM = 120
 
 
 def byte_units(column: pa.Array) -> tuple[H.Prefix, np.ndarray]:
