@@ -82,7 +82,8 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
     (smaller doc_id, or before it in the same document), else if it also
     starts anywhere else. Needs non-null, unique doc_ids.
     """
-    grams = span_table(docs, units, length, gram, only_gram=True).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    # Stored, so that both sides of the joins on g come from a shuffle and a hot g is split.
+    grams = stored(span_table(docs, units, length, gram, only_gram=True).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")
     held = stored(span_table(docs, units, length, gram).join(grams, "g", "left_semi"), "spans")
     classes = stored(held.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "count")).alias("m")), "classes")
     if earlier_only:
@@ -92,7 +93,7 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
         sure = held.join(classes.where("n > 1").select("g", "h"), ["g", "h"], "left_semi")
     sure = sure.select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1).alias("b"))
 
-    several = classes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
+    several = stored(classes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g"), "several")
     ends = classes.join(several, "g", "left_semi").select("m.*", "g").groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "count", "g")).alias("open"))
     windows = stored(window_table(docs.join(ends, "doc_id"), units, length, gram), "windows")
