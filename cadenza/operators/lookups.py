@@ -5,8 +5,8 @@ dimension), so they grow with the data. A lookup join is a plain equi-join
 on the id: Spark broadcasts the dimension only when its measured size is
 under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime,
 after the dimension's aggregation has run) and otherwise shuffles both
-sides on the key. ``broadcast_if_small`` adds an explicit hint gated by a
-row-count check for callers that want it.
+sides on the key. The attributes are made distinct by a hash aggregate first,
+so ``min`` over strings sorts the few distinct rows, not the events.
 """
 
 from __future__ import annotations
@@ -18,15 +18,8 @@ from cadenza.operators.reports import modes
 from cadenza.operators.rules import enrich_rules
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting the dimension (an aggregate; cheap)."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str, max_broadcast_rows: int | None = None) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Left join of facts to a dimension by id; no fact row is lost."""
-    if max_broadcast_rows is not None:
-        dim = broadcast_if_small(dim, max_broadcast_rows)
     return fact.join(dim, key, "left")
 
 
@@ -37,7 +30,7 @@ def track_catalog(events_b: DataFrame) -> DataFrame:
     the value; the platform is the most frequent one (ties to the smallest).
     The rule labels are computed once per track, after the aggregation.
     """
-    base = events_b.groupBy("track_id").agg(
+    base = events_b.select("track_id", "track_title", "artist_name", "album", "genre", "release_year", "duration").distinct().groupBy("track_id").agg(
         F.min("track_title").alias("track_title"), F.min("artist_name").alias("artist_name"),
         F.min("album").alias("album"), F.min("genre").alias("genre"),
         F.min("release_year").alias("release_year"), F.min("duration").alias("duration"))
@@ -49,7 +42,8 @@ def track_catalog(events_b: DataFrame) -> DataFrame:
 
 def artist_dimension(raw: DataFrame) -> DataFrame:
     """Artist attributes by ``artist_id`` from shape A raw rows."""
-    return raw.groupBy("artist_id").agg(
+    attributes = ["artist_id", "artist_name", "artist_followers", "artist_verified", "artist_country"]
+    return raw.select(*attributes).distinct().groupBy("artist_id").agg(
         F.min("artist_name").alias("artist_name"), F.max("artist_followers").alias("artist_followers"),
         F.max(F.col("artist_verified").cast("int")).cast("boolean").alias("artist_verified"),
         F.min("artist_country").alias("artist_country"))
@@ -57,7 +51,8 @@ def artist_dimension(raw: DataFrame) -> DataFrame:
 
 def album_dimension(raw: DataFrame) -> DataFrame:
     """Album attributes by ``album_id`` (events without an album are left out)."""
-    return (raw.filter(F.col("album_id").isNotNull()).groupBy("album_id")
+    return (raw.filter(F.col("album_id").isNotNull()).select("album_id", "album_name", "album_release_date").distinct()
+            .groupBy("album_id")
             .agg(F.min("album_name").alias("album_name"), F.min("album_release_date").alias("album_release_date")))
 
 

@@ -82,6 +82,13 @@ def platform_performance(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, days: i
 
 # --- most frequent value per group ---------------------------------------------
 
+def closed_mode(name: str) -> Column:
+    """Most frequent value of a column with a small closed domain (hour, platform,
+    device), ties to the smallest. It joins the group's other aggregates: its
+    buffer has one entry per value of the domain, so no row is stacked for it."""
+    return F.mode(name, True)
+
+
 def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dict[str, Column] | None = None,
           distributions: dict[str, Column] | None = None, distinct: dict[str, Column] | None = None) -> DataFrame:
     """Most frequent value of each attribute per ``keys`` group; ties go to the
@@ -151,10 +158,10 @@ def user_daily_analytics(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_play_time_ms"),
         round6(F.avg("engagement_score")).alias("average_engagement_score"),
         _rate(_type_count("skip"), F.count(F.lit(1))).alias("skip_rate"),
-        _rate(F.count_if(F.col("is_full_play")), _type_count("play")).alias("completion_rate"))
-    top = modes(df, keys, {"favorite_platform": F.col("platform"), "preferred_device": F.col("device_type"),
-                           "most_active_hour": F.col("hour_of_day")},
-                explode={"top_genre": F.col("track_genres")},
+        _rate(F.count_if(F.col("is_full_play")), _type_count("play")).alias("completion_rate"),
+        closed_mode("platform").alias("favorite_platform"), closed_mode("device_type").alias("preferred_device"),
+        closed_mode("hour_of_day").cast("long").alias("most_active_hour"))
+    top = modes(df, keys, {}, explode={"top_genre": F.col("track_genres")},
                 distinct={"unique_tracks": F.col("track_id"), "unique_artists": F.col("artist_id"),
                           "listening_sessions": F.col("session_id")})
     return main.join(top, keys, "left").select(
@@ -188,9 +195,9 @@ def track_daily_analytics(raw: DataFrame, trend_days: int = 7) -> DataFrame:
         _rate(_type_count("like"), n).alias("like_rate"),
         _rate(_type_count("share"), n).alias("share_rate"),
         _type_count("playlist_add").alias("playlist_adds"),
-        distribution_json("platform", PLATFORMS_A).alias("platform_distribution"))
-    peak = modes(df, keys, {"peak_listening_hour": F.col("hour_of_day")},
-                 distributions={"geographic_distribution": F.col("user_location")},
+        distribution_json("platform", PLATFORMS_A).alias("platform_distribution"),
+        closed_mode("hour_of_day").cast("long").alias("peak_listening_hour"))
+    peak = modes(df, keys, {}, distributions={"geographic_distribution": F.col("user_location")},
                  distinct={"unique_listeners": F.when(F.col("event_type") == "play", F.col("user_id"))})
     day = F.datediff(F.col("analysis_date"), F.lit("1970-01-01"))
     w = Window.partitionBy("track_id", "artist_id").orderBy(day).rangeBetween(-trend_days, -1)
@@ -211,12 +218,12 @@ def platform_daily_analytics(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_events"),
         F.coalesce(F.sum("played_duration_ms"), F.lit(0)).cast("long").alias("total_streaming_time_ms"),
         round6(F.avg("engagement_score")).alias("average_engagement_score"),
-        _rate(F.count_if(F.col("device_type") == "mobile"), F.count(F.lit(1))).alias("mobile_usage_ratio"))
+        _rate(F.count_if(F.col("device_type") == "mobile"), F.count(F.lit(1))).alias("mobile_usage_ratio"),
+        closed_mode("hour_of_day").cast("long").alias("peak_usage_hour"))
     span = (df.groupBy(*keys, "session_id")
             .agg(((F.unix_micros(F.max("timestamp")) - F.unix_micros(F.min("timestamp"))) / 1000).alias("ms"))
             .groupBy(*keys).agg(F.floor(F.avg("ms")).cast("long").alias("average_session_duration_ms")))
-    top = modes(df, keys, {"most_popular_artist": F.col("artist_name"), "most_popular_track": F.col("track_name"),
-                           "peak_usage_hour": F.col("hour_of_day")},
+    top = modes(df, keys, {"most_popular_artist": F.col("artist_name"), "most_popular_track": F.col("track_name")},
                 explode={"top_genre": F.col("track_genres")},
                 distinct={"unique_users": F.col("user_id"),
                           "_premium_users": F.when(F.col("subscription_type") == "premium", F.col("user_id"))})
