@@ -71,7 +71,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 def stem_counts(train: DataFrame) -> DataFrame:
     """stem, toxic, clean: documents of either label that have a word beginning with it."""
     def run(batches):
-        for b in slices(batches, limit=8 << 20):
+        for b in slices(batches):  # small, as a slice's stems are held as a dict
             counts: dict[bytes, list[int]] = {}
             for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
                 words = set(_words(text))
