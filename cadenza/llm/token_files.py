@@ -119,9 +119,8 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     """id, n over all documents; each task adds up its own first."""
     def run(batches):
         total = np.zeros(1 << 16, dtype=np.int64)
-        for b in batches:
-            for x in b.column("ids"):
-                total += np.bincount(np.frombuffer(x.as_buffer(), dtype="<u2"), minlength=1 << 16)
+        for b in slices(batches, "ids"):
+            total += np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), dtype="<u2"), minlength=1 << 16)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids], pa.int64())], ["id", "n"])
     return tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
@@ -282,7 +281,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         table_id, table_length = decode_table(shared.value, limit)
         for b in batches:
-            for r in b.to_pylist():
+            for i in range(b.num_rows):  # one block at a time
+                r = b.slice(i, 1).to_pylist()[0]
                 ids = unpack(r["bits"], np.array(r["checkpoints"], dtype=np.int64), r["n_ids"], table_id, table_length, limit)
                 size = np.array(r["lengths"], dtype=np.int64)
                 at = np.cumsum(size) - size
