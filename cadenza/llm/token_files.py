@@ -22,7 +22,9 @@ import os
 import re
 import uuid
 import zlib
+from collections import defaultdict
 from functools import lru_cache
+from itertools import chain, count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +47,36 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Ragged:
+    """Numbered keys, each with a run of 16-bit ids; a key not seen before gets the next number."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.first = np.zeros(1, dtype=np.int64)  # where each key's run begins, and the end
+        self.ids = np.zeros(0, dtype="<u2")
+
+    def number(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, keys), dtype=np.int64, count=len(keys))
+
+    def unseen(self) -> list[str]:
+        """Keys that have a number but no run yet, in the order of their numbers."""
+        return list(islice(reversed(self.numbers), len(self.numbers) - len(self.first) + 1))[::-1]
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def runs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of ``numbers`` one after the other, and their sizes."""
+        start = self.first[numbers]
+        sizes = self.first[numbers + 1] - start
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + sizes, sizes)
+        return self.ids[at], sizes
+
+
 class Encoder:
-    """Exact ids of whole texts, with the pieces that recur kept in a bounded cache.
+    """Exact ids of whole texts, with the words and pieces that recur kept in a bounded cache.
 
     The tokenizer lower-cases, splits a text into pieces and merges inside
     each piece alone. Where a text holds only tab, line ends, printable ASCII
@@ -56,46 +86,57 @@ class Encoder:
     """
 
     PLAIN = re.compile("[^\t\n\r\x20-\x7e\xc0-\xff]|<\\|")
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+|\n")
+    BREAK = "\n"  # between words in a list of pieces; a piece without ids
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").astype("<u2").tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
-        split = {w: self.PIECE.findall(w) for w in words}
-        unseen = list({p for ps in split.values() for p in ps if p not in self.pieces})
-        for at in range(0, len(unseen), 4096):
-            part = unseen[at:at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.pieces[p] = self._bytes(e.ids)
-        for w, ps in split.items():
-            self.words[w] = b"".join([self.pieces[p] for p in ps])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a piece
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.pieces = Ragged(), Ragged()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 4096):
+            part = pieces[at:at + 4096]
+            texts = [p for p in part if p != self.BREAK]
+            ids = self._ids(" ".join(texts))
+            last = np.flatnonzero(self.ends[ids])
+            sizes = np.diff(last, prepend=-1)
+            if len(last) != len(texts) or sizes.sum() != len(ids):  # no single end a piece: one by one
+                each = [self._ids(p) for p in texts]
+                ids, sizes = np.concatenate(each), np.array([len(x) for x in each])
+            if len(texts) < len(part):
+                sizes = np.insert(sizes, part.index(self.BREAK), 0)
+            self.pieces.add(ids, sizes)
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.pieces.numbers) > CACHE_WORDS:
+            self.pieces = Ragged()
+        numbers = self.pieces.number(self.PIECE.findall("".join([w + self.BREAK for w in words])))
+        self._learn_pieces(self.pieces.unseen())
+        ids, sizes = self.pieces.runs(numbers)
+        breaks = np.flatnonzero(numbers == self.pieces.numbers[self.BREAK])
+        self.words.add(ids, np.diff(np.cumsum(sizes)[breaks], prepend=0))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 16-bit integers, without the end id."""
-        plain = [None if t is None or self.PLAIN.search(t) else t.lower().split() for t in texts]
-        unseen = set().union(*(ws for ws in plain if ws)).difference(self.words) if any(plain) else set()
-        if len(self.words) + len(unseen) > CACHE_WORDS:
-            unseen = set().union(*(ws for ws in plain if ws))
-        self._learn(unseen)
-        out = []
-        for t, ws in zip(texts, plain, strict=True):
-            if ws is not None:
-                out.append(b"".join(map(self.words.__getitem__, ws)))
-            else:
-                out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if t else b"")
-        return out
+        plain = [not t or not self.PLAIN.search(t) for t in texts]
+        split = [(t or "").lower().split() for t, p in zip(texts, plain, strict=True) if p]
+        if len(self.words.numbers) > CACHE_WORDS:
+            self.words = Ragged()
+        numbers = self.words.number(list(chain.from_iterable(split)))
+        if len(self.words.numbers) >= len(self.words.first):
+            self._learn(self.words.unseen())
+        ids, sizes = self.words.runs(numbers)
+        n_ids, n_words = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum([len(ws) for ws in split], dtype=np.int64))
+        known = (ids[a:b].tobytes() for a, b in pairwise(n_ids[n_words]))
+        return [next(known) if p else self._ids(t).tobytes() for t, p in zip(texts, plain, strict=True)]
 
 
 @lru_cache(1)
