@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cadenza.session import ensure_checkpoint_dir
 
 # Text handed to one numpy pass; bounds a task's temporaries whatever the
 # size of an Arrow batch. A longer single text is a pass of its own.
 SLICE_BYTES = 1 << 20
+# Rows handed to Python at a time: whole texts are wide, and every task holds a
+# batch on both sides of the pipe outside the JVM's heap.
+ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``ARROW_ROWS`` rows (a setting of the session)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality in which null equals null."""
     return a.eqNullSafe(b)

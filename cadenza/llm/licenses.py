@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm.common import slices
+from cadenza.llm.common import in_batches, slices
 
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 # Own phrases: label, and how sure the phrase alone makes us of a licence (0-1).
@@ -161,8 +161,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             found = list(zip(*(scan(x) for x in b.column("text").to_pylist()), strict=True))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x, t) for x, t in zip(found, types, strict=True))], ["doc_id", *names])
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return docs.select("doc_id", "text").transform(
+        in_batches, run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
-from cadenza.llm.common import by_ids, slices, stored
+from cadenza.llm.common import by_ids, in_batches, slices, stored
 from cadenza.llm.graph import components
 
 SHINGLE = 5
@@ -92,7 +92,7 @@ def _sketches(k: int, width: int):
 
 def sketch(docs: DataFrame, k: int = K, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, print (digest of the whole set, null if empty), sketch, parity."""
-    return docs.select("doc_id", "text").mapInArrow(_sketches(k, width), "doc_id long, n_shingles long, print binary, sketch array<long>, parity array<long>")
+    return docs.select("doc_id", "text").transform(in_batches, _sketches(k, width), "doc_id long, n_shingles long, print binary, sketch array<long>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -101,7 +101,7 @@ def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         for b in slices(batches):
             sets = [s.view(np.int64) for s in shingle_sets(b.column("text"), width)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, shingles array<long>")
 
 
 def union_estimate(a: Column, b: Column, k: int = K) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import cover
-from cadenza.llm.common import slices, stored
+from cadenza.llm.common import in_batches, slices, stored
 from cadenza.llm.hashing import Prefix
 
 # column of texts -> (prefix hashes over units, bounds of each text in units)
@@ -52,7 +52,7 @@ def span_table(docs: DataFrame, units: Units, length: int, gram: int, only_gram:
                 continue
             ids = b.column("doc_id").take(pa.array(s.doc))
             yield pa.RecordBatch.from_arrays([_int64(s.gram), ids, _int64(s.content), pa.array(s.start, pa.int32()), pa.array(s.count, pa.int32())], ["g", "doc_id", "h", "start", "count"])
-    return docs.select("doc_id", "text").mapInArrow(run, "g long" if only_gram else "g long, doc_id long, h long, start int, count int")
+    return docs.select("doc_id", "text").transform(in_batches, run, "g long" if only_gram else "g long, doc_id long, h long, start int, count int")
 
 
 def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataFrame:
@@ -72,7 +72,7 @@ def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataF
             at = place + np.repeat(bounds[doc], count)
             ids = b.column("doc_id").take(pa.array(np.repeat(doc, count)))
             yield pa.RecordBatch.from_arrays([ids, pa.array(place, pa.int32()), _int64(prefix.of(at, at + length)), pa.array(np.repeat(g.astype(np.int32), count))], ["doc_id", "place", "w", "g"])
-    return docs.select("doc_id", "text", "open").mapInArrow(run, "doc_id long, place int, w long, g int")
+    return docs.select("doc_id", "text", "open").transform(in_batches, run, "doc_id long, place int, w long, g int")
 
 
 def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earlier_only: bool) -> DataFrame:

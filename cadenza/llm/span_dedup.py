@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
-from cadenza.llm.common import slices
+from cadenza.llm.common import in_batches, slices
 from cadenza.llm.repeats import repeated_ranges, runs_of
 
 LENGTH = 20
@@ -58,7 +58,7 @@ def remove_earlier_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
     docs = docs.select("doc_id", "text")
     found = repeated_ranges(docs, word_units, length, gram, earlier_only=True)
-    return docs.join(found, "doc_id", "left").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return docs.join(found, "doc_id", "left").transform(in_batches, run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

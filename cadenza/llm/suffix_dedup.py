@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
-from cadenza.llm.common import slices
+from cadenza.llm.common import in_batches, slices
 from cadenza.llm.repeats import repeated_ranges, runs_of
 
 LENGTH = 200
@@ -55,7 +55,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
                 for column, x in zip(out, (len(data), len(data) - len(kept), len(start), kept), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return repeated_bytes(docs, length, gram).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return repeated_bytes(docs, length, gram).transform(in_batches, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import slices, stored
+from cadenza.llm.common import in_batches, slices, stored
 from cadenza.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -153,7 +153,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         for b in slices(batches):
             ids = [x + end for x in e.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, n_tokens long, ids binary")
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
             total += np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), dtype="<u2"), minlength=1 << 16)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids], pa.int64())], ["id", "n"])
-    return tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("ids").transform(in_batches, run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -302,7 +302,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None) ->
             yield block()
 
     (tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids").withColumn("part", F.spark_partition_id())
-     .mapInArrow(run, "part int, block int, n_ids long, doc_ids array<long>, lengths array<long>, checkpoints array<long>, bits binary")
+     .transform(in_batches, run, "part int, block int, n_ids long, doc_ids array<long>, lengths array<long>, checkpoints array<long>, bits binary")
      .write.parquet(f"{folder}/blocks"))
 
 
@@ -330,7 +330,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 out = [ids[a:a + n].astype("<u2").tobytes() for a, n in zip(at, size, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array(at + r["start"], pa.int64()), pa.array(size, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
     return blocks.join(starts, ["part", "block"]).select(
-        "bits", "checkpoints", "n_ids", "lengths", "doc_ids", "start").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+        "bits", "checkpoints", "n_ids", "lengths", "doc_ids", "start").transform(in_batches, run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def digests(tokens: DataFrame) -> DataFrame:
@@ -339,7 +339,7 @@ def digests(tokens: DataFrame) -> DataFrame:
         for b in batches:
             crc = [zlib.crc32(np.frombuffer(x.as_buffer(), dtype="<u2").astype("<u4").tobytes()) for x in b.column("ids")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-    return tokens.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tokens.transform(in_batches, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(docs: DataFrame) -> DataFrame:

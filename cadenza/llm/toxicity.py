@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import BROADCAST_ROWS, slices, stored, table
+from cadenza.llm.common import BROADCAST_ROWS, in_batches, slices, stored, table
 from cadenza.llm.licenses import WORD_TABLE
 
 TRAIN_ROWS = 40_000
@@ -79,7 +79,7 @@ def stem_counts(train: DataFrame) -> DataFrame:
                 for s in stems:
                     counts.setdefault(s, [0, 0])[0 if y else 1] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())], ["stem", "toxic", "clean"])
-    return train.mapInArrow(run, "stem binary, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return train.transform(in_batches, run, "stem binary, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def choose_lexicon(candidates: list[tuple[bytes, int, int]], toxic: int, clean: int, size: int = LEXICON) -> dict[bytes, float]:
@@ -190,7 +190,7 @@ def features(rows: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
             found = pd.DataFrame([grammar.features(x) for x in b.column("text").to_pylist()], columns=FEATURES)
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(pa.array(found[f]) for f in FEATURES)], [*keep, *FEATURES])
     kinds = dict(rows.dtypes)
-    return rows.select(*keep, "text").mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), *(f"{f} double" for f in FEATURES)]))
+    return rows.select(*keep, "text").transform(in_batches, run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), *(f"{f} double" for f in FEATURES)]))
 
 
 # ---- the operator -----------------------------------------------------------
@@ -215,7 +215,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in slices(batches):
             x = np.array([grammar.features(t) for t in b.column("text").to_pylist()])
             yield b.filter(pa.array(x @ w[1:] + w[0] < 0))
-    return docs.select(*names).mapInArrow(run, docs.schema)
+    return docs.select(*names).transform(in_batches, run, docs.schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
