@@ -27,17 +27,21 @@ TREND_DAYS = 7
 
 
 def cmd_load(spark, args) -> None:
+    """A landing loaded again adds no row: events are looked up by id among the
+    stored rows, dead letters by their text."""
     checked = validate.validate(messages.read_landing(spark, args.landing, EVENT_A))
     good, bad = validate.split_valid(checked)
-    sinks.write_table(raw_music_events(good), f"{args.out}/raw_music_events", "raw_music_events")
-    sinks.append(bad, f"{args.out}/dead_letters")
+    raw = sinks.with_event_date(raw_music_events(good))
+    raw = sinks.not_stored(raw, f"{args.out}/raw_music_events", ["event_id", "event_date"])
+    sinks.write_table(raw, f"{args.out}/raw_music_events", "raw_music_events")
+    sinks.append(sinks.not_stored(bad, f"{args.out}/dead_letters", ["raw_value"]), f"{args.out}/dead_letters")
 
 
 def cmd_reports(spark, args) -> None:
     """Views as of ``--as-of``; daily tables for all days, or with ``--days N``
     only the last N days (incremental: the read is pruned to those partitions
-    plus the trending score's look-back, and only those days are written,
-    replacing their partitions)."""
+    plus the trending score's look-back, and only those days are written).
+    Written days replace their partitions, so a repeated run adds no row."""
     raw = spark.read.parquet(args.raw)
     as_of = dt.date.fromisoformat(args.as_of)
     daily_in = raw
@@ -56,8 +60,7 @@ def cmd_reports(spark, args) -> None:
             df = df.withColumnRenamed("analysis_date", "event_date")
             if args.days:
                 df = df.filter(F.col("event_date") >= F.date_sub(F.lit(as_of), args.days))
-            sinks.write_table(df, f"{args.out}/{name}", name, time_col="event_date",
-                              replace_partitions=bool(args.days))
+            sinks.write_table(df, f"{args.out}/{name}", name, time_col="event_date", replace_partitions=True)
         else:
             df.write.mode("overwrite").parquet(f"{args.out}/{name}")
 

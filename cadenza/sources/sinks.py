@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,21 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def not_stored(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` the table at ``path`` does not hold yet (all, if there is no table).
+
+    A date among the keys is compared as the partition it names; only the key
+    columns of the table are read.
+    """
+    try:
+        table = df.sparkSession.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return df
+    return df.join(table.select(*keys), keys, "left_anti")
+
+
 def write_table(df: DataFrame, path: str, table: str, time_col: str = "timestamp",
                 replace_partitions: bool = False) -> None:
     """Write a named table with its layout (partition by date, sort by cluster columns)."""

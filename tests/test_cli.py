@@ -21,12 +21,20 @@ def test_load_then_reports_then_stream(spark):
     raw = spark.read.parquet(f"{root}/wh/raw_music_events")
     bad = spark.read.parquet(f"{root}/wh/dead_letters")
     assert raw.count() + bad.count() == 1000 and bad.count() > 0
+    # the same landing again adds no row
+    cmd_load(spark, Args(landing=landing, out=f"{root}/wh"))
+    assert spark.read.parquet(f"{root}/wh/raw_music_events").count() == raw.count()
+    assert spark.read.parquet(f"{root}/wh/dead_letters").count() == bad.count()
+    raw = spark.read.parquet(f"{root}/wh/raw_music_events")
     cmd_reports(spark, Args(raw=f"{root}/wh/raw_music_events", as_of="2024-01-31", days=None, out=f"{root}/rep"))
     for name in ("daily_events_summary", "top_tracks_weekly", "platform_performance", "user_analytics",
                  "track_analytics", "platform_analytics"):
         assert os.path.isdir(f"{root}/rep/{name}")
     assert spark.read.parquet(f"{root}/rep/user_analytics").count() > 0
     full = sorted(map(repr, map(tuple, spark.read.parquet(f"{root}/rep/user_analytics").collect())))
+    # a full rerun replaces every day
+    cmd_reports(spark, Args(raw=f"{root}/wh/raw_music_events", as_of="2024-01-31", days=None, out=f"{root}/rep"))
+    assert sorted(map(repr, map(tuple, spark.read.parquet(f"{root}/rep/user_analytics").collect()))) == full
     # incremental rerun: only the last 3 days are recomputed and replaced, the rest stays
     cmd_reports(spark, Args(raw=f"{root}/wh/raw_music_events", as_of="2024-01-31", days=3, out=f"{root}/rep"))
     again = sorted(map(repr, map(tuple, spark.read.parquet(f"{root}/rep/user_analytics").collect())))
