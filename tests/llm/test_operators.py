@@ -220,6 +220,15 @@ def test_main_text(spark):
     assert html_wrapper.render(html_wrapper.fold(["ul", "li", "#", "/li", "li", "#", "/li", "/ul"])) == "ul (li # /li)+ /ul"
 
 
+def test_main_text_keeps_elements_whose_names_only_resemble_adverts():
+    body = "<p>One two three</p><p>Four <a class='share'>five</a> <span class='related'>six</span></p>"
+    whole = "One two three\nFour five six"
+    for page in (f"<body class='has-sidebar'>{body}</body>", f"<body class='sidebar'><article class='social-issues'>{body}</article></body>",
+                 f"<body><div id='no-sidebar'>{body}</div></body>", f"<body><main class='with-nav widget'>{body}</main></body>",
+                 f"<body><div class='content related'>{body}</div><p></p></body>", f"<body>{body}<div class='box Ads'>Buy</div><div role=banner>Hi</div></body>"):
+        assert html_wrapper.extract(page, None) == whole, page
+
+
 def test_empty_tables(documents, spark):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
