@@ -42,21 +42,37 @@ def _int64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, pa.int64())
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, text and row_id: a unique number of each row, in the order of doc_id (null last) and content.
+
+    Unique ids number their rows themselves. With null or shared ids the rows
+    are sorted and stored with their numbers; equal rows stand in any order.
+    """
+    docs = docs.select("doc_id", "text")
+    if docs.where("doc_id IS NULL").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn("row_id", F.col("doc_id"))
+    # The last key only deals equal rows out to several parts.
+    rows = docs.withColumns({"key": F.sha2(F.coalesce("text", F.lit("")), 256), "at": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_last(), "key", "at"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(rows.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id")), "numbered")
+
+
 def span_table(docs: DataFrame, units: Units, length: int, gram: int, only_gram: bool = False) -> DataFrame:
-    """g (representative), and doc_id, h (content class), start, count of each span."""
+    """g (representative), and row_id, h (content class), start, count of each span."""
     def run(batches):
         for b in slices(batches):
             s = cover.spans(*units(b.column("text")), length, gram)
             if only_gram:
                 yield pa.RecordBatch.from_arrays([_int64(s.gram)], ["g"])
                 continue
-            ids = b.column("doc_id").take(pa.array(s.doc))
-            yield pa.RecordBatch.from_arrays([_int64(s.gram), ids, _int64(s.content), pa.array(s.start, pa.int32()), pa.array(s.count, pa.int32())], ["g", "doc_id", "h", "start", "count"])
-    return docs.select("doc_id", "text").transform(in_batches, run, "g long" if only_gram else "g long, doc_id long, h long, start int, count int")
+            ids = b.column("row_id").take(pa.array(s.doc))
+            yield pa.RecordBatch.from_arrays([_int64(s.gram), ids, _int64(s.content), pa.array(s.start, pa.int32()), pa.array(s.count, pa.int32())], ["g", "row_id", "h", "start", "count"])
+    return docs.select("row_id", "text").transform(in_batches, run, "g long" if only_gram else "g long, row_id long, h long, start int, count int")
 
 
 def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataFrame:
-    """Windows of the spans listed in column ``open`` (array of start, count): doc_id, place, w (content), g (half of the representative)."""
+    """Windows of the spans listed in column ``open`` (array of start, count): row_id, place, w (content), g (half of the representative)."""
     def run(batches):
         for b in slices(batches):
             prefix, bounds = units(b.column("text"))
@@ -70,41 +86,41 @@ def window_table(docs: DataFrame, units: Units, length: int, gram: int) -> DataF
             step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             place = np.repeat(start, count) + step
             at = place + np.repeat(bounds[doc], count)
-            ids = b.column("doc_id").take(pa.array(np.repeat(doc, count)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(place, pa.int32()), _int64(prefix.of(at, at + length)), pa.array(np.repeat(g.astype(np.int32), count))], ["doc_id", "place", "w", "g"])
-    return docs.select("doc_id", "text", "open").transform(in_batches, run, "doc_id long, place int, w long, g int")
+            ids = b.column("row_id").take(pa.array(np.repeat(doc, count)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(place, pa.int32()), _int64(prefix.of(at, at + length)), pa.array(np.repeat(g.astype(np.int32), count))], ["row_id", "place", "w", "g"])
+    return docs.select("row_id", "text", "open").transform(in_batches, run, "row_id long, place int, w long, g int")
 
 
 def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earlier_only: bool) -> DataFrame:
-    """doc_id, ranges: array of (first, last) window starts that repeat.
+    """row_id, ranges: array of (first, last) window starts that repeat.
 
-    With ``earlier_only`` a window counts if its content also starts earlier
-    (smaller doc_id, or before it in the same document), else if it also
-    starts anywhere else. Needs non-null, unique doc_ids.
+    ``docs`` are ``numbered`` rows. With ``earlier_only`` a window counts if
+    its content also starts earlier (smaller row_id, or before it in the same
+    row), else if it also starts anywhere else.
     """
     # Stored, so that both sides of the joins on g come from a shuffle and a hot g is split.
     grams = stored(span_table(docs, units, length, gram, only_gram=True).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")
     held = stored(span_table(docs, units, length, gram).join(grams, "g", "left_semi"), "spans")
-    classes = stored(held.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "count")).alias("m")), "classes")
+    classes = stored(held.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "start", "count")).alias("m")), "classes")
     if earlier_only:
         sure = held.join(classes.where("n > 1").select("g", "h", "m"), ["g", "h"]).where(
-            (F.col("doc_id") != F.col("m.doc_id")) | (F.col("start") != F.col("m.start")))
+            (F.col("row_id") != F.col("m.row_id")) | (F.col("start") != F.col("m.start")))
     else:
         sure = held.join(classes.where("n > 1").select("g", "h"), ["g", "h"], "left_semi")
-    sure = sure.select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1).alias("b"))
+    sure = sure.select("row_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1).alias("b"))
 
     several = stored(classes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g"), "several")
-    ends = classes.join(several, "g", "left_semi").select("m.*", "g").groupBy("doc_id").agg(
+    ends = classes.join(several, "g", "left_semi").select("m.*", "g").groupBy("row_id").agg(
         F.collect_list(F.struct("start", "count", "g")).alias("open"))
-    windows = stored(window_table(docs.join(ends, "doc_id"), units, length, gram), "windows")
+    windows = stored(window_table(docs.join(ends, "row_id"), units, length, gram), "windows")
     if earlier_only:
-        same = windows.groupBy("g", "w").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("m")).where("n > 1").drop("n")
-        single = windows.join(same, ["g", "w"]).where((F.col("doc_id") != F.col("m.doc_id")) | (F.col("place") != F.col("m.place")))
+        same = windows.groupBy("g", "w").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "place")).alias("m")).where("n > 1").drop("n")
+        single = windows.join(same, ["g", "w"]).where((F.col("row_id") != F.col("m.row_id")) | (F.col("place") != F.col("m.place")))
     else:
         same = windows.groupBy("g", "w").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         single = windows.join(same, ["g", "w"], "left_semi")
-    single = single.select("doc_id", F.col("place").alias("a"), F.col("place").alias("b"))
-    return sure.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    single = single.select("row_id", F.col("place").alias("a"), F.col("place").alias("b"))
+    return sure.unionByName(single).groupBy("row_id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
 
 def runs_of(ranges: pa.Array, i: int, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ content an earlier block holds is a factor, and factors of 20 words or more
 are duplicate spans (a span has at least 20 words). Windows at factor
 boundaries, where the neighbouring text differs, are looked up one by one.
 
-A null text has no words. Of rows that repeat a document whole, see
+A null text has no words. For the order of rows with null or shared ids see
 ``remove_earlier_spans``. Extra columns are ignored.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
 from cadenza.llm.common import in_batches, slices
-from cadenza.llm.repeats import repeated_ranges, runs_of
+from cadenza.llm.repeats import numbered, repeated_ranges, runs_of
 
 LENGTH = 20
 GRAM = 5
@@ -34,8 +34,8 @@ def word_units(column: pa.Array) -> tuple[H.Prefix, object]:
 def remove_earlier_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept (remaining words joined by one space).
 
-    doc_ids must be unique for "earlier" to be defined; rows that share an id
-    are ordered by place only, so an equal row does not remove the other.
+    Rows are ordered by doc_id, null last, and rows that share an id by a hash
+    of their text; of equal rows all but one lose what they repeat.
     """
     def run(batches):
         for b in slices(batches):
@@ -56,9 +56,9 @@ def remove_earlier_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM
                 removed.append(len(tokens) - len(kept))
                 texts.append(b" ".join(kept).decode())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-    docs = docs.select("doc_id", "text")
+    docs = numbered(docs)
     found = repeated_ranges(docs, word_units, length, gram, earlier_only=True)
-    return docs.join(found, "doc_id", "left").transform(in_batches, run, "doc_id long, n_words long, n_removed long, kept string")
+    return docs.join(found, "row_id", "left").drop("row_id").transform(in_batches, run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

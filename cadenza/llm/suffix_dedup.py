@@ -9,8 +9,8 @@ modulo a period (see README for why).
 
 A null text is empty. Texts under 200 bytes never lose anything of
 themselves. Rows that repeat a document whole count as copies of each other
-(each is matched by the other's bytes); null ids too. Extra columns are
-ignored.
+(each is matched by the other's bytes); null and shared ids too, as rows are
+told apart by numbers of their own. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
 from cadenza.llm.common import in_batches, slices
-from cadenza.llm.repeats import repeated_ranges, runs_of
+from cadenza.llm.repeats import numbered, repeated_ranges, runs_of
 
 LENGTH = 200
 GRAM = 120
@@ -35,8 +35,8 @@ def byte_units(column: pa.Array) -> tuple[H.Prefix, np.ndarray]:
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text) with ``ranges``, the window starts that repeat, null if none."""
-    docs = docs.select("doc_id", "text")
-    return docs.join(repeated_ranges(docs, byte_units, length, gram, earlier_only=False), "doc_id", "left")
+    docs = numbered(docs)
+    return docs.join(repeated_ranges(docs, byte_units, length, gram, earlier_only=False), "row_id", "left").drop("row_id")
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

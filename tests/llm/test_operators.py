@@ -229,6 +229,42 @@ def test_main_text_keeps_elements_whose_names_only_resemble_adverts():
         assert html_wrapper.extract(page, None) == whole, page
 
 
+def test_repeats_with_null_and_shared_ids(documents):
+    """Rows are told apart although ids are null or shared, also at the ends of matches."""
+    from tests.llm.conftest import words
+    a, b, c = words(21, 120), words(22, 60), words(23, 50)
+    rows = [(None, a, "s"), (1, a, "s"), (2, a, "s"), (3, b, "s"), (3, b, "s"), (None, c + " " + words(24, 70), "s"), (4, words(25, 30) + " " + c + " " + words(26, 30), "s"),
+            (5, words(27, 10), "s"), (5, words(28, 9000) + " " + c, "s"), (None, c + " " + words(29, 40), "s"), (None, None, "s"), (None, "", "s"), (6, None, "s")]
+    key = lambda r: (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest())
+    ordered = sorted(rows, key=key)
+
+    want, seen = [], set()
+    for i, t, _ in ordered:
+        w = split(t)
+        gone = [False] * len(w)
+        for j in range(len(w) - 19):
+            window = tuple(w[j:j + 20])
+            if window in seen:
+                gone[j:j + 20] = [True] * 20
+            seen.add(window)
+        want.append((i, len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
+    got = [tuple(r) for r in span_dedup.remove_earlier_spans(documents(rows)).collect()]
+    assert Counter(got) == Counter(want)
+    assert sum(r[2] for r in got) == 2 * 120 + 60 + 3 * 50
+
+    data = [(t or "").encode() for _, t, _ in rows]
+    counts = Counter(x[j:j + 200] for x in data for j in range(len(x) - 199))
+    want = []
+    for (i, _, _), x in zip(rows, data, strict=True):
+        gone = bytearray(len(x))
+        for j in range(len(x) - 199):
+            if counts[x[j:j + 200]] > 1:
+                gone[j:j + 200] = b"\1" * 200
+        want.append((i, len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))), bytes(y for y, g in zip(x, gone, strict=True) if not g)))
+    got = [(*r[:4], bytes(r[4])) for r in suffix_dedup.remove_repeated_bytes(documents(rows)).collect()]
+    assert Counter(got) == Counter(want)
+
+
 def test_empty_tables(documents, spark):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
