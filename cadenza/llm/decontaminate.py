@@ -120,9 +120,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents; all columns stay."""
-    gone = stored(contamination(docs, benchmark).where("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct(), "contaminated")
-    return by_ids(docs, gone, "left_anti")
+    """``docs`` without contaminated documents; all columns stay.
+
+    The verdict depends on the text alone, so it goes back to the rows by
+    their text's hash: null and shared ids are judged row by row.
+    """
+    key = "_text_key"
+    keyed = docs.withColumn(key, F.unhex(F.sha2("text", 256)))
+    judged = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    gone = stored(judged.where("contaminated").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return by_ids(keyed, gone, "left_anti", key).select(*docs.columns)
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -265,6 +265,19 @@ def test_repeats_with_null_and_shared_ids(documents):
     assert Counter(got) == Counter(want)
 
 
+def test_contaminated_rows_go_whatever_their_ids(documents, spark):
+    from tests.llm.conftest import words
+    item, clean = words(31, 30), words(32, 40)
+    rows = [(None, item, "s"), (None, clean, "s"), (1, item, "s"), (1, clean, "s"), (2, clean, "s"), (3, item, "s"), (4, None, "s"), (None, "", "s")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents(rows)
+    got = decontaminate.drop_contaminated(docs, bench)
+    assert got.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter((i, t) for i, t, _ in rows if t != item)
+    none = decontaminate.drop_contaminated(docs, bench.limit(0))
+    assert none.count() == len(rows)
+
+
 def test_empty_tables(documents, spark):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
