@@ -278,6 +278,16 @@ def test_contaminated_rows_go_whatever_their_ids(documents, spark):
     assert none.count() == len(rows)
 
 
+def test_container_counts_all_pages_of_a_host(spark):
+    """Ten pages keep their text in one container and ninety in another: the host's is the latter, whatever a sample shows."""
+    page = "<body><p>Top of all</p><div class='{}'><p>Text {} of the page</p></div><div class='tail'>Tail {}</div></body>"
+    first = sorted(range(100), key=lambda i: spark.range(i, i + 1).select(F.xxhash64("id")).first()[0])[:10]
+    rows = [(i, "https://h.example/x", page.format("old" if i in first else "new", f"{i} " * 9, i)) for i in range(100)]
+    rows += [(None, "https://h.example/x", page.format("new", "x " * 9, "x"))]
+    got = html_wrapper.host_containers(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [tuple(r) for r in got] == [("h.example", "div.new")]
+
+
 def test_empty_tables(documents, spark):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
