@@ -8,6 +8,7 @@ from cadenza.llm.licenses import op9_license_scan
 from cadenza.llm.mixing import op1_mix_sources
 from cadenza.llm.near_dedup import op5_minhash_near_dedup
 from cadenza.llm.oracle import ORACLE
+from cadenza.llm.piece_spans import op13_sentencepiece_spans
 from cadenza.llm.span_dedup import op6_substring_dedup
 from cadenza.llm.spotsigs import op10_spotsigs
 from cadenza.llm.suffix_dedup import op4_suffix_array_dedup
@@ -16,6 +17,6 @@ from cadenza.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_benchmark_decontamination, op3_token_files, op4_suffix_array_dedup, op5_minhash_near_dedup,
-    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs)}
+    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs, op13_sentencepiece_spans)}
 
 __all__ = ["ORACLE", "QUERIES"]
