@@ -13,10 +13,12 @@ from cadenza.llm.span_dedup import op6_substring_dedup
 from cadenza.llm.spotsigs import op10_spotsigs
 from cadenza.llm.suffix_dedup import op4_suffix_array_dedup
 from cadenza.llm.token_files import op3_token_files
+from cadenza.llm.token_alignment import op12_tokenizer_alignment
 from cadenza.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_benchmark_decontamination, op3_token_files, op4_suffix_array_dedup, op5_minhash_near_dedup,
-    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs, op13_sentencepiece_spans)}
+    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs, op12_tokenizer_alignment,
+    op13_sentencepiece_spans)}
 
 __all__ = ["ORACLE", "QUERIES"]
