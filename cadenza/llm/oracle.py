@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cadenza.llm.decontaminate import OP2_SQL
+from cadenza.llm.divergence import OP11_SQL
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -55,4 +56,5 @@ ORACLE = {
     "op4_suffix_array_dedup": OP4_SQL,
     "op5_minhash_near_dedup": OP5_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op11_source_divergence": OP11_SQL,
 }

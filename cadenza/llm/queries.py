@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cadenza.llm.decontaminate import op2_benchmark_decontamination
+from cadenza.llm.divergence import op11_source_divergence
 from cadenza.llm.html_wrapper import op8_html_main_text
 from cadenza.llm.licenses import op9_license_scan
 from cadenza.llm.mixing import op1_mix_sources
@@ -18,7 +19,7 @@ from cadenza.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_benchmark_decontamination, op3_token_files, op4_suffix_array_dedup, op5_minhash_near_dedup,
-    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs, op12_tokenizer_alignment,
+    op6_substring_dedup, op7_toxicity, op8_html_main_text, op9_license_scan, op10_spotsigs, op11_source_divergence, op12_tokenizer_alignment,
     op13_sentencepiece_spans)}
 
 __all__ = ["ORACLE", "QUERIES"]
