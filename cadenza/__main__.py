@@ -67,8 +67,10 @@ def cmd_reports(spark, args) -> None:
 
 def cmd_stream(spark, args) -> None:
     start = pipeline.start_full_pipeline if args.pipeline == "full" else pipeline.start_simple_pipeline
-    queries = start(spark, args.landing, args.out, watermark=args.watermark, available_now=args.once)
-    for q in queries:
+    if args.once:
+        pipeline.drain(start, spark, args.landing, args.out, watermark=args.watermark, attempts=getattr(args, "attempts", 1))
+        return
+    for q in start(spark, args.landing, args.out, watermark=args.watermark, available_now=False, attempts=args.attempts):
         q.awaitTermination()
 
 
@@ -88,7 +90,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--pipeline", choices=["full", "simple"], default="full")
     s.add_argument("--landing", required=True)
     s.add_argument("--out", required=True)
-    s.add_argument("--watermark", default=pipeline.DEFAULT_WATERMARK)
+    s.add_argument("--watermark", default=pipeline.DEFAULT_WATERMARK, help="lateness that a window allows")
+    s.add_argument("--attempts", type=int, default=pipeline.MAX_ATTEMPTS, help="tries of a message that fails")
     s.add_argument("--once", action="store_true", help="process what is there, then stop")
     args = p.parse_args(argv)
     spark = build_session(args.master)

@@ -40,11 +40,12 @@ def json_list(arr: Column) -> Column:
 
 
 def enriched_music_events(raw: DataFrame, enriched_at: Column | None = None,
-                          model: str = RULES_MODEL) -> DataFrame:
+                          model: str = RULES_MODEL, keep: list[str] | None = None) -> DataFrame:
     """Shape A raw rows to the 21-column enriched table.
 
     Labels come from the artist/track rules (R1-R5) with the first track
-    genre as the genre; confidence is the data-completeness score (P8).
+    genre as the genre; confidence is the data-completeness score (P8). ``keep``
+    columns of ``raw`` are passed through after the others.
     """
     c = F.col
     base = raw.select(
@@ -59,7 +60,7 @@ def enriched_music_events(raw: DataFrame, enriched_at: Column | None = None,
         c("event_description").alias("enhanced_description"), "mood_analysis",
         c("predicted_genres").alias("genre_prediction"), "similar_tracks", "listening_context",
         (enriched_at if enriched_at is not None else F.current_timestamp()).alias("enrichment_timestamp"),
-        F.lit(model).alias("enrichment_model"), conf.alias("enrichment_confidence"))
+        F.lit(model).alias("enrichment_model"), conf.alias("enrichment_confidence"), *(keep or []))
 
 
 def enriched_events_b(enr: DataFrame, enriched_at: Column | None = None) -> DataFrame:

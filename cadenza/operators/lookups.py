@@ -78,6 +78,7 @@ def search_catalog(catalog: DataFrame, genre: str | None = None, artist: str | N
 
 
 def genre_track_counts(catalog: DataFrame) -> DataFrame:
-    """Tracks per genre and distinct artists per genre."""
-    return catalog.groupBy("genre").agg(F.count(F.lit(1)).alias("tracks"),
-                                        F.countDistinct("artist_name").alias("artists"))
+    """Tracks and distinct artists per genre, case-blind, and over all genres (genre null)."""
+    return catalog.select(F.lower("genre").alias("genre"), "artist_name").groupingSets(
+        [[F.col("genre")], []], "genre").agg(F.count(F.lit(1)).alias("tracks"), F.countDistinct("artist_name").alias("artists"),
+                                             (F.grouping("genre") == 1).alias("all_genres"))

@@ -3,8 +3,8 @@
 Rules are ordered data; each output is one ``CASE`` chain generated from the
 table, so enrichment is a row-local projection: no join, no shuffle, the
 same plan in batch and in a stream. ``match_rules_table`` takes a rules
-DataFrame instead (its size is checked before it is embedded in the plan),
-for rule sets kept as a table.
+DataFrame of any size instead and joins it by an index over the needles, for
+rule sets kept as a table.
 """
 
 from __future__ import annotations
@@ -189,7 +189,9 @@ RULES_SCHEMA = T.StructType([
     T.StructField("needle", T.StringType()), T.StructField("output", T.StringType()),
     T.StructField("value", T.ArrayType(T.StringType())),
 ])
-MAX_TABLE_RULES = 10_000
+TABLE_OUTPUTS = ("mood_analysis", "listening_context", "predicted_genres", "similar_tracks")
+TABLE_FIELDS = ("track_title", "artist_name")
+GRAM = 3  # characters of the pieces by which needles are looked up
 
 
 def rules_as_rows() -> list[tuple]:
@@ -206,34 +208,69 @@ def rules_as_rows() -> list[tuple]:
     return rows
 
 
+def _pieces(text: Column) -> Column:
+    """All distinct pieces of 1 to ``GRAM`` characters of a text, and the empty one."""
+    def of(n: int) -> Column:
+        places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.substr(text, i, F.lit(n)))
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[of(n) for n in range(1, GRAM + 1)]))
+
+
+def _needle_pieces(needle: Column) -> Column:
+    """The pieces of ``GRAM`` characters of a needle, or the needle itself if it has fewer."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(needle) - GRAM + 1, F.lit(1)))
+    return F.array_distinct(F.transform(places, lambda i: F.substr(needle, i, F.lit(GRAM))))
+
+
+def needle_matches(values: DataFrame, needles: DataFrame) -> DataFrame:
+    """(field, text, needle): every needle that a text of its field contains.
+
+    An index join: a needle is looked up by the one of its pieces that the
+    fewest texts hold, which any text that contains it must hold, and the pairs
+    found are verified. ``values`` (field, text) and ``needles`` (field, needle)
+    are distinct.
+    """
+    pieces = values.select("field", "text", F.explode(_pieces(F.col("text"))).alias("piece"))
+    holders = pieces.groupBy("field", "piece").agg(F.count("*").alias("holders"))
+    keyed = (needles.select("field", "needle", F.explode(_needle_pieces(F.col("needle"))).alias("piece"))
+             .join(holders, ["field", "piece"], "left")
+             .groupBy("field", "needle").agg(F.min(F.struct(F.coalesce("holders", F.lit(0)).alias("holders"), "piece")).alias("key"))
+             .where("key.holders > 0").select("field", "needle", F.col("key.piece").alias("piece")))
+    return pieces.join(keyed, ["field", "piece"]).where(F.col("text").contains(F.col("needle"))).select("field", "text", "needle")
+
+
 def match_rules_table(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """First matching rule per output, rules given as a DataFrame.
-
-    The rules table must be small: its row count is checked against
-    ``MAX_TABLE_RULES`` before its rows are read and turned into one ``CASE``
-    chain per output, ordered by priority (a broadcast whose size is
-    proven, compiled into the generated code). No join and no shuffle, and an
-    event is never paired with more rules than the table holds. Unmatched
-    outputs take the genre fallback as in ``enrich_rules``.
+    """First matching rule per output, rules given as a table of any size (``RULES_SCHEMA``).
+
+    Needles are matched once per distinct title and artist (``needle_matches``);
+    the best rule of each output is kept for every such text, and the events
+    are joined with these by equality. Of a title's and an artist's rule the
+    lower priority wins. Unmatched outputs take the genre fallback as in
+    ``enrich_rules``. Nulls match as empty texts.
     """
-    n = rules.count()
-    if n > MAX_TABLE_RULES:
-        raise ValueError(f"rules table has {n} rows; above {MAX_TABLE_RULES}, keep it as a join input")
-    rows = rules.orderBy("output", "priority", "field").collect()  # bounded by the check above
-    title_l = F.lower(F.coalesce(F.col("track_title"), F.lit("")))
-    artist_l = F.lower(F.coalesce(F.col("artist_name"), F.lit("")))
-    genre_l = F.lower(F.coalesce(F.col("genre"), F.lit("")))
-    field = {"track_title": title_l, "artist_name": artist_l}
+    def lowered(field: str) -> Column:
+        return F.lower(F.coalesce(F.col(field), F.lit("")))
+    values = None
+    for field in TABLE_FIELDS:
+        own = df.select(F.lit(field).alias("field"), lowered(field).alias("text")).distinct()
+        values = own if values is None else values.unionByName(own)
+    table = rules.select("priority", "field", "needle", "output", F.col("value").alias("result"))
+    found = needle_matches(values, table.select("field", "needle").distinct()).join(table, ["field", "needle"])
+    best = found.groupBy("field", "text").agg(*[
+        F.min(F.when(F.col("output") == out, F.struct("priority", "result"))).alias(out) for out in TABLE_OUTPUTS])
+    for field in TABLE_FIELDS:
+        own = best.where(F.col("field") == field).select(F.col("text").alias(f"_{field}"), *[F.col(out).alias(f"_{field}_{out}") for out in TABLE_OUTPUTS])
+        df = df.join(own, lowered(field) == F.col(f"_{field}"), "left")
+    genre_l = lowered("genre")
     defaults = [F.lit(DEFAULT_MOOD), F.lit(DEFAULT_CONTEXT),
                 F.array(genre_l, *[F.lit(g) for g in DEFAULT_GENRE_TAIL]), _lits(DEFAULT_SIMILAR)]
     cols = []
-    for idx, out in enumerate(("mood_analysis", "listening_context", "predicted_genres", "similar_tracks")):
-        pairs = [(field[r["field"]].contains(r["needle"]),
-                  F.lit(r["value"][0]) if idx < 2 else _lits(list(r["value"])))
-                 for r in rows if r["output"] == out]
-        cols.append(_chain(pairs, _genre_fallback(genre_l, idx, defaults[idx])).alias(out))
+    for idx, out in enumerate(TABLE_OUTPUTS):
+        first = F.least(*[F.col(f"_{field}_{out}") for field in TABLE_FIELDS])["result"]
+        cols.append(F.coalesce(first[0] if idx < 2 else first, _genre_fallback(genre_l, idx, defaults[idx])).alias(out))
     desc = F.format_string(DESCRIPTION_TEMPLATE, F.col("track_title"), F.col("artist_name"), F.col("platform"))
-    return df.select("*", desc.alias("event_description"), *cols)
+    helpers = [f"_{field}{rest}" for field in TABLE_FIELDS for rest in ("", *(f"_{out}" for out in TABLE_OUTPUTS))]
+    return df.select("*", desc.alias("event_description"), *cols).drop(*helpers)
 
 
 # --- R6 / R7: production rules on the event's own fields --------------------------------

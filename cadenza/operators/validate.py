@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cadenza.functions.common import round6, session_cached
 from cadenza.functions.text import strip
 from cadenza.schemas import EVENT_A, EVENT_TYPES_A, GENRES_A, PLATFORMS_A, REPEAT_MODES
+from cadenza.sources.messages import parse_once
 
 # --- fixed values: field limits --------------------------------------------------
 TRACK_NAME_MAX = 300
@@ -28,9 +28,6 @@ DESCRIPTION_MAX = 1000
 USER_ID_MIN = 8
 # -------------------------------------------------------------------------------
 
-_CORRUPT = "_corrupt_record"  # parser column for malformed text
-
-
 def parse_json(raw: DataFrame, schema=EVENT_A, value_col: str = "value") -> DataFrame:
     """V1: text column to the nested event plus ``parse_ok``.
 
@@ -38,12 +35,9 @@ def parse_json(raw: DataFrame, schema=EVENT_A, value_col: str = "value") -> Data
     is flagged (Spark returns an all-null struct for it, not a null) and its
     raw text is kept for the dead-letter table.
     """
-    full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     rest = [c for c in raw.columns if c != value_col]
-    return (raw.select(F.col(value_col).alias("raw_value"), parsed.alias("e"), *rest)
-               .select("raw_value", *[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest,
-                       (F.col("e").isNotNull() & F.col(f"e.{_CORRUPT}").isNull()).alias("parse_ok")))
+    return parse_once(raw, schema, value_col).select(
+        F.col(value_col).alias("raw_value"), *[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest, "parse_ok")
 
 
 def _err(cond: Column, code: str) -> Column:
@@ -141,12 +135,19 @@ def business_rules_ok(raw_json: Column) -> Column:
             & F.coalesce(F.length(user_id) >= USER_ID_MIN, F.lit(False)))
 
 
+def message_uuid(text: Column) -> Column:
+    """An id for a message that carries none: the same for the same text, so a
+    message that is loaded or delivered again is known again."""
+    return F.regexp_replace(F.md5(text), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
 def clean_event(df: DataFrame) -> DataFrame:
     """V5 + V11: trim names and fill defaults on rows that passed."""
     t, ar, al, p = F.col("track"), F.col("artist"), F.col("album"), F.col("play_event")
     empty = F.array().cast("array<string>")
+    own = message_uuid(F.col("raw_value")) if "raw_value" in df.columns else F.expr("uuid()")
     return (df
-            .withColumn("event_id", F.coalesce(F.col("event_id"), F.expr("uuid()")))
+            .withColumn("event_id", F.coalesce(F.col("event_id"), own))
             .withColumn("timestamp", F.coalesce(F.col("timestamp"), F.current_timestamp()))
             .withColumn("processing_timestamp", F.coalesce(F.col("processing_timestamp"), F.current_timestamp()))
             .withColumn("track", t.withField("name", strip(t["name"]))
@@ -181,9 +182,9 @@ def _errors_column(business_rules: bool) -> Column:
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean valid events, and the dead-letter rows."""
-    good = clean_event(checked.filter("is_valid")).drop("raw_value", "parse_ok", "errors", "is_valid")
+    good = clean_event(checked.filter("is_valid")).drop("raw_value", "parse_ok", "errors", "is_valid", "attempt")
     bad = checked.filter(~F.col("is_valid")).select("raw_value", "errors", *[
-        c for c in checked.columns if c in ("batch_id", "batch_file", "source_file", "received_at")])
+        c for c in checked.columns if c in ("batch_id", "batch_file", "source_file", "received_at", "attempt")])
     return good, bad
 
 

@@ -466,7 +466,21 @@ SELECT event_id,
   {_R['listening_context']} AS listening_context, {_R['similar_tracks']} AS similar_tracks,
   {local_conf_sql()} AS enrichment_confidence
 FROM x"""
-ORACLE["rule_enrichment_table"] = ORACLE["rule_enrichment"]
+# A nested loop over the rules table
+_RULE_ROWS = ", ".join(f"({i}, {q(f)}, {q(n)}, {q(o)}, {lst(v)})" for i, f, n, o, v in RU.rules_as_rows())
+ORACLE["rule_enrichment_table"] = "WITH " + ENR_B + ",\n" + LOWERED + f""",
+rule(priority, field, needle, output, result) AS (VALUES {_RULE_ROWS}),
+best AS (SELECT event_id, output, arg_min(result, priority) AS result FROM x JOIN rule
+    ON contains(CASE field WHEN 'track_title' THEN tl ELSE al END, needle) GROUP BY event_id, output),
+won AS (SELECT event_id, max(result) FILTER (output = 'mood_analysis') AS mood, max(result) FILTER (output = 'listening_context') AS context,
+    max(result) FILTER (output = 'predicted_genres') AS genres, max(result) FILTER (output = 'similar_tracks') AS tracks FROM best GROUP BY event_id)
+SELECT event_id, printf({q(RU.DESCRIPTION_TEMPLATE)}, track_title, artist_name, platform) AS event_description,
+  coalesce(mood[1], {genre_fallback('gl', 0, q(RU.DEFAULT_MOOD))}) AS mood_analysis,
+  coalesce(genres, {genre_fallback('gl', 2, "[gl, " + ", ".join(q(g) for g in RU.DEFAULT_GENRE_TAIL) + "]")}) AS predicted_genres,
+  coalesce(context[1], {genre_fallback('gl', 1, q(RU.DEFAULT_CONTEXT))}) AS listening_context,
+  coalesce(tracks, {genre_fallback('gl', 3, lst(RU.DEFAULT_SIMILAR))}) AS similar_tracks,
+  {local_conf_sql()} AS enrichment_confidence
+FROM x LEFT JOIN won USING (event_id)"""
 
 PROD_CONF = f"""least({sql_sum(0.5, [(present('track_title') + ' AND ' + present('track_artist'), 0.2),
                                      (present('genre'), 0.1), (present('user_location'), 0.1),
@@ -608,7 +622,8 @@ SELECT * FROM catalog WHERE (contains(lower(genre), 'hard_rock')
 ORACLE["catalog_search_artist"] = "WITH " + CATALOG_CTE + """
 SELECT * FROM catalog WHERE contains(lower(artist_name), 'the') AND platform = 'spotify'"""
 ORACLE["genre_track_counts"] = "WITH " + CATALOG_CTE + """
-SELECT genre, COUNT(*) AS tracks, COUNT(DISTINCT artist_name) AS artists FROM catalog GROUP BY genre"""
+SELECT lower(genre) AS genre, COUNT(*) AS tracks, COUNT(DISTINCT artist_name) AS artists, GROUPING(lower(genre)) = 1 AS all_genres
+FROM catalog GROUP BY GROUPING SETS ((lower(genre)), ())"""
 
 ORACLE["events_with_dimensions"] = with_raw(""",
 ad AS (SELECT artist_id, min(artist_name) AS artist_name, max(artist_followers) AS artist_followers,
@@ -632,22 +647,43 @@ SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS window_start,
   {dist_json('event_type', EVENT_TYPES_A)} AS event_type_distribution,
   COALESCE({R6('AVG(engagement_score)')}, 0.0) AS average_engagement_score,
   MIN("timestamp") AS first_event_ts, MAX("timestamp") AS last_event_ts
-FROM v GROUP BY time_bucket(INTERVAL 1 MINUTE, "timestamp")
-HAVING time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE <= (SELECT MAX("timestamp") FROM v)""")
-
-ORACLE["stream_engagement_metrics"] = with_processed(f"""
-SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
-  time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
-  coalesce(event_type, 'unknown') AS event_type, COUNT(*) AS count,
-  {R6('AVG(engagement_score)')} AS avg_engagement
-FROM processed WHERE event_ts IS NOT NULL
-GROUP BY time_bucket(INTERVAL 5 MINUTE, event_ts), coalesce(event_type, 'unknown')
-HAVING time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE <= (SELECT MAX(event_ts) FROM processed)""")
+FROM v GROUP BY time_bucket(INTERVAL 1 MINUTE, "timestamp")""")
+
+for _kind in ("engagement", "genre", "platform"):
+    ORACLE[f"stream_{_kind}_metrics"] = ORACLE[f"{_kind}_metrics"]
+
+# The second eight days of a month arrive first, then the first, the last and the third
+ORACLE["stream_late_events"] = with_raw(f""",
+v AS (SELECT "timestamp" AS t, time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE AS closes,
+    CASE least((day("timestamp") - 1) // 8, 3) WHEN 1 THEN 0 WHEN 0 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS batch FROM raw_a WHERE {_VALID}),
+seen AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS watermark FROM v GROUP BY batch)
+SELECT CAST(t AS DATE) AS event_date, COUNT(*) FILTER (NOT coalesce(closes <= watermark, false)) AS in_windows,
+  COUNT(*) FILTER (closes <= watermark) AS late
+FROM v JOIN seen USING (batch) GROUP BY 1""")
 
 ORACLE["stream_dedup_counts"] = with_raw(f"""
 SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS distinct_events
 FROM raw_a WHERE {_VALID} GROUP BY event_type""")
 
+# Five attempts each, then one dead letter
+ORACLE["delivery_attempts"] = "WITH " + FAULTS_CTE + """
+SELECT fault AS error_code, 5 AS last_attempt, COUNT(*) AS messages, 5 * COUNT(*) AS attempts, COUNT(*) AS finals, COUNT(*) AS dead_letters
+FROM faults WHERE fault IS NOT NULL GROUP BY fault"""
+
+ORACLE["sustained_error_alerts"] = "WITH " + FAULTS_CTE + f""",
+came AS (SELECT TIMESTAMP '2024-01-01' + to_minutes(CAST(e // 10000 * 30 AS BIGINT)) + to_milliseconds(CAST(
+    CASE WHEN e % 10000 < 8000 THEN e % 10000 * 45 ELSE 600000 + (e % 10000 - 8000) END AS BIGINT)) AS t FROM faults WHERE fault IS NOT NULL),
+rate AS (SELECT time_bucket(INTERVAL 1 MINUTE, t) AS m, COUNT(*) AS n FROM came GROUP BY 1 HAVING COUNT(*) / 60.0 > 1.0),
+run AS (SELECT m, n, m - to_minutes(row_number() OVER (ORDER BY m)) AS r FROM rate)
+SELECT min(m) AS alert_start, max(m) + INTERVAL 1 MINUTE AS alert_end, COUNT(*) AS minutes, CAST(SUM(n) AS BIGINT) AS errors,
+  {R6('MAX(n / 60.0)')} AS peak_per_second
+FROM run GROUP BY r HAVING COUNT(*) >= 5"""
+
+ORACLE["file_intake"] = f"""WITH {KEYED},
+f AS (SELECT e, {TYPE_A} AS etype, e % 250 <> 0 AND e // 500 % 5 = 4 AS broken FROM keyed)
+SELECT etype AS kind, COUNT(*) AS n FROM f WHERE NOT broken GROUP BY etype
+UNION ALL SELECT 'broken file', COUNT(DISTINCT e // 500) FROM f WHERE broken"""
+
 ORACLE["error_rate_windows"] = f"""
 SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, COUNT(*) AS errors,
   {R6('COUNT(*) / 300.0')} AS errors_per_second, {R6('COUNT(*) / 300.0')} > 10 AS alert
@@ -732,5 +768,8 @@ SELECT event_id, event_type, track_title, artist_name, platform,
   event_ts AS enrichment_timestamp
 FROM y"""
 
+ORACLE["stream_enriched_events"] = ORACLE["enriched_music_events"].replace(
+    "processing_timestamp AS enrichment_timestamp, ", "").replace("\nFROM x", f", {_RA['mood_analysis']} AS published_mood\nFROM x WHERE {_VALID}")
+
 ORACLE["sql_platform_performance"] = ORACLE["platform_performance"]
 ORACLE["table_platform_performance"] = ORACLE["platform_performance"]

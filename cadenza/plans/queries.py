@@ -24,6 +24,7 @@ from cadenza.sources import messages, sinks
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 from cadenza.sources.tables import read_table
 from cadenza.streaming import pipeline as stream
+from cadenza.streaming.window_state import HOUR
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,7 +176,10 @@ def q_rule_enrichment(spark, sf_dir):
 
 @register("rule_enrichment_table")
 def q_rule_enrichment_table(spark, sf_dir):
-    rules_df = spark.createDataFrame(rules.rules_as_rows(), rules.RULES_SCHEMA)
+    # the rules as a stored table: the events' side of the join knows neither their number nor their order
+    path = fresh_dir(spark, "rules")
+    spark.createDataFrame(rules.rules_as_rows(), rules.RULES_SCHEMA).write.parquet(path)
+    rules_df = spark.read.parquet(path)
     df = rules.match_rules_table(enrich_input(spark, sf_dir), rules_df)
     conf = C.local_confidence(*_c("track_title", "track_artist", "genre", "artist_name", "platform", "album",
                                   "release_year"))
@@ -290,39 +294,111 @@ def landed_b(spark: SparkSession, sf_dir: str) -> str:
     return messages.land_text(messages.to_json_text(nested_events_b(read_events(spark, sf_dir))), path)
 
 
-# The landing is drained as one micro-batch, in which nothing can be late.
-ONE_BATCH = "0 seconds"
+# Files of one delivery, and of one micro-batch.
+DELIVERY_FILES = 2
 
 
-def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    out = fresh_dir(spark, name)
-    stream.run_to_completion(df, f"{out}/data", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/data")
+def deliveries(spark: SparkSession, sf_dir: str, to_text) -> str:
+    """A landing of four deliveries, the second eight days of a month first, then the first,
+    the last and the third; each brings every tenth event of the one before once more.
+
+    ``to_text`` makes messages of events rows. A file holds rows of one delivery only,
+    and files are read in the order in which they were written.
+    """
+    path = fresh_dir(spark, "deliveries")
+    events = read_events(spark, sf_dir)
+    quarter = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    before = None
+    for q in (1, 0, 3, 2):
+        own = quarter == q
+        rows = events.where(own if before is None else own | (quarter == before) & (F.col("event_id") % 10 == 0))
+        to_text(rows).repartition(DELIVERY_FILES).write.mode("append").text(path)
+        before = q
+    return path
+
+
+def landed_deliveries_a(spark: SparkSession, sf_dir: str) -> str:
+    return deliveries(spark, sf_dir, messages.damaged_messages)
+
+
+def landed_deliveries_b(spark: SparkSession, sf_dir: str) -> str:
+    return deliveries(spark, sf_dir, lambda rows: messages.to_json_text(nested_events_b(rows)))
+
+
+def streamed(spark: SparkSession, start, landing: str, **kwargs) -> str:
+    """The tables of a pipeline that has read all of a landing, a delivery a batch."""
+    out = fresh_dir(spark, "stream")
+    stream.drain(start, spark, landing, out, max_files_per_trigger=DELIVERY_FILES, **kwargs)
+    return out
 
 
 @register("stream_window_metrics")
 def q_stream_window_metrics(spark, sf_dir):
-    raw = stream.raw_stream(stream.event_stream(spark, landed_a_path(spark, sf_dir)))
-    return _drain(spark, stream.window_metrics_stream(raw, ONE_BATCH), "window-metrics")
+    out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["metrics"])
+    return spark.read.parquet(f"{out}/music_event_metrics").drop(*HOUR)
+
+
+def keyed_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    out = streamed(spark, stream.start_simple_pipeline, landed_deliveries_b(spark, sf_dir), outputs=["metrics"], kinds=[kind])
+    return spark.read.parquet(f"{out}/{kind}_metrics").drop(*HOUR)
 
 
 @register("stream_engagement_metrics")
 def q_stream_engagement_metrics(spark, sf_dir):
-    proc = stream.processed_stream(spark, landed_b(spark, sf_dir))
-    return _drain(spark, stream.keyed_metrics_stream(proc, "engagement", ONE_BATCH), "engagement-metrics")
+    return keyed_stream(spark, sf_dir, "engagement")
+
+
+@register("stream_genre_metrics")
+def q_stream_genre_metrics(spark, sf_dir):
+    return keyed_stream(spark, sf_dir, "genre")
+
+
+@register("stream_platform_metrics")
+def q_stream_platform_metrics(spark, sf_dir):
+    return keyed_stream(spark, sf_dir, "platform")
+
+
+@register("stream_late_events")
+def q_stream_late_events(spark, sf_dir):
+    # with a lateness of a day: per day, the events in windows and the late ones, which are in none
+    out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["metrics"], watermark="1 day")
+    counted = spark.read.parquet(f"{out}/music_event_metrics").groupBy("event_date").agg(F.sum("total_events").alias("in_windows"))
+    late = spark.read.parquet(f"{out}/late_events").groupBy(F.to_date("event_ts").alias("event_date")).agg(F.count("*").alias("late"))
+    return counted.join(late, "event_date", "full").select(
+        "event_date", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("in_windows", "late")))
 
 
 @register("stream_dedup_counts")
 def q_stream_dedup_counts(spark, sf_dir):
-    # every message delivered twice (two readers of one folder); dedup keeps one
-    landing = landed_a_path(spark, sf_dir)
-    twice = stream.event_stream(spark, landing).unionByName(stream.event_stream(spark, landing))
-    rows = _drain(spark, stream.raw_stream(twice, watermark=stream.DEFAULT_WATERMARK)
-                  .select("event_id", "event_type", "timestamp"), "dedup")
+    # redelivered events come in later batches; the stored rows hold each once
+    out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["raw"])
+    rows = stream.read_committed(spark, out, "raw_music_events")
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
                                           F.countDistinct("event_id").alias("distinct_events"))
 
 
+@register("stream_enriched_events")
+def q_stream_enriched_events(spark, sf_dir):
+    # the rows that were published downstream, beside their table; both through the commits
+    out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["enriched"])
+    table = stream.read_committed(spark, out, "enriched_music_events").drop("batch_id", "event_date", "enrichment_timestamp")
+    topic = stream.read_committed(spark, out, "enriched_topic").select(
+        "event_id", F.get_json_object("value", "$.mood_analysis").alias("published_mood"))
+    return table.join(topic, "event_id", "full")
+
+
+@register("delivery_attempts")
+def q_delivery_attempts(spark, sf_dir):
+    # How often the messages of each error came back before they were given up
+    out = streamed(spark, stream.start_full_pipeline, landed_a_path(spark, sf_dir), outputs=[], attempts=stream.MAX_ATTEMPTS)
+    log = spark.read.parquet(f"{out}/attempts").groupBy("message_id", F.element_at("errors", 1).alias("error_code")).agg(
+        F.count("*").alias("attempts"), F.max("attempt").alias("last_attempt"), F.count_if("final").alias("finals"))
+    dead = spark.read.parquet(f"{out}/dead_letters").where(F.col("raw_value").isNotNull()).groupBy(
+        F.md5("raw_value").alias("message_id")).agg(F.count("*").alias("dead"))
+    return log.join(dead, "message_id", "left").groupBy("error_code", "last_attempt").agg(
+        F.count("*").alias("messages"), F.sum("attempts").alias("attempts"), F.sum("finals").alias("finals"), F.sum("dead").alias("dead_letters"))
+
+
 @register("error_rate_windows")
 def q_error_rate_windows(spark, sf_dir):
     failures = (read_events(spark, sf_dir).filter(F.col("event_type") == "error")
@@ -330,6 +406,51 @@ def q_error_rate_windows(spark, sf_dir):
     return stream.error_alerts(failures, time_col="failed_at", only_alerts=False)
 
 
+# Arrival times of the quarantine rows: of every 10,000 messages, 8,000 come evenly over
+# six minutes and 2,000 in two seconds ten minutes later; the next ones half an hour after.
+ARRIVAL = ("timestampadd(MILLISECOND, CAST((n % 10000) * 45 + IF(n % 10000 >= 8000, 240000 - (n % 10000 - 8000) * 44, 0) AS INT), "
+           "timestampadd(MINUTE, CAST(n DIV 10000 * 30 AS INT), TIMESTAMP'2024-01-01 00:00:00'))")
+
+
+@register("sustained_error_alerts")
+def q_sustained_error_alerts(spark, sf_dir):
+    _, bad = validate.split_valid(checked_messages(spark, sf_dir))
+    number = F.regexp_extract("raw_value", '"event_id":"evt-([0-9]+)"', 1).cast("long")
+    arrived = bad.withColumn("n", number).withColumn("received_at", F.expr(ARRIVAL))
+    return stream.sustained_alerts(arrived, per_second=1.0)
+
+
+# Events of one file of the intake; every fifth such file is cut off, every 250th event has its own.
+FILE_EVENTS = 500
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> str:
+    """A landing of whole files: arrays of events, single events, and broken files."""
+    path = fresh_dir(spark, "landing-files")
+    text = messages.to_json_text(nested_events_a(read_events(spark, sf_dir)), keep=["event_id"])
+    n = F.substring_index("event_id", "-", -1).cast("long")
+    group = F.floor(n / FILE_EVENTS)
+    alone = n % 250 == 0
+    files = text.groupBy(F.when(alone, F.concat(F.lit("one-"), n)).otherwise(F.concat(F.lit("many-"), group)).alias("file"),
+                         alone.alias("alone"), (group % 5 == 4).alias("cut")).agg(F.array_sort(F.collect_list("value")).alias("values"))
+    array = F.concat(F.lit("["), F.array_join("values", ",\n"), F.when(F.col("cut"), F.lit("")).otherwise(F.lit("]")))
+    files.select("file", F.when(F.col("alone"), F.col("values")[0]).otherwise(array).alias("value")).write.partitionBy("file").text(path)
+    return path
+
+
+@register("file_intake")
+def q_file_intake(spark, sf_dir):
+    # run twice: the second run finds nothing new
+    landing, out = landed_files(spark, sf_dir), fresh_dir(spark, "file-intake")
+    for _ in range(2):
+        stream.drain(stream.start_full_pipeline, spark, landing, out, outputs=["raw"], whole_files=True,
+                     archive_dir=fresh_dir(spark, "archive"))
+    loaded = stream.read_committed(spark, out, "raw_music_events").groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n"))
+    refused = stream.read_committed(spark, out, "dead_letters").where(F.col("raw_value").startswith("[")).agg(
+        F.lit("broken file").alias("kind"), F.count("*").alias("n"))
+    return loaded.unionByName(refused)
+
+
 @register("envelope_decode")
 def q_envelope_decode(spark, sf_dir):
     from cadenza.schemas import EVENT_B

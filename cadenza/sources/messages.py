@@ -88,13 +88,16 @@ def decode_envelope(env: DataFrame, value_col: str = "value") -> DataFrame:
     Adds ``decode_ok``; bad base64 or bad UTF-8 leaves ``value`` null so the
     row goes to quarantine instead of failing the task.
     """
-    raw = F.col(value_col)
-    inner = F.when(F.trim(raw).startswith("{"), F.get_json_object(raw, "$.data")).otherwise(F.trim(raw))
-    decoded = F.try_validate_utf8(F.try_to_binary(inner, F.lit("base64")).cast("string"))
-    return (env.select(F.col(value_col).alias("envelope"), decoded.alias("value"))
+    return (env.select(F.col(value_col).alias("envelope"), unwrapped(F.col(value_col)).alias("value"))
                .withColumn("decode_ok", F.col("value").isNotNull()))
 
 
+def unwrapped(raw: Column) -> Column:
+    """The text inside an envelope; null where it cannot be decoded."""
+    inner = F.when(F.trim(raw).startswith("{"), F.get_json_object(raw, "$.data")).otherwise(F.trim(raw))
+    return F.try_validate_utf8(F.try_to_binary(inner, F.lit("base64")).cast("string"))
+
+
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON files holding one event or an array of events, one row per event.
 
@@ -122,13 +125,28 @@ def land_text(text: DataFrame, path: str) -> str:
     return path
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False,
-                 max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
-    """JSON-lines messages parsed at the scan, batch or stream.
+def file_events(text: Column) -> Column:
+    """The texts of the events in a file that holds one event or an array of them.
 
-    Lines are read as text and parsed with ``from_json``; every row keeps its
-    line in ``raw_value``, so a dead letter always has its message and the
-    business rules can look at the text. Blank lines are no messages.
+    A file that is neither is one text, so that it is quarantined whole.
+    """
+    elements = F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})
+    whole = F.array(text)
+    return F.when(text.rlike(r"^\s*\["), F.coalesce(elements, whole)).otherwise(whole)
+
+
+def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False,
+                 max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                 whole_files: bool = False, envelope: bool = False, redrive: str | None = None) -> DataFrame:
+    """Messages parsed at the scan, batch or stream.
+
+    A message is a line, or with ``whole_files`` an event of a file that holds
+    one or an array of them; with ``envelope`` it is unwrapped first (S4). Text
+    is parsed with ``from_json``; every row keeps its message in ``raw_value``
+    (the envelope, where that cannot be unwrapped), so a dead letter always
+    has its message and the business rules can look at the text. Blank lines
+    are no messages. ``attempt`` is 1, or the number that a message carries that
+    comes back from the ``redrive`` folder (V13).
     """
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
@@ -136,9 +154,26 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     if streaming and archive_dir:
         # S3: move each fully processed input file to the archive folder
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    lines = reader.text(path).select("value", F.col("_metadata.file_name").alias("batch_file")).where(F.trim("value") != "")
+    text = reader.text(path, wholetext=whole_files)
+    lines = text.select("value", F.col("_metadata.file_name").alias("batch_file"), F.lit(1).alias("attempt"))
+    if whole_files:
+        lines = lines.withColumn("value", F.explode(file_events(F.col("value"))))
+    lines = lines.where(F.col("value").rlike(r"\S"))
+    if redrive:
+        back = spark.readStream if streaming else spark.read
+        lines = lines.unionByName(back.schema(REDRIVE).option("recursiveFileLookup", "true").json(redrive))
+    if envelope:
+        rest = [c for c in lines.columns if c != "value"]
+        lines = lines.select(unwrapped(F.col("value")).alias("value"), F.col("value").alias("envelope"), *rest)
     parsed = parse_topic(lines, schema)
-    return parsed.select(*[f.name for f in schema.fields], "raw_value", "parse_ok", "batch_file")
+    if envelope:
+        parsed = parsed.withColumn("raw_value", F.coalesce("raw_value", "envelope"))
+    return parsed.select(*[f.name for f in schema.fields], "raw_value", "parse_ok", "batch_file", "attempt")
+
+
+# A message on its way back: its text as it came, the number of the attempt it is
+# to be, and the file it first came in.
+REDRIVE = "value string, attempt int, batch_file string"
 
 
 def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
@@ -160,9 +195,22 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starting
 
 def parse_topic(messages_df: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse ``value`` text against ``schema``: its fields, the text itself as ``raw_value``, and ``parse_ok``."""
-    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     rest = [c for c in messages_df.columns if c != "value"]
-    return (messages_df.select(parsed.alias("e"), F.col("value").alias("raw_value"), *rest)
-            .select(*[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest, "raw_value",
-                    (F.col("e").isNotNull() & F.col("e._corrupt_record").isNull()).alias("parse_ok")))
+    return parse_once(messages_df, schema, "value").select(
+        *[F.col("e")[f.name].alias(f.name) for f in schema.fields], *rest, F.col("value").alias("raw_value"), "parse_ok")
+
+
+_CORRUPT = "_corrupt_record"  # parser column for malformed text
+
+
+def parse_once(text: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
+    """The columns of ``text``, the parsed struct ``e`` and ``parse_ok``.
+
+    The struct comes out of a generator of one row, which the optimizer does
+    not merge with what reads its fields: merged, every one of them would
+    parse the text again.
+    """
+    full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col(value_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return text.select("*", F.explode(F.array(parsed)).alias("e")).withColumn(
+        "parse_ok", F.col("e").isNotNull() & F.col(f"e.{_CORRUPT}").isNull())
