@@ -223,8 +223,8 @@ p AS (SELECT grp.lang, grp.source, kept.term, coalesce(own.n, 0) AS n, 1 + (1000
     1 + (1000000000 * (kept.n + 2)::HUGEINT) // (tally.n + 2 * tally.v)::HUGEINT AS q
     FROM grp JOIN tally USING (lang) JOIN kept USING (lang) LEFT JOIN own ON own.lang = grp.lang AND own.source = grp.source AND own.term = kept.term),
 pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(f), 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
-    LEFT JOIN (SELECT x.lang, x.source AS s, y.source AS t, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS f
-               FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) ON a.lang = lang AND a.source = s AND b.source = t GROUP BY ALL),
+    LEFT JOIN (SELECT x.lang AS g, x.source AS s1, y.source AS s2, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS f
+               FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) ON a.lang = g AND a.source = s1 AND b.source = s2 GROUP BY ALL),
 term AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
 ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM pair
     UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM term)
