@@ -39,6 +39,14 @@ def in_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFr
     return df.mapInArrow(run, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality in which null equals null."""
     return a.eqNullSafe(b)

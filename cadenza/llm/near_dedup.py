@@ -27,9 +27,11 @@ With k = 48 a linked pair shares no retained value with probability below
 where nearly half of a sketch is common matter. The union estimate keeps all
 that lie within 6 standard deviations.
 
-Null or empty texts have no shingles and are linked with nothing. Rows that
-repeat a document get the same answer each; a null ``doc_id`` is linked with
-nothing and kept. Extra columns are ignored.
+A document is a row, whatever its id: rows are numbered in the order of their
+ids (null last) and compared, joined and dropped by number. Of a group of linked
+rows the first is kept, and its doc_id is the group's component_id (null if no
+row of the group has an id). Null or empty texts have no shingles and are linked
+with nothing. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm import hashing as H
-from cadenza.llm.common import by_ids, in_batches, slices, stored
+from cadenza.llm.common import by_ids, in_batches, slices, stored, unused
 from cadenza.llm.graph import components
 
 SHINGLE = 5
@@ -79,29 +81,47 @@ def _sketches(k: int, width: int):
 
     def run(batches):
         for b in slices(batches):
-            ids, sizes, prints, sketches, parities = b.column("doc_id"), [], [], [], []
+            sizes, prints, sketches, parities = [], [], [], []
             for s in shingle_sets(b.column("text"), width):
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sketches.append(s[:k].view(np.int64))
+                sketches.append((s[:k] >> np.uint64(1)).view(np.int64))  # 63 bits, so that Spark orders them as they are
                 odd = np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
                 parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "sketch", "parity"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))],
+                                             ["doc_id", "row_id", "n_shingles", "print", "sketch", "parity"])
     return run
 
 
+def rows_of(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that numbers its rows in the order of doc_id, null last, and that column's name.
+
+    Unique ids number their rows themselves. With null or shared ids the rows
+    are sorted and stored with their numbers; rows of one id stand in any order.
+    """
+    name = unused(docs, "row_id")
+    ids = docs.select("doc_id")
+    if ids.where("doc_id IS NULL").isEmpty() and ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn(name, F.col("doc_id")), name
+    # The number of the row as it was read deals rows of one id out to several parts.
+    order = [F.col("doc_id").asc_nulls_last(), name]
+    rows = docs.withColumn(name, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(rows.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def sketch(docs: DataFrame, k: int = K, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, print (digest of the whole set, null if empty), sketch, parity."""
-    return docs.select("doc_id", "text").transform(in_batches, _sketches(k, width), "doc_id long, n_shingles long, print binary, sketch array<long>, parity array<long>")
+    """doc_id, row_id, n_shingles, print (digest of the whole set, null if empty), sketch, parity."""
+    return docs.select("doc_id", "row_id", "text").transform(
+        in_batches, _sketches(k, width), "doc_id long, row_id long, n_shingles long, print binary, sketch array<long>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id and its whole shingle set."""
+    """row_id and its whole shingle set."""
     def run(batches):
         for b in slices(batches):
             sets = [s.view(np.int64) for s in shingle_sets(b.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
-    return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, shingles array<long>")
+            yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(sets, pa.list_(pa.int64()))], ["row_id", "shingles"])
+    return docs.select("row_id", "text").transform(in_batches, run, "row_id long, shingles array<long>")
 
 
 def union_estimate(a: Column, b: Column, k: int = K) -> Column:
@@ -126,9 +146,9 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: flo
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
     near = stored(pairs.join(side("a"), "a").join(side("b"), "b")
                   .where(union_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= threshold - MARGIN).select("a", "b"), "near")
-    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    sets = stored(full_sets(by_ids(docs.where("doc_id IS NOT NULL"), wanted, "left_semi").dropDuplicates(["doc_id"]), width), "sets")
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}"))
+    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("row_id")).distinct(), "wanted")
+    sets = stored(full_sets(by_ids(docs, wanted, "left_semi", "row_id"), width), "sets")
+    side = lambda c: sets.select(F.col("row_id").alias(c), F.col("shingles").alias(f"set_{c}"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     return near.join(side("a"), "a").join(side("b"), "b").where(
         100 * both >= F.lit(round(100 * threshold)) * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
@@ -137,8 +157,8 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: flo
 def _rarest(docs: DataFrame, crowd: DataFrame, threshold: float, width: int) -> DataFrame:
     """v, node, n: of each crowd document the n - ceil(threshold n) + 1 shingles that
     fewest of the crowd have. Two linked documents share one of them."""
-    sets = stored(full_sets(by_ids(docs.where("doc_id IS NOT NULL"), crowd, "left_semi").dropDuplicates(["doc_id"]), width), "crowd-sets")
-    each = sets.select(F.col("doc_id").alias("node"), F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
+    sets = stored(full_sets(by_ids(docs, crowd, "left_semi", "row_id"), width), "crowd-sets")
+    each = sets.select(F.col("row_id").alias("node"), F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
     counts = each.groupBy("v").agg(F.count("*").alias("c"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("c", "v"))
     return each.join(counts, "v").withColumn("place", place).where(
@@ -175,20 +195,20 @@ def _across(mixed: DataFrame, threshold: float) -> DataFrame:
     return left.join(right, "v").where("xc <> yc").where(_may_link("xn", "yn", "xp", "yp", threshold)).select(*_pair("x", "y")).distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, width: int = SHINGLE,
-                    long_list: int = LONG_LIST) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest linked doc_id), n_copies (documents with the same set), kept."""
+def _labelled(docs: DataFrame, threshold: float, k: int, width: int, long_list: int) -> DataFrame:
+    """doc_id, row_id, n_shingles, component (first row of the group), component_id, n_copies of rows with a ``row_id``."""
     rows = stored(sketch(docs, k, width), "sketch")
-    some = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    nodes = stored(some.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "sketch", "parity")).alias("m"), F.count("*").alias("n_copies"))
-                   .select("print", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.n_shingles").alias("n"), F.col("m.sketch").alias("sketch"), F.col("m.parity").alias("parity")), "nodes")
+    some = rows.where("n_shingles > 0")
+    nodes = stored(some.groupBy("print").agg(F.min(F.struct("row_id", "doc_id", "n_shingles", "sketch", "parity")).alias("m"), F.count("*").alias("n_copies"))
+                   .select("print", "n_copies", F.col("m.row_id").alias("node"), F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n"), F.col("m.sketch").alias("sketch"), F.col("m.parity").alias("parity")), "nodes")
     posts = nodes.select("node", "n", F.explode("sketch").alias("v"))
     lists = posts.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(posts.join(lists, "v"), "members")
     hot = members.where(F.col("size") > long_list).groupBy("node").agg(F.count("*").alias("n_long"))
-    crowd = stored(nodes.join(hot, "node").where(2 * F.col("n_long") >= F.least("n", F.lit(k))).select(F.col("node").alias("doc_id")), "crowd")
+    crowd = stored(nodes.join(hot, "node").where(2 * F.col("n_long") >= F.least("n", F.lit(k))).select(F.col("node").alias("row_id")), "crowd")
     short = members.where(F.col("size") <= long_list).select("v", "node", "n")
-    members = stored(short.unionByName(_rarest(docs, crowd, threshold, width)).join(nodes.select("node", "parity"), "node"), "lists")
+    posts = stored(short.unionByName(_rarest(docs, crowd, threshold, width)), "posts")
+    members = stored(posts.join(nodes.select("node", "parity"), "node"), "lists")
     bound = WORK * members.count()
     links = found = tried = None
     for turn in range(TURNS):
@@ -206,18 +226,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, w
 
     groups = nodes.where("n_copies > 1").join(found, "node", "full").select(
         "node", F.coalesce("component", "node").alias("component"))
-    labels = nodes.join(groups, "node").select("print", "component", "n_copies")
+    first = nodes.select(F.col("node").alias("component"), F.col("doc_id").alias("component_id"))
+    labels = nodes.select("print", "node", "n_copies").join(groups, "node").join(first, "component").select("print", "component", "component_id", "n_copies")
     out = rows.join(labels, "print", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-                      F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
-                      (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+    alone = F.col("component").isNull()
+    return out.select("doc_id", "row_id", "n_shingles", F.coalesce("component", "row_id").alias("component"),
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, width: int = SHINGLE,
+                    long_list: int = LONG_LIST) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest linked doc_id), n_copies (rows with the same set), kept, of every row."""
+    rows, name = rows_of(docs.select("doc_id", "text"))
+    out = _labelled(rows.withColumnRenamed(name, "row_id"), threshold, k, width, long_list)
+    return out.select("doc_id", "n_shingles", "component_id", "n_copies", (F.col("row_id") == F.col("component")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that a linked one of smaller id replaces; all columns stay."""
-    gone = stored(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
-    return by_ids(docs, gone, "left_anti")
+    """``docs`` without the rows that the first of their linked rows replaces; all columns stay."""
+    rows, name = rows_of(docs)
+    labels = _labelled(rows.select("doc_id", "text", F.col(name).alias("row_id")), THRESHOLD, K, SHINGLE, LONG_LIST)
+    gone = stored(labels.where("row_id <> component").select(F.col("row_id").alias(name)), "gone")
+    return by_ids(rows, gone, "left_anti", name).select(*docs.columns)
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
