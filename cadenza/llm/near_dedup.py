@@ -8,7 +8,7 @@ full shingle sets confirm what remains.
 Documents with one shingle set are folded into one node first, so exact
 copies never meet in a list. No list emits all its pairs:
 
-1. Lists over ``LONG_LIST`` members (a line or passage that many documents
+1. Lists of the same members say the same and count as one. Lists over ``LONG_LIST`` members (a line or passage that many documents
    share) are set aside. Two linked documents share at least a quarter of
    their union outside them, and so meet in a short list, unless half or more
    of both sketches lies in long lists. Such documents, the crowd, meet by the
@@ -165,6 +165,16 @@ def _rarest(docs: DataFrame, crowd: DataFrame, threshold: float, width: int) ->
         (F.col("place") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("c") > 1)).select("v", "node", "n")
 
 
+def _different(posts: DataFrame) -> DataFrame:
+    """``posts`` (v, node, n) with one list in place of all that have the same members.
+
+    The shingles of a passage that some documents share make as many equal lists.
+    Equal are lists of one size whose members' hashes agree in 128 bits.
+    """
+    marks = posts.groupBy("v").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    return posts.join(marks.groupBy("c", "x", "y").agg(F.min("v").alias("v")).select("v"), "v", "left_semi")
+
+
 def _mixed_lists(members: DataFrame, found: DataFrame | None) -> DataFrame:
     """v, node, n, component, largest (component of most members) of the lists that several components share."""
     if found is None:
@@ -208,7 +218,7 @@ def _labelled(docs: DataFrame, threshold: float, k: int, width: int, long_list:
     crowd = stored(nodes.join(hot, "node").where(2 * F.col("n_long") >= F.least("n", F.lit(k))).select(F.col("node").alias("row_id")), "crowd")
     short = members.where(F.col("size") <= long_list).select("v", "node", "n")
     posts = stored(short.unionByName(_rarest(docs, crowd, threshold, width)), "posts")
-    members = stored(posts.join(nodes.select("node", "parity"), "node"), "lists")
+    members = stored(_different(posts).join(nodes.select("node", "parity"), "node"), "lists")
     bound = WORK * members.count()
     links = found = tried = None
     for turn in range(TURNS):
