@@ -6,7 +6,8 @@
 2. A source's documents lie in blocks by a hash of doc_id (a hot source has
    more blocks, not larger ones). Its target becomes block draws: all blocks
    once per full pass, then blocks in permuted order; the last block gives
-   its first documents in permuted order, the last document its first words.
+   its first documents in permuted order, the last document its first words (the
+   mix itself takes that document whole or not at all).
 3. The draws of all sources are dealt to output shards by a multivariate
    hypergeometric splitting tree: each node hands its left half an exactly
    drawn number of every source's block draws. The permuted draws of a source
@@ -160,13 +161,14 @@ def taken_words() -> Column:
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: rows like ``docs``, one per piece, shard by shard in shuffled order."""
-    names = docs.columns
-    rows = mix(docs, seed).withColumn("_mix_piece", F.explode("_mix_pieces"))
-    whole = F.col("_mix_piece.words") >= F.col("_mix_size")
-    first_words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_mix_piece.words").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words))
-    return rows.repartition("_mix_piece.shard").sortWithinPartitions("_mix_piece.shard", "_mix_piece.position").select(*names)
+    """The mix itself: rows like ``docs``, one per piece, shard by shard in shuffled order.
+
+    Texts stay whole: the one document a source and run of which the plan takes
+    the first words comes whole if these are at least half of it, else not at
+    all, so a source misses its target by half of that document at most.
+    """
+    rows = mix(docs, seed).withColumn("_mix_piece", F.explode("_mix_pieces")).where(2 * F.col("_mix_piece.words") >= F.col("_mix_size"))
+    return rows.repartition("_mix_piece.shard").sortWithinPartitions("_mix_piece.shard", "_mix_piece.position").select(*docs.columns)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
