@@ -14,7 +14,7 @@ from cadenza.session import ensure_checkpoint_dir
 
 # Text handed to one numpy pass; bounds a task's temporaries whatever the
 # size of an Arrow batch. A longer single text is a pass of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Rows handed to Python at a time: whole texts are wide, and every task holds a
 # batch on both sides of the pipe outside the JVM's heap.
 ARROW_ROWS = 1000
@@ -34,9 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def in_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` over batches of at most ``ARROW_ROWS`` rows (a setting of the session)."""
+    """``mapInArrow`` over batches of at most ``ARROW_ROWS`` rows (a setting of the session).
+
+    A worker outlives its task, so what Arrow has to spare is given back at the end.
+    """
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -51,7 +51,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
             out[done:done + m] = out[:m] * step
             step = step * step
         done += m
-    if len(out) <= 1 << 21:  # what slices need; a longer single text makes its own
+    if len(out) <= 1 << 19:  # what slices need; a longer single text makes its own
         _POWERS[key] = out
     return out[:n]
 

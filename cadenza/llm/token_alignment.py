@@ -54,7 +54,7 @@ FINE = 16 * RADIX  # partitions of merged runs
 BLOCK_RECORDS = 1 << 20  # pair-document records of a block of rows, about 20 MB held by a task
 FAN = 64  # runs merged at a time
 STRETCH = 1 << 15  # codes taken from a run at a time while merging
-CACHE_CHARS = 1 << 23  # characters of distinct stretches kept by a worker
+CACHE_CHARS = 1 << 22  # characters of distinct stretches kept by a worker
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -281,6 +281,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 held, number, found = 0, number + 1, []
         if found:
             yield block()
+        tool.clear()  # workers outlive a stage
     fields = "array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string>>"
     runs = "array<struct<radix:int,codes:binary,counts:binary,rows:binary,links:binary>>"
     return docs.select("doc_id", "text", F.spark_partition_id().alias("part")).transform(

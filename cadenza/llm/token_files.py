@@ -39,7 +39,8 @@ END_ID = 2
 LIMIT = 18
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1 << 17
+SLICE = 1 << 20  # bytes of text encoded in one pass
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -150,9 +151,10 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         e = encoder(path)
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             ids = [x + end for x in e.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+        encoder.cache_clear()  # workers outlive a stage
     return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, n_tokens long, ids binary")
 
 
