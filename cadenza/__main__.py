@@ -3,6 +3,7 @@ or ``python -m cadenza ...`` locally).
 
   load     JSON messages of a landing folder -> raw table + dead letters (batch)
   reports  raw table -> daily, weekly and platform views and daily analytics
+  compact  streamed table -> small batch folders packed into clustered files
   stream   landing folder -> streaming pipeline (full: shape A, simple: shape B)
 
 Outputs are Parquet folders; the raw table is partitioned by ``event_date``.
@@ -21,17 +22,20 @@ from cadenza.operators import reports, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import build_session
 from cadenza.sources import messages, sinks
-from cadenza.streaming import pipeline
+from cadenza.streaming import compaction, pipeline
 
 TREND_DAYS = 7
 
 
 def cmd_load(spark, args) -> None:
-    """A landing loaded again adds no row: events are looked up by id among the
-    stored rows, dead letters by their text."""
+    """A landing loaded again adds no row, and a message that it holds twice is
+    stored once: events go by their id (messages without one get one from their
+    text) and are looked up among the stored rows of their dates, dead letters go by
+    their text."""
     checked = validate.validate(messages.read_landing(spark, args.landing, EVENT_A))
     good, bad = validate.split_valid(checked)
-    raw = sinks.with_event_date(raw_music_events(good))
+    raw = sinks.with_event_date(raw_music_events(good)).dropDuplicates(["event_id"])
+    bad = bad.dropDuplicates(["raw_value"])
     raw = sinks.not_stored(raw, f"{args.out}/raw_music_events", ["event_id", "event_date"])
     sinks.write_table(raw, f"{args.out}/raw_music_events", "raw_music_events")
     sinks.append(sinks.not_stored(bad, f"{args.out}/dead_letters", ["raw_value"]), f"{args.out}/dead_letters")
@@ -74,6 +78,10 @@ def cmd_stream(spark, args) -> None:
         q.awaitTermination()
 
 
+def cmd_compact(spark, args) -> None:
+    compaction.compact(spark, args.root, args.table)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="cadenza")
     p.add_argument("--master", default=None, help="only for local runs; leave unset under spark-submit")
@@ -93,9 +101,12 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--watermark", default=pipeline.DEFAULT_WATERMARK, help="lateness that a window allows")
     s.add_argument("--attempts", type=int, default=pipeline.MAX_ATTEMPTS, help="tries of a message that fails")
     s.add_argument("--once", action="store_true", help="process what is there, then stop")
+    s = sub.add_parser("compact")
+    s.add_argument("--root", required=True, help="output folder of a stream")
+    s.add_argument("--table", default="raw_music_events")
     args = p.parse_args(argv)
     spark = build_session(args.master)
-    {"load": cmd_load, "reports": cmd_reports, "stream": cmd_stream}[args.cmd](spark, args)
+    {"load": cmd_load, "reports": cmd_reports, "stream": cmd_stream, "compact": cmd_compact}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

@@ -665,6 +665,8 @@ ORACLE["stream_dedup_counts"] = with_raw(f"""
 SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS distinct_events
 FROM raw_a WHERE {_VALID} GROUP BY event_type""")
 
+ORACLE["compacted_platform_performance"] = ORACLE["platform_performance"].replace("FROM raw_a WHERE ", f"FROM raw_a WHERE {_VALID} AND ")
+
 # Five attempts each, then one dead letter
 ORACLE["delivery_attempts"] = "WITH " + FAULTS_CTE + """
 SELECT fault AS error_code, 5 AS last_attempt, COUNT(*) AS messages, 5 * COUNT(*) AS attempts, COUNT(*) AS finals, COUNT(*) AS dead_letters

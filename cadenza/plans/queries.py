@@ -23,6 +23,7 @@ from cadenza.session import checkpoint_path
 from cadenza.sources import messages, sinks
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 from cadenza.sources.tables import read_table
+from cadenza.streaming import compaction
 from cadenza.streaming import pipeline as stream
 from cadenza.streaming.window_state import HOUR
 
@@ -387,6 +388,14 @@ def q_stream_enriched_events(spark, sf_dir):
     return table.join(topic, "event_id", "full")
 
 
+@register("compacted_platform_performance")
+def q_compacted_platform_performance(spark, sf_dir):
+    # the view over a streamed table: the batches of a date packed into bins, and the rest from their folders
+    out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["raw"])
+    compaction.compact(spark, out, "raw_music_events", target_bytes=1 << 16, tail=1)
+    return reports.platform_performance(compaction.read_compacted(spark, out, "raw_music_events"), AS_OF)
+
+
 @register("delivery_attempts")
 def q_delivery_attempts(spark, sf_dir):
     # How often the messages of each error came back before they were given up

@@ -34,6 +34,13 @@ FAULTS = [
     (79, "artist_mismatch", False),
     (73, "track_name_empty", False),
     (71, "play_without_play_event", True),
+    (67, "session_id_missing", False),
+    (61, "track_artist_id_missing", False),
+    (59, "event_type_invalid", False),
+    (53, "track_genre_invalid", False),
+    (47, "location_too_long", False),
+    (43, "energy_out_of_range", False),
+    (41, "buffer_events_out_of_range", False),
 ]
 # ---------------------------------------------------------------------------------
 
@@ -70,6 +77,17 @@ def damaged_messages(events: DataFrame) -> DataFrame:
     nested = nested.withColumn("track", F.when(f == "artist_mismatch",
                                                F.col("track").withField("artist_id", F.lit("artist-mismatch")))
                                .otherwise(F.col("track")))
+    def damaged(part: str, name: str, fault: str, value: Column) -> Column:
+        return F.when(f == fault, F.col(part).withField(name, value)).otherwise(F.col(part))
+    for part, name, fault, value in [
+            ("user_interaction", "session_id", "session_id_missing", F.lit(None).cast("string")),
+            ("user_interaction", "location", "location_too_long", F.lit("USA")),
+            ("track", "artist_id", "track_artist_id_missing", F.lit(None).cast("string")),
+            ("track", "genres", "track_genre_invalid", F.array(F.lit("noise"))),
+            ("track", "energy", "energy_out_of_range", F.lit(1.5)),
+            ("streaming_event", "buffer_events", "buffer_events_out_of_range", F.lit(-1).cast("long"))]:
+        nested = nested.withColumn(part, damaged(part, name, fault, value))
+    nested = nested.withColumn("event_type", F.when(f == "event_type_invalid", F.lit("dance")).otherwise(F.col("event_type")))
     text = F.to_json(F.struct(*[c for c in nested.columns if c != "_fault"]), JSON_OPTIONS)
     return nested.select(F.when(f == "parse_error", F.concat(F.lit("corrupt:"), text)).otherwise(text).alias("value"))
 

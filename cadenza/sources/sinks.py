@@ -83,7 +83,8 @@ def not_stored(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose ``keys`` the table at ``path`` does not hold yet (all, if there is no table).
 
     A date among the keys is compared as the partition it names; only the key
-    columns of the table are read.
+    columns of the table are read, and only the partitions of the dates that
+    ``df`` holds.
     """
     try:
         table = df.sparkSession.read.parquet(path)
@@ -91,6 +92,9 @@ def not_stored(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return df
+    if "event_date" in keys:  # one value a day of the load
+        dates = [r[0] for r in df.select("event_date").distinct().collect()]
+        table = table.where(F.col("event_date").isin([d for d in dates if d is not None]) | F.col("event_date").isNull())
     return df.join(table.select(*keys), keys, "left_anti")
 
 

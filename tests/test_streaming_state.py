@@ -204,3 +204,42 @@ def test_rules_of_any_number(spark):
             hits = [(p, v) for p, f, n, o, v in table if o == out and n in low[f]]
             want = min(hits)[1] if hits else plain[i][out]
             assert got[i][out] == (want[0] if hits and k < 2 else want)
+
+
+def test_bins():
+    from cadenza.streaming.compaction import bins
+    assert bins([(0, 5), (2, 5), (3, 12), (4, 1), (7, 1)], 10, 3) == [[0, 2], [3]]
+    assert bins([(0, 5), (2, 5), (3, 12), (4, 1), (7, 1)], 10, 1) == [[0, 2], [3], [4, 7]]
+    assert bins([], 10, 0) == []
+
+
+def test_compaction(spark):
+    """Rows stay, folders become few, old readers survive one compaction, uncommitted batches stay out, dates prune."""
+    import os
+    from cadenza.streaming import compaction
+    root = tempfile.mkdtemp(prefix="cadenza-compact-")
+    raw = stream.sinks.with_event_date(stream.raw_music_events(nested_events_a(read_events(spark, SF))))
+    n = F.substring_index("event_id", "-", -1).cast("int") % 6
+    for i in range(6):
+        stream._write_batch(raw.where(n == i), f"{root}/raw_music_events", i, ["event_date"])
+        if i < 5:
+            stream._commit(spark, root, i)
+    want = rows_of(raw.where(n < 5).select("event_id", "event_date"))
+    early = stream.read_committed(spark, root, "raw_music_events").select("event_id", "event_date")
+    early.schema  # listed before the swap
+    for k in range(3):
+        written = compaction.compact(spark, root, "raw_music_events", target_bytes=1 << 40, tail=2)
+        assert (written > 0) == (k == 0)
+        got = compaction.read_compacted(spark, root, "raw_music_events").select("event_id", "event_date")
+        assert rows_of(got) == want
+        if k == 0:
+            assert rows_of(early) == want
+    day = sorted(os.listdir(f"{root}/raw_music_events"))[5]
+    assert len([f for f in os.listdir(f"{root}/raw_music_events/{day}") if f.startswith("batch_id")]) <= 3
+    date = day.split("=")[1]
+    plan = got.where(F.col("event_date") == date)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(event_date") == 2
+    # a bin without its marker is not read
+    compaction.compact(spark, root, "raw_music_events", target_bytes=1, tail=0)
+    stream._commit(spark, root, 5)
+    assert rows_of(compaction.read_compacted(spark, root, "raw_music_events").select("event_id", "event_date")) == rows_of(raw.select("event_id", "event_date"))
