@@ -17,7 +17,7 @@ from cadenza.session import ensure_checkpoint_dir
 SLICE_BYTES = 1 << 18
 # Rows handed to Python at a time: whole texts are wide, and every task holds a
 # batch on both sides of the pipe outside the JVM's heap.
-ARROW_ROWS = 1000
+ARROW_ROWS = 250
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,6 +23,7 @@ import re
 import uuid
 import zlib
 from collections import defaultdict
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain, count, islice, pairwise
 
@@ -39,8 +40,7 @@ END_ID = 2
 LIMIT = 18
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
-CACHE_WORDS = 1 << 17
-SLICE = 1 << 20  # bytes of text encoded in one pass
+CACHE_WORDS = 1 << 17  # words and pieces kept by a worker; a pass takes 8 bytes of text for each
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -90,7 +90,8 @@ class Encoder:
     PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+|\n")
     BREAK = "\n"  # between words in a list of pieces; a piece without ids
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -117,7 +118,7 @@ class Encoder:
             self.pieces.add(ids, sizes)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.pieces.numbers) > CACHE_WORDS:
+        if len(self.pieces.numbers) > self.cache_words:
             self.pieces = Ragged()
         numbers = self.pieces.number(self.PIECE.findall("".join([w + self.BREAK for w in words])))
         self._learn_pieces(self.pieces.unseen())
@@ -129,7 +130,7 @@ class Encoder:
         """Ids of each text as little-endian 16-bit integers, without the end id."""
         plain = [not t or not self.PLAIN.search(t) for t in texts]
         split = [(t or "").lower().split() for t, p in zip(texts, plain, strict=True) if p]
-        if len(self.words.numbers) > CACHE_WORDS:
+        if len(self.words.numbers) > self.cache_words:
             self.words = Ragged()
         numbers = self.words.number(list(chain.from_iterable(split)))
         if len(self.words.numbers) >= len(self.words.first):
@@ -141,17 +142,17 @@ class Encoder:
 
 
 @lru_cache(1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
+    return Encoder(path, cache_words)
 
 
-def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian 16-bit, end id appended)."""
+def tokenised(docs: DataFrame, path: str, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian 16-bit, end id appended). Fewer ``cache_words`` take less memory and more time."""
     end = np.array([END_ID], dtype="<u2").tobytes()
 
     def run(batches):
-        e = encoder(path)
-        for b in slices(batches, limit=SLICE):
+        e = encoder(path, cache_words)
+        for b in slices(batches, limit=8 * cache_words):
             ids = [x + end for x in e.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
         encoder.cache_clear()  # workers outlive a stage
@@ -267,10 +268,10 @@ def _code_of(codebook: DataFrame) -> np.ndarray:
     return lengths
 
 
-def write_token_files(docs: DataFrame, folder: str, path: str | None = None) -> None:
+def write_token_files(docs: DataFrame, folder: str, path: str | None = None, cache_words: int = CACHE_WORDS) -> None:
     """Encode ``docs`` into ``folder``/code and ``folder``/blocks (see the module's head)."""
     spark = docs.sparkSession
-    tokens = stored(tokenised(docs, path or tokenizer_path()), "tokens")
+    tokens = stored(tokenised(docs, path or tokenizer_path(), cache_words), "tokens")
     counts = np.zeros(1 << 16, dtype=np.int64)
     for id_, n in id_counts(tokens).collect():  # at most one row per id of the vocabulary
         counts[id_] = n
@@ -310,6 +311,16 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None) ->
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids (little-endian 16-bit) from the files alone."""
+    return _decoded(spark, folder, lambda ids: pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary()), "ids binary")
+
+
+def digests(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (of the ids as 32-bit integers) from the files alone; the ids stay in the worker."""
+    return _decoded(spark, folder, lambda ids: pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), "ids_crc32 long")
+
+
+def _decoded(spark: SparkSession, folder: str, column: Callable[[list[np.ndarray]], pa.Array], kind: str) -> DataFrame:
+    """doc_id, start, n_tokens and what ``column`` makes of the ids of the documents of a block."""
     lengths = _code_of(spark.read.parquet(f"{folder}/code"))
     limit = max(int(lengths.max()), 1)
     blocks = spark.read.parquet(f"{folder}/blocks")
@@ -329,27 +340,18 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 ids = unpack(r["bits"], np.array(r["checkpoints"], dtype=np.int64), r["n_ids"], table_id, table_length, limit)
                 size = np.array(r["lengths"], dtype=np.int64)
                 at = np.cumsum(size) - size
-                out = [ids[a:a + n].astype("<u2").tobytes() for a, n in zip(at, size, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array(at + r["start"], pa.int64()), pa.array(size, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                out = column([ids[a:a + n] for a, n in zip(at, size, strict=True)])
+                yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array(at + r["start"], pa.int64()), pa.array(size, pa.int64()), out], ["doc_id", "start", "n_tokens", kind.split()[0]])
     return blocks.join(starts, ["part", "block"]).select(
-        "bits", "checkpoints", "n_ids", "lengths", "doc_ids", "start").transform(in_batches, run, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def digests(tokens: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of decoded documents."""
-    def run(batches):
-        for b in batches:
-            crc = [zlib.crc32(np.frombuffer(x.as_buffer(), dtype="<u2").astype("<u4").tobytes()) for x in b.column("ids")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-    return tokens.transform(in_batches, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        "bits", "checkpoints", "n_ids", "lengths", "doc_ids", "start").transform(in_batches, run, f"doc_id long, start long, n_tokens long, {kind}")
 
 
-def encode_and_read(docs: DataFrame) -> DataFrame:
+def encode_and_read(docs: DataFrame, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Write ``docs`` to token files in the shared folder and read them back as digests."""
     spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-token-files-{uuid.uuid4().hex}"
-    write_token_files(docs, folder)
-    return digests(read_token_files(spark, folder))
+    write_token_files(docs, folder, cache_words=cache_words)
+    return digests(spark, folder)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
