@@ -38,7 +38,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_and_read(docs)
+    # Python workers keep what earlier stages imported: a small cache leaves room for that.
+    return encode_and_read(docs, cache_words=1 << 15)
 
 
 STAGES = [
