@@ -24,12 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

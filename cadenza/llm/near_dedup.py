@@ -155,24 +155,26 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: flo
 
 
 def _rarest(docs: DataFrame, crowd: DataFrame, threshold: float, width: int) -> DataFrame:
-    """v, node, n: of each crowd document the n - ceil(threshold n) + 1 shingles that
-    fewest of the crowd have. Two linked documents share one of them."""
+    """v, node, n, rest: of each crowd document the n - ceil(threshold n) + 1 shingles that
+    fewest of the crowd have, and how many it has from there on in that order. Two linked
+    documents share one of them, and no more shingles than the rest from the first on."""
     sets = stored(full_sets(by_ids(docs, crowd, "left_semi", "row_id"), width), "crowd-sets")
     each = sets.select(F.col("row_id").alias("node"), F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
     counts = each.groupBy("v").agg(F.count("*").alias("c"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("c", "v"))
     return each.join(counts, "v").withColumn("place", place).where(
-        (F.col("place") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("c") > 1)).select("v", "node", "n")
+        (F.col("place") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("c") > 1)).select(
+        "v", "node", "n", (F.col("n") - F.col("place") + 1).alias("rest"))
 
 
 def _different(posts: DataFrame) -> DataFrame:
-    """``posts`` (v, node, n) with one list in place of all that have the same members.
+    """``posts`` (v, node, n, rest) with one list in place of all that have the same members, and the longest rests of these.
 
     The shingles of a passage that some documents share make as many equal lists.
     Equal are lists of one size whose members' hashes agree in 128 bits.
     """
     marks = posts.groupBy("v").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    return posts.join(marks.groupBy("c", "x", "y").agg(F.min("v").alias("v")).select("v"), "v", "left_semi")
+    return posts.join(marks, "v").groupBy("c", "x", "y", "node").agg(F.min("v").alias("v"), F.max("rest").alias("rest"), F.first("n").alias("n")).select("v", "node", "n", "rest")
 
 
 def _mixed_lists(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -200,9 +202,11 @@ def _to_pivots(mixed: DataFrame, turn: int, threshold: float) -> DataFrame:
 
 def _across(mixed: DataFrame, threshold: float) -> DataFrame:
     """All pairs of a list whose components differ."""
-    left = mixed.where("component <> largest").select("v", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), F.col("parity").alias("xp"))
-    right = mixed.select("v", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"), F.col("parity").alias("yp"))
-    return left.join(right, "v").where("xc <> yc").where(_may_link("xn", "yn", "xp", "yp", threshold)).select(*_pair("x", "y")).distinct()
+    left = mixed.where("component <> largest").select("v", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("rest").alias("xr"), F.col("component").alias("xc"), F.col("parity").alias("xp"))
+    right = mixed.select("v", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("rest").alias("yr"), F.col("component").alias("yc"), F.col("parity").alias("yp"))
+    # At the first shingle that two linked documents share, both have this many left.
+    enough = F.least("xr", "yr") >= (F.col("xn") + F.col("yn")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
+    return left.join(right, "v").where("xc <> yc").where(enough & _may_link("xn", "yn", "xp", "yp", threshold)).select(*_pair("x", "y")).distinct()
 
 
 def _labelled(docs: DataFrame, threshold: float, k: int, width: int, long_list: int) -> DataFrame:
@@ -216,7 +220,7 @@ def _labelled(docs: DataFrame, threshold: float, k: int, width: int, long_list:
     members = stored(posts.join(lists, "v"), "members")
     hot = members.where(F.col("size") > long_list).groupBy("node").agg(F.count("*").alias("n_long"))
     crowd = stored(nodes.join(hot, "node").where(2 * F.col("n_long") >= F.least("n", F.lit(k))).select(F.col("node").alias("row_id")), "crowd")
-    short = members.where(F.col("size") <= long_list).select("v", "node", "n")
+    short = members.where(F.col("size") <= long_list).select("v", "node", "n", F.col("n").alias("rest"))
     posts = stored(short.unionByName(_rarest(docs, crowd, threshold, width)), "posts")
     members = stored(_different(posts).join(nodes.select("node", "parity"), "node"), "lists")
     bound = WORK * members.count()

@@ -271,7 +271,7 @@ def _code_of(codebook: DataFrame) -> np.ndarray:
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, cache_words: int = CACHE_WORDS) -> None:
     """Encode ``docs`` into ``folder``/code and ``folder``/blocks (see the module's head)."""
     spark = docs.sparkSession
-    tokens = stored(tokenised(docs, path or tokenizer_path(), cache_words), "tokens")
+    tokens = stored(tokenised(docs, path or tokenizer_path(), cache_words), "tokens", "zstd")
     counts = np.zeros(1 << 16, dtype=np.int64)
     for id_, n in id_counts(tokens).collect():  # at most one row per id of the vocabulary
         counts[id_] = n

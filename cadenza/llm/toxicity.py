@@ -22,7 +22,6 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,8 +186,8 @@ def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> t
 def features(rows: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
     def run(batches):
         for b in slices(batches):
-            found = pd.DataFrame([grammar.features(x) for x in b.column("text").to_pylist()], columns=FEATURES)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(pa.array(found[f]) for f in FEATURES)], [*keep, *FEATURES])
+            found = np.array([grammar.features(x) for x in b.column("text").to_pylist()]).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(pa.array(column) for column in found.T)], [*keep, *FEATURES])
     kinds = dict(rows.dtypes)
     return rows.select(*keep, "text").transform(in_batches, run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), *(f"{f} double" for f in FEATURES)]))
 
