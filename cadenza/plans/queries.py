@@ -364,7 +364,7 @@ def q_stream_late_events(spark, sf_dir):
     # with a lateness of a day: per day, the events in windows and the late ones, which are in none
     out = streamed(spark, stream.start_full_pipeline, landed_deliveries_a(spark, sf_dir), outputs=["metrics"], watermark="1 day")
     counted = spark.read.parquet(f"{out}/music_event_metrics").groupBy("event_date").agg(F.sum("total_events").alias("in_windows"))
-    late = spark.read.parquet(f"{out}/late_events").groupBy(F.to_date("event_ts").alias("event_date")).agg(F.count("*").alias("late"))
+    late = sinks.read_batches(spark, out, "late_events").groupBy(F.to_date("event_ts").alias("event_date")).agg(F.count("*").alias("late"))
     return counted.join(late, "event_date", "full").select(
         "event_date", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("in_windows", "late")))
 
@@ -400,9 +400,9 @@ def q_compacted_platform_performance(spark, sf_dir):
 def q_delivery_attempts(spark, sf_dir):
     # How often the messages of each error came back before they were given up
     out = streamed(spark, stream.start_full_pipeline, landed_a_path(spark, sf_dir), outputs=[], attempts=stream.MAX_ATTEMPTS)
-    log = spark.read.parquet(f"{out}/attempts").groupBy("message_id", F.element_at("errors", 1).alias("error_code")).agg(
+    log = sinks.read_batches(spark, out, "attempts").groupBy("message_id", F.element_at("errors", 1).alias("error_code")).agg(
         F.count("*").alias("attempts"), F.max("attempt").alias("last_attempt"), F.count_if("final").alias("finals"))
-    dead = spark.read.parquet(f"{out}/dead_letters").where(F.col("raw_value").isNotNull()).groupBy(
+    dead = sinks.read_batches(spark, out, "dead_letters").where(F.col("raw_value").isNotNull()).groupBy(
         F.md5("raw_value").alias("message_id")).agg(F.count("*").alias("dead"))
     return log.join(dead, "message_id", "left").groupBy("error_code", "last_attempt").agg(
         F.count("*").alias("messages"), F.sum("attempts").alias("attempts"), F.sum("finals").alias("finals"), F.sum("dead").alias("dead_letters"))

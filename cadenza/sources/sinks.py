@@ -79,6 +79,25 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    """Write the rows of a micro-batch as a partition per batch id, which a replay overwrites.
+
+    The table's schema is kept beside it, as a batch without rows leaves no file.
+    """
+    spark = df.sparkSession
+    df = df.withColumn("batch_id", F.lit(batch_id))
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/schemas/{table}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{root}/schemas/{table}")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*(partition_by or []), "batch_id").parquet(f"{root}/{table}"))
+
+
+def read_batches(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of ``write_batch``, with the columns of its batches even if none has rows."""
+    return spark.read.schema(spark.read.parquet(f"{root}/schemas/{table}").schema).parquet(f"{root}/{table}")
+
+
 def not_stored(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose ``keys`` the table at ``path`` does not hold yet (all, if there is no table).
 

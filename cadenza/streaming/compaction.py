@@ -79,7 +79,7 @@ def compact(spark: SparkSession, root: str, table: str, target_bytes: int = TARG
     if not plan:
         return 0
     where = spark.createDataFrame(plan, "event_date string, batch_id int, hi int").withColumn("event_date", F.to_date("event_date"))
-    schema = spark.read.parquet(f"{root}/{table}").schema
+    schema = sinks.read_batches(spark, root, table).schema
     rows = spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(
         *[f"{root}/{table}/event_date={d}/batch_id={b}" for d, b, _ in plan])
     keys = ["event_date", "hi", *(c for c in [*sinks.CLUSTER_BY.get(table, []), "event_id"] if c in rows.columns)]

@@ -144,10 +144,10 @@ def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
             good = good.drop("received_at").persist()
             raw = sinks.with_event_date(raw_music_events(good, ["batch_file"]))
             if "raw" in outputs:
-                _write_batch(raw.drop("batch_file"), f"{out_root}/raw_music_events", batch_id, ["event_date"])
+                sinks.write_batch(raw.drop("batch_file"), out_root, "raw_music_events", batch_id, ["event_date"])
             if "topics" in outputs:
                 for topic in ("raw_topic", "enrichment_topic"):
-                    _write_batch(event_messages(good), f"{out_root}/{topic}", batch_id)
+                    sinks.write_batch(event_messages(good), out_root, topic, batch_id)
             if "enriched" in outputs:
                 bad = bad.unionByName(_write_enriched(raw, out_root, batch_id))
             _write_failed(bad, out_root, batch_id, attempts)
@@ -175,7 +175,7 @@ def simple_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
             good, bad = batch.where("is_valid"), batch.where("NOT is_valid")
             rows = metrics.with_event_time(processed_events(loose_parse_b(good))).persist()
             if "processed" in outputs:
-                _write_batch(rows.drop("event_ts"), f"{out_root}/processed_events", batch_id)
+                sinks.write_batch(rows.drop("event_ts"), out_root, "processed_events", batch_id)
             _write_failed(bad.select("raw_value", "errors", "batch_file", "received_at", "attempt"), out_root, batch_id, attempts)
             if "metrics" in outputs:
                 in_time = window_state.split_late(rows, "event_ts", metrics.KEYED_WINDOW, lateness, out_root, batch_id)
@@ -188,19 +188,14 @@ def simple_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
     return run
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*(partition_by or []), "batch_id").parquet(path))
-
-
 def _write_enriched(raw: DataFrame, out_root: str, batch_id: int) -> DataFrame:
     """S6 + S8: enriched rows and their JSON. Returns the events that enrichment made unfit (V10), as failed messages."""
     rows = enrich.enriched_music_events(raw, keep=["event_date", "batch_file"]).persist()
     fit = validate.description_ok(F.col("enhanced_description"))
     body = F.to_json(F.struct(*enrich.ENRICHED_A_COLUMNS), messages.JSON_OPTIONS)
-    _write_batch(rows.where(fit).drop("batch_file"), f"{out_root}/enriched_music_events", batch_id, ["event_date"])
-    _write_batch(rows.where(fit).select("event_type", "platform", "timestamp", "event_id", "batch_file", body.alias("value")),
-                 f"{out_root}/enriched_topic", batch_id)
+    sinks.write_batch(rows.where(fit).drop("batch_file"), out_root, "enriched_music_events", batch_id, ["event_date"])
+    sinks.write_batch(rows.where(fit).select("event_type", "platform", "timestamp", "event_id", "batch_file", body.alias("value")),
+                 out_root, "enriched_topic", batch_id)
     return rows.where(~fit).select(body.alias("raw_value"), F.array(F.lit("description_too_long")).alias("errors"), "batch_file",
                                    F.current_timestamp().alias("received_at"), F.lit(None).cast("int").alias("attempt"))
 
@@ -212,11 +207,11 @@ def _write_failed(bad: DataFrame, out_root: str, batch_id: int, attempts: int) -
     """
     last = F.coalesce(F.col("attempt") >= attempts, F.lit(True))
     if attempts > 1:
-        _write_batch(bad.select(F.md5("raw_value").alias("message_id"), "attempt", "errors", last.alias("final"), "received_at"), f"{out_root}/attempts", batch_id)
+        sinks.write_batch(bad.select(F.md5("raw_value").alias("message_id"), "attempt", "errors", last.alias("final"), "received_at"), out_root, "attempts", batch_id)
         (bad.where(~last).select(F.col("raw_value").alias("value"), (F.col("attempt") + 1).alias("attempt"), "batch_file")
          .write.mode("overwrite").json(f"{redrive_folder(out_root)}/batch-{batch_id}"))
         bad = bad.where(last)
-    _write_batch(bad, f"{out_root}/dead_letters", batch_id)
+    sinks.write_batch(bad, out_root, "dead_letters", batch_id)
 
 
 def redrive_folder(out_root: str) -> str:
@@ -237,7 +232,7 @@ def _commit(spark: SparkSession, out_root: str, batch_id: int) -> None:
 def read_committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
     """A table of a pipeline up to its last whole batch (batches follow each other, so that is one number)."""
     last = spark.read.parquet(f"{out_root}/commits").agg(F.max("batch_id").alias("last"))
-    return spark.read.parquet(f"{out_root}/{table}").join(F.broadcast(last), F.col("batch_id") <= F.col("last")).drop("last")
+    return sinks.read_batches(spark, out_root, table).join(F.broadcast(last), F.col("batch_id") <= F.col("last")).drop("last")
 
 
 # --- pipelines ---------------------------------------------------------------------------

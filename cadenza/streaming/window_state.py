@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.common import round6
 from cadenza.operators.metrics import KEYED_WINDOW, METRICS_WINDOW
 from cadenza.schemas import EVENT_TYPES_A, PLATFORMS_A
+from cadenza.sources import sinks
 
 HOUR = ["event_date", "event_hour"]
 DAY = ["event_date"]
@@ -212,10 +213,8 @@ def split_late(rows: DataFrame, time_col: str, duration: str, lateness: str | No
     out = F.col(time_col).isNull() | F.coalesce(start + F.expr(f"INTERVAL {duration}") <= watermark, F.lit(False))
     marked = rows.select("*", start.alias("_window_start"), out.alias("_late"), watermark.alias("_watermark"))
     seen = marked.agg(F.max(time_col), F.max("_watermark"), F.count_if(~F.col("_late")), F.count_if("_late")).first()
-    if seen[3]:
-        (marked.where("_late").select("event_id", F.col(time_col).alias("event_ts"), F.col("_window_start").alias("window_start"),
-                                      F.col("_watermark").alias("watermark"), F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/late_events"))
+    sinks.write_batch(marked.where("_late").select("event_id", F.col(time_col).alias("event_ts"), F.col("_window_start").alias("window_start"),
+                                                   F.col("_watermark").alias("watermark")), root, "late_events", batch_id)
     known = max((t for t in (latest, seen[0]) if t is not None), default=None)
     spark.createDataFrame([(known, *seen[1:])], "max_event_ts timestamp, watermark timestamp, on_time long, late long").coalesce(1).write.mode(
         "overwrite").parquet(f"{root}/progress/batch_id={batch_id}")

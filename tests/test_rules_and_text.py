@@ -85,11 +85,15 @@ def test_rules_table_equals_case_chains(spark, catalog):
     assert fb["x3"].predicted_genres == ["electronic", "alternative", "indie"]
 
 
-def test_rules_table_size_is_checked(spark, catalog, monkeypatch):
-    table = spark.createDataFrame(rules.rules_as_rows(), rules.RULES_SCHEMA)
-    monkeypatch.setattr(rules, "MAX_TABLE_RULES", 3)
-    with pytest.raises(ValueError):
-        rules.match_rules_table(catalog, table)
+def test_rules_table_has_no_limit(spark, catalog):
+    """Above the 10,000 rules that were once the limit, rules that match nothing change nothing."""
+    rows = rules.rules_as_rows()
+    table = spark.createDataFrame(rows, rules.RULES_SCHEMA)
+    many = table.unionByName(spark.range(12_000).select(
+        F.lit(0).alias("priority"), F.lit("track_title").alias("field"), F.concat(F.lit("no such title "), "id").alias("needle"),
+        F.lit("mood_analysis").alias("output"), F.array(F.lit("none")).alias("value")))
+    got, want = (sorted(map(repr, rules.match_rules_table(catalog, t).collect())) for t in (many, table))
+    assert got == want
 
 
 def test_confidence_scores(catalog):

@@ -131,7 +131,7 @@ def test_tables_of_a_batch_appear_together(spark):
     last = 7
     good, _ = validate.split_valid(checked)
     raw = stream.sinks.with_event_date(stream.raw_music_events(good, ["batch_file"]))
-    stream._write_batch(raw.drop("batch_file"), f"{root}/out/raw_music_events", last, ["event_date"])
+    stream.sinks.write_batch(raw.drop("batch_file"), f"{root}/out", "raw_music_events", last, ["event_date"])
     assert stream.read_committed(spark, f"{root}/out", "raw_music_events").count() == 1000
     for _ in range(2):
         stream.fan_out_batch(f"{root}/out", outputs=["raw", "enriched"])(checked, last)
@@ -221,7 +221,7 @@ def test_compaction(spark):
     raw = stream.sinks.with_event_date(stream.raw_music_events(nested_events_a(read_events(spark, SF))))
     n = F.substring_index("event_id", "-", -1).cast("int") % 6
     for i in range(6):
-        stream._write_batch(raw.where(n == i), f"{root}/raw_music_events", i, ["event_date"])
+        stream.sinks.write_batch(raw.where(n == i), root, "raw_music_events", i, ["event_date"])
         if i < 5:
             stream._commit(spark, root, i)
     want = rows_of(raw.where(n < 5).select("event_id", "event_date"))
