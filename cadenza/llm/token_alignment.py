@@ -54,7 +54,8 @@ FINE = 16 * RADIX  # partitions of merged runs
 BLOCK_RECORDS = 1 << 20  # pair-document records of a block of rows, about 20 MB held by a task
 FAN = 64  # runs merged at a time
 STRETCH = 1 << 15  # codes taken from a run at a time while merging
-CACHE_CHARS = 1 << 22  # characters of distinct stretches kept by a worker
+SLICE = 1 << 20  # bytes of text aligned in one pass
+CACHE_CHARS = 1 << 23  # characters of distinct stretches kept by a worker
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -270,7 +271,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                              "rows": packed(places[of], "<u4"), "links": packed(links[of], "<i8")})
             return pa.RecordBatch.from_pylist([{"block": part << 32 | number, "docs": [d for docs, *_ in found for d in docs], "runs": runs}], schema=BLOCK)
 
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             part = b.column("part")[0].as_py()
             rows, codes, places, links = tool.align(b.column("text").to_pylist())
             names = DOCS.value_type.names
