@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from cadenza.functions.derive_full import raw_music_events
-from cadenza.operators import reports, validate
+from cadenza.operators import daily, reports, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import build_session
 from cadenza.sources import messages, sinks
@@ -55,9 +55,7 @@ def cmd_reports(spark, args) -> None:
         "daily_events_summary": reports.daily_events_summary(raw, as_of),
         "top_tracks_weekly": reports.top_tracks_weekly(raw, as_of),
         "platform_performance": reports.platform_performance(raw, as_of),
-        "user_analytics": reports.user_daily_analytics(daily_in),
-        "track_analytics": reports.track_daily_analytics(daily_in, TREND_DAYS),
-        "platform_analytics": reports.platform_daily_analytics(daily_in),
+        **{f"{level}_analytics": df for level, df in daily.daily_tables(daily_in, TREND_DAYS).items()},
     }
     for name, df in outputs.items():
         if name.endswith("_analytics"):

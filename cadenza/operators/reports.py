@@ -115,7 +115,9 @@ def modes(df: DataFrame, keys: list[str], attrs: dict[str, Column], explode: dic
     items = [F.array(F.struct(F.lit(n).alias("attr"), c.cast("string").alias("vs"),
                               (c.cast("long") if n in integral else F.lit(None).cast("long")).alias("vn")))
              for n, c in attrs.items()]
-    items += [F.transform(arr, _tag(n)) for n, arr in explode.items()]
+    # A null array adds no value, but must not take the event's other values with it.
+    none = F.array().cast("array<struct<attr:string,vs:string,vn:bigint>>")
+    items += [F.coalesce(F.transform(arr, _tag(n)), none) for n, arr in explode.items()]
     stacked = df.select(*keys, F.explode(F.concat(*items)).alias("s")).select(*keys, "s.*")
     counted = (stacked.filter(F.col("vs").isNotNull())
                .groupBy(*keys, "attr", "vs", "vn").agg(F.count(F.lit(1)).alias("n")))

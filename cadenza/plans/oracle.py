@@ -381,6 +381,9 @@ span AS (
   mobile_usage_ratio, peak_usage_hour""",
     "LEFT JOIN span USING (platform, analysis_date)")
 
+ORACLE["daily_tables"] = " UNION ALL BY NAME ".join(
+    f"SELECT '{level}' AS level, * FROM ({ORACLE[f'{level}_daily_analytics']})" for level in ("user", "track", "platform"))
+
 
 # --- enrichment (R1-R7, Q9-Q12), prompt text (P7, P8), answer cleaning (P9-P13) ---------
 from cadenza.functions import confidence as CF  # noqa: E402

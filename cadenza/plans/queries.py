@@ -17,7 +17,7 @@ from cadenza.functions import confidence as C
 from cadenza.functions import text as TX
 from cadenza.functions.derive_full import derive_fields, raw_music_events
 from cadenza.functions.derive_simple import enrichment_input_b, loose_parse_b, processed_events
-from cadenza.operators import enrich, lookups, metrics, reports, rules, validate
+from cadenza.operators import daily, enrich, lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
 from cadenza.session import checkpoint_path
 from cadenza.sources import messages, sinks
@@ -158,6 +158,13 @@ def q_platform_daily_analytics(spark, sf_dir):
     return reports.platform_daily_analytics(raw_a(spark, sf_dir))
 
 
+@register("daily_tables")
+def q_daily_tables(spark, sf_dir):
+    """A10-A12 in one scan: the rows of all three tables, marked by their level."""
+    parts = [df.select(F.lit(level).alias("level"), "*") for level, df in daily.daily_tables(raw_a(spark, sf_dir)).items()]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
 def enrich_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment_input_b(nested_events_b(read_events(spark, sf_dir)))
 

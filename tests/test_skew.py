@@ -17,7 +17,7 @@ from check_oracle import rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 HOT = ["user_daily_analytics", "platform_daily_analytics", "track_daily_analytics", "platform_performance",
-       "top_tracks_weekly", "event_window_metrics"]
+       "top_tracks_weekly", "event_window_metrics", "daily_tables"]
 
 
 @pytest.fixture(scope="module")
