@@ -2,10 +2,16 @@
 
 Words become symbols of five classes: insults (a lexicon of word stems with
 weights, learned from labels), threats, targets, negations and reported-speech
-marks (fixed lists). Small transducers over the symbols of one clause are
-composed: the insult or threat opens a match, a target raises its weight, a
-negation just before it and reported speech lower it. A document's score is a
-logistic function of its matched clauses, whose coefficients are learned too.
+marks (fixed lists). Three small transducers over the symbols of one clause
+(negation, reported speech, match) are composed into the machine that reads it:
+a negation just before an insult or threat weakens it, as reported speech does
+the clause; an insult, or a threat with a target, makes a match, and a target
+raises its weight. A document's score is a logistic function of its matched
+clauses, whose coefficients are learned too.
+
+Stems have 4 to 8 bytes, shorter words are learned whole. A stem is learned if
+its evidence (twice the log-likelihood ratio of stem and label) is at least
+``MIN_EVIDENCE`` and it has at least ``MIN_TOXIC`` toxic rows of the sample.
 
 Learning uses only labelled rows whose crc32(doc_id) modulo 5 is not 0, and of
 these the ``TRAIN_ROWS`` with the smallest hash of doc_id (the documented
@@ -30,10 +36,12 @@ from cadenza.llm.common import BROADCAST_ROWS, in_batches, slices, stored, table
 from cadenza.llm.licenses import WORD_TABLE
 
 TRAIN_ROWS = 40_000
-STEM = range(4, 9)  # bytes of a learned stem
-LEXICON = 400
-MIN_TOXIC = 5  # and half a percent of the toxic rows
+STEM = range(4, 9)  # bytes of a learned stem; shorter words are learned whole
+WHOLE = b"\0"  # ends a word that is learned whole
+LEXICON = 8_000  # stems that the driver takes at most, by evidence
+MIN_TOXIC = 3
 MIN_LIFT = 2.0
+MIN_EVIDENCE = 20.0  # twice the log-likelihood ratio of a stem and the label
 FOLDS = 5
 FEATURES = ["total", "largest", "clauses", "density", "threats", "known"]
 
@@ -74,23 +82,24 @@ def stem_counts(train: DataFrame) -> DataFrame:
             counts: dict[bytes, list[int]] = {}
             for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
                 words = set(_words(text))
-                stems = {w[:k] for w in words for k in STEM if len(w) >= k}
+                stems = {w[:k] for w in words for k in STEM if len(w) >= k} | {w + WHOLE for w in words if len(w) < STEM.start}
                 for s in stems:
                     counts.setdefault(s, [0, 0])[0 if y else 1] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())], ["stem", "toxic", "clean"])
     return train.transform(in_batches, run, "stem binary, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def choose_lexicon(candidates: list[tuple[bytes, int, int]], toxic: int, clean: int, size: int = LEXICON) -> dict[bytes, float]:
+def choose_lexicon(candidates: list[tuple[bytes, int, int]], toxic: int, clean: int) -> dict[bytes, float]:
     """Stems by falling evidence; a stem that a chosen one begins, or that begins a chosen one, adds nothing."""
     weigh = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
     scored = sorted(((weigh(t, c) * t, -len(s), s, weigh(t, c)) for s, t, c in candidates), reverse=True)
     chosen: dict[bytes, float] = {}
+    beginnings: set[bytes] = set()
     for _, _, stem, weight in scored:
-        if not any(stem.startswith(x) or x.startswith(stem) for x in chosen):
+        parts = {stem[:k] for k in range(STEM.start, len(stem) + 1)} | {stem}
+        if stem not in beginnings and chosen.keys().isdisjoint(parts):
             chosen[stem] = weight
-            if len(chosen) == size:
-                break
+            beginnings |= parts
     return chosen
 
 
@@ -111,46 +120,124 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
 
 # ---- the grammar ------------------------------------------------------------
 
+class Transducer:
+    """A sequential weighted transducer: (state, symbol) gives (state, symbol out, factor); an accepting state a final factor.
+
+    A symbol without a transition stays itself, at factor 1, in the same state.
+    """
+
+    def __init__(self, start, steps: dict, final: dict):
+        self.start, self.steps, self.final = start, steps, final
+
+    def step(self, state, symbol: str):
+        return self.steps.get((state, symbol), (state, symbol, 1.0))
+
+    def compose(self, other: Transducer, alphabet: str) -> Transducer:
+        """``other`` reads what this one writes; only pairs of states that can be reached are built."""
+        start = (self.start, other.start)
+        steps, final, open_pairs, seen = {}, {}, [start], {start}
+        while open_pairs:
+            pair = open_pairs.pop()
+            a, b = pair
+            final[pair] = self.final[a] * other.final[b]
+            for symbol in alphabet:
+                to_a, middle, x = self.step(a, symbol)
+                to_b, out, y = other.step(b, middle)
+                steps[pair, symbol] = ((to_a, to_b), out, x * y)
+                if (to_a, to_b) not in seen:
+                    seen.add((to_a, to_b))
+                    open_pairs.append((to_a, to_b))
+        return Transducer(start, steps, final)
+
+
+# Symbols: an insult, a threat, their negated forms, a target, a negation, a reported-speech mark, any other word.
+INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITYNRO"
+NEGATED = {INSULT: "i", THREAT: "t"}
+AIMED, WEAKENED, QUOTED = 1.25, 0.3, 0.5  # factors of a target, a negation, reported speech
+REACH = 2  # words that a negation reaches
+
+
+def negation_machine() -> Transducer:
+    """Counts down from a negation; insults and threats within reach come out negated, at a lower weight."""
+    steps = {}
+    for left in range(REACH + 1):
+        steps[left, NEGATION] = (REACH, OTHER, 1.0)
+        if left:
+            steps.update({(left, s): (left - 1, s, 1.0) for s in (TARGET, REPORT, OTHER)})
+            steps.update({(left, s): (left - 1, NEGATED[s], WEAKENED) for s in NEGATED})
+    return Transducer(0, steps, {left: 1.0 for left in range(REACH + 1)})
+
+
+def report_machine() -> Transducer:
+    """Weakens a clause that reports speech."""
+    return Transducer("direct", {(s, REPORT): ("reported", OTHER, 1.0) for s in ("direct", "reported")}, {"direct": 1.0, "reported": QUOTED})
+
+
+def match_machine() -> Transducer:
+    """Accepts a clause with an insult, or with a threat and a target it is aimed at; a target raises the weight.
+
+    A state is the set of what the clause has had.
+    """
+    states = [frozenset(x for j, x in enumerate((INSULT, THREAT, TARGET)) if k >> j & 1) for k in range(8)]
+    kinds = {INSULT: INSULT, "i": INSULT, THREAT: THREAT, "t": THREAT, TARGET: TARGET}
+    steps = {(state, s): (state | {kind}, s, 1.0) for state in states for s, kind in kinds.items()}
+    accepts = lambda state: INSULT in state or {THREAT, TARGET} <= state
+    return Transducer(frozenset(), steps, {state: accepts(state) * (AIMED if TARGET in state else 1.0) for state in states})
+
+
+def clause_machine() -> Transducer:
+    """The composition of the three, over the symbols of the lexicon."""
+    alphabet = INSULT + THREAT + TARGET + NEGATION + REPORT + OTHER
+    return negation_machine().compose(report_machine(), alphabet).compose(match_machine(), alphabet)
+
+
 class Grammar:
-    """Transducers over word classes, composed on the words of one clause."""
+    """The lexicon, itself a transducer from words to symbols with weights, and the composed machine that reads these."""
 
-    TARGET, NEGATED, REPORTED, THREAT = 1.25, 0.3, 0.5, 4.0
-    REACH = 2  # words that a negation reaches
+    THREAT_WEIGHT = 4.0
 
     def __init__(self, lexicon: dict[bytes, float]):
         self.lexicon = lexicon
-        self.sizes = sorted({len(s) for s in lexicon}, reverse=True)
-        fixed = [w.encode() for w in THREATS]
+        self.sizes = sorted({len(s) for s in lexicon if s[-1:] != WHOLE}, reverse=True)
+        self.fixed = {w.encode(): symbol for symbol, words in ((THREAT, THREATS), (TARGET, TARGETS), (REPORT, REPORTS), (NEGATION, NEGATIONS)) for w in words}
         # First bytes of any insult or threat: most documents need nothing more.
-        self.heads = {s[:4] for s in [*lexicon, *fixed]}
-        self.threats = set(fixed)
+        self.heads = {s.rstrip(WHOLE)[:4] for s in [*lexicon, *(w for w, s in self.fixed.items() if s == THREAT)]}
+        machine = clause_machine()
+        number = {state: i for i, state in enumerate(machine.final)}
+        self.start, self.final = number[machine.start], list(machine.final.values())
+        self.steps: list[dict[str, tuple[int, float]]] = [{} for _ in number]
+        for (state, symbol), (to, _, factor) in machine.steps.items():
+            self.steps[number[state]][symbol] = (number[to], factor)
 
     def insult(self, word: bytes) -> float:
+        if len(word) < STEM.start:
+            return self.lexicon.get(word + WHOLE, 0.0)
         for n in self.sizes:
             if len(word) >= n and word[:n] in self.lexicon:
                 return self.lexicon[word[:n]]
         return 0.0
 
+    def symbol(self, word: bytes) -> tuple[str, float]:
+        """A word's symbol and weight. Function words are never insults; a threat is one that the lexicon has not learned."""
+        fixed = self.fixed.get(word, OTHER)
+        if fixed in (TARGET, REPORT, NEGATION):
+            return fixed, 0.0
+        weight = self.insult(word)
+        if weight:
+            return INSULT, weight
+        return (THREAT, self.THREAT_WEIGHT) if fixed == THREAT else (OTHER, 0.0)
+
     def clause(self, words: list[bytes]) -> tuple[float, int, int]:
-        """Weight, insults and threats of one clause; weight 0 where nothing matches."""
-        weight, insults, threats, target, reported, negated = 0.0, 0, 0, False, False, -self.REACH - 1
-        for i, w in enumerate(words):
-            text = w.decode()
-            if text in NEGATIONS:
-                negated = i
-            elif text in REPORTS:
-                reported = True
-            elif text in TARGETS:
-                target = True
-            else:
-                x = self.insult(w)
-                insults += x > 0
-                if x == 0 and w in self.threats:
-                    x, threats = self.THREAT, threats + 1
-                weight += x * (self.NEGATED if i - negated <= self.REACH else 1.0)
-        if threats and not target and not insults:  # a threat needs someone it is aimed at
-            return 0.0, 0, 0
-        return weight * (self.TARGET if target else 1.0) * (self.REPORTED if reported else 1.0), insults, threats
+        """Weight, insults and threats of one clause; weight 0 where the machine does not accept it."""
+        state, total, insults, threats = self.start, 0.0, 0, 0
+        for w in words:
+            symbol, weight = self.symbol(w)
+            state, factor = self.steps[state][symbol]
+            total += weight * factor
+            insults += symbol == INSULT
+            threats += symbol == THREAT
+        total *= self.final[state]
+        return (total, insults, threats) if total else (0.0, 0, 0)
 
     def features(self, text: str | None) -> list[float]:
         data = (text or "").encode()
@@ -165,7 +252,7 @@ class Grammar:
             if weight:
                 total, largest, clauses = total + weight, max(largest, weight), clauses + 1
                 found, threats = found + insults, threats + t
-        return [min(total, 60.0) / 10, min(largest, 20.0) / 5, math.log1p(clauses), min(1.0, 50.0 * (found + threats) / len(words)), math.log1p(threats), float(clauses > 0)]
+        return [math.log1p(total), math.log1p(largest), math.log1p(clauses), min(1.0, 50.0 * (found + threats) / len(words)), math.log1p(threats), float(clauses > 0)]
 
 
 def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Grammar, np.ndarray]:
@@ -176,8 +263,11 @@ def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> t
         return Grammar({}), np.array([math.log(0.1 / 0.9), *[0.0] * len(FEATURES)])
     t, c = n["t"], n["n"] - n["t"]
     lift = F.log((F.col("toxic") + 0.5) / (t + 1)) - F.log((F.col("clean") + 0.5) / (c + 1))
-    stems = (stem_counts(train).where((F.col("toxic") >= max(MIN_TOXIC, 0.005 * t)) & (lift >= MIN_LIFT))
-             .orderBy(F.desc(lift * F.col("toxic")), "stem").limit(20 * LEXICON).collect())
+    seen = F.col("toxic") + F.col("clean")
+    term = lambda x, share: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (seen * share))).otherwise(0.0)
+    evidence = 2 * (term("toxic", t / n["n"]) + term("clean", c / n["n"]))
+    stems = (stem_counts(train).where((F.col("toxic") >= MIN_TOXIC) & (lift >= MIN_LIFT) & (evidence >= MIN_EVIDENCE))
+             .orderBy(F.desc(lift * F.col("toxic")), "stem").limit(LEXICON).collect())
     grammar = Grammar(choose_lexicon([(bytes(r["stem"]), r["toxic"], r["clean"]) for r in stems], t, c))
     sample = features(train, grammar, ["toxic"]).toPandas()  # at most ``rows`` rows of seven numbers
     return grammar, fit_logistic(sample[FEATURES].to_numpy(), sample["toxic"].to_numpy(dtype=float))
