@@ -40,7 +40,7 @@ END_ID = 2
 LIMIT = 18
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
-CACHE_WORDS = 1 << 17  # words and pieces kept by a worker; a pass takes 8 bytes of text for each
+CACHE_WORDS = 1 << 18  # words and pieces that a worker keeps, also for its next task
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -55,9 +55,23 @@ class Ragged:
         self.numbers: dict[str, int] = defaultdict(count().__next__)
         self.first = np.zeros(1, dtype=np.int64)  # where each key's run begins, and the end
         self.ids = np.zeros(0, dtype="<u2")
+        self.used = np.zeros(0, dtype=np.int64)  # how often each key was asked for
 
     def number(self, keys: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.numbers.__getitem__, keys), dtype=np.int64, count=len(keys))
+        numbers = np.fromiter(map(self.numbers.__getitem__, keys), dtype=np.int64, count=len(keys))
+        self.used = np.bincount(numbers, minlength=len(self.numbers)) + np.pad(self.used, (0, len(self.numbers) - len(self.used)))
+        return numbers
+
+    def shrunk(self, most: int) -> Ragged:
+        """The ``most`` keys asked for most often, at least twice, with half their uses."""
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:most])
+        kept = kept[self.used[kept] > 1]
+        keys, out = list(self.numbers), Ragged()
+        for k in kept:
+            out.numbers[keys[k]]  # noqa: B018 (numbers the key)
+        out.add(*self.runs(kept))
+        out.used = self.used[kept] // 2
+        return out
 
     def unseen(self) -> list[str]:
         """Keys that have a number but no run yet, in the order of their numbers."""
@@ -101,7 +115,8 @@ class Encoder:
         self.words, self.pieces = Ragged(), Ragged()
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+        # The batch call without offsets: the same ids for less time.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 4096):
@@ -119,7 +134,7 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         if len(self.pieces.numbers) > self.cache_words:
-            self.pieces = Ragged()
+            self.pieces = self.pieces.shrunk(self.cache_words // 2)
         numbers = self.pieces.number(self.PIECE.findall("".join([w + self.BREAK for w in words])))
         self._learn_pieces(self.pieces.unseen())
         ids, sizes = self.pieces.runs(numbers)
@@ -131,7 +146,7 @@ class Encoder:
         plain = [not t or not self.PLAIN.search(t) for t in texts]
         split = [(t or "").lower().split() for t, p in zip(texts, plain, strict=True) if p]
         if len(self.words.numbers) > self.cache_words:
-            self.words = Ragged()
+            self.words = self.words.shrunk(self.cache_words // 2)
         numbers = self.words.number(list(chain.from_iterable(split)))
         if len(self.words.numbers) >= len(self.words.first):
             self._learn(self.words.unseen())
@@ -152,10 +167,9 @@ def tokenised(docs: DataFrame, path: str, cache_words: int = CACHE_WORDS) -> Dat
 
     def run(batches):
         e = encoder(path, cache_words)
-        for b in slices(batches, limit=8 * cache_words):
+        for b in slices(batches, limit=min(8 * cache_words, 1 << 20)):
             ids = [x + end for x in e.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
-        encoder.cache_clear()  # workers outlive a stage
     return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, n_tokens long, ids binary")
 
 

@@ -296,3 +296,18 @@ def test_empty_tables(documents, spark):
                 decontaminate.contamination(docs, bench), mixing.mix(docs), mixing.mixed_documents(docs), spotsigs.fingerprints_with_edits(docs), licenses.license_scan(docs), toxicity.toxicity(docs, labels),
                 html_wrapper.main_text(spark.createDataFrame([], "page_id long, url string, html string"))):
         assert out.count() == 0
+
+
+def test_encoder_cache_keeps_ids_right():
+    """A cache far too small for the words: recurring ones are kept, all ids stay the library's."""
+    from tokenizers import Tokenizer
+
+    from tests.llm.conftest import words
+    path = token_files.tokenizer_path()
+    tokenizer, e = Tokenizer.from_file(path), token_files.Encoder(path, cache_words=50)
+    common = "the and it's of 12 x-y\n"
+    for i in range(12):
+        texts = [common * 3 + words(500 + 2 * i + j, 40) for j in range(2)] + [None, "", "中文 <|endoftext|>"]
+        got = [np.frombuffer(x, dtype="<u2").tolist() for x in e.encode(texts)]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert "the" in e.words.shrunk(25).numbers and len(e.words.shrunk(25).numbers) <= 25
