@@ -40,7 +40,7 @@ END_ID = 2
 LIMIT = 18
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
-CACHE_WORDS = 1 << 18  # words and pieces that a worker keeps, also for its next task
+CACHE_WORDS = 1 << 20  # words and pieces that a worker keeps (some 300 MB), also for its next task
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
