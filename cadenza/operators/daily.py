@@ -28,6 +28,7 @@ from cadenza.functions.common import round6
 from cadenza.operators.reports import _date, _json_counts
 from cadenza.schemas import PLATFORMS_A
 from cadenza.session import checkpoint_path
+from cadenza.sources.tables import TASK_ROWS
 
 KEYS = ["level", "k1", "k2", "analysis_date"]
 COUNTED = {"plays": "play", "skips": "skip", "likes": "like", "shares": "share", "adds": "playlist_add"}
@@ -111,7 +112,13 @@ def daily_tables(raw: DataFrame, trend_days: int = 7) -> dict[str, DataFrame]:
     path = checkpoint_path(spark, f"daily-levels-{uuid.uuid4().hex}")
     levels = daily_levels(raw)
     # The folder names the level; rows of a day lie together as far as the aggregation left them so.
-    levels.write.partitionBy("level").parquet(path)
+    # Both aggregations get a partition for every TASK_ROWS events at least, so that none outgrows its task.
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", max(int(own), -(-raw.count() // TASK_ROWS)))
+    try:
+        levels.write.partitionBy("level").parquet(path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
     stored = spark.read.schema(levels.schema).parquet(path)
     rate = lambda a, b: round6(F.col(a) / F.nullif(F.col(b), F.lit(0)))
     pick = lambda level: stored.where(F.col("level") == level)
