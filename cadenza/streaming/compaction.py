@@ -26,6 +26,9 @@ from cadenza.streaming import pipeline
 
 TARGET_BYTES = 128 << 20
 TAIL = 16
+# Folder bytes that one task of a compaction sorts: the ranges are cut by a sample that
+# the driver holds, whose size follows from the number of tasks, not of files.
+TASK_BYTES = 16 << 20
 
 
 def _path(spark: SparkSession, path: str):
@@ -84,9 +87,11 @@ def compact(spark: SparkSession, root: str, table: str, target_bytes: int = TARG
         *[f"{root}/{table}/event_date={d}/batch_id={b}" for d, b, _ in plan])
     keys = ["event_date", "hi", *(c for c in [*sinks.CLUSTER_BY.get(table, []), "event_id"] if c in rows.columns)]
     files = max(1, -(-size // target_bytes))
+    tasks = min(files, max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+    per_file = max(1, rows.count() * target_bytes // max(1, size))  # rows in target_bytes; the count reads footers only
     (rows.join(F.broadcast(where), ["event_date", "batch_id"]).drop("batch_id")  # one row a folder
-     .repartitionByRange(files, *keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "hi").parquet(f"{root}/{table}__packed"))
+     .repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+     .write.option("maxRecordsPerFile", per_file).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "hi").parquet(f"{root}/{table}__packed"))
     found = where.groupBy("event_date", "hi").agg(F.min("batch_id").alias("lo")).persist()
     found.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "hi").parquet(f"{root}/{table}__bins")
     return found.count()
