@@ -154,7 +154,7 @@ def file_events(text: Column) -> Column:
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False,
-                 max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None, archive_dir: str | None = None,
                  whole_files: bool = False, envelope: bool = False, redrive: str | None = None) -> DataFrame:
     """Messages parsed at the scan, batch or stream.
 
@@ -164,11 +164,15 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     (the envelope, where that cannot be unwrapped), so a dead letter always
     has its message and the business rules can look at the text. Blank lines
     are no messages. ``attempt`` is 1, or the number that a message carries that
-    comes back from the ``redrive`` folder (V13).
+    comes back from the ``redrive`` folder (V13). A micro-batch of a stream takes
+    ``max_files_per_trigger`` files, or else as many as hold ``max_bytes_per_trigger``
+    (one at least); of the redrive folder always the latter.
     """
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif streaming and max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if streaming and archive_dir:
         # S3: move each fully processed input file to the archive folder
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
@@ -179,6 +183,8 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     lines = lines.where(F.col("value").rlike(r"\S"))
     if redrive:
         back = spark.readStream if streaming else spark.read
+        if streaming and max_bytes_per_trigger:
+            back = back.option("maxBytesPerTrigger", max_bytes_per_trigger)
         lines = lines.unionByName(back.schema(REDRIVE).option("recursiveFileLookup", "true").json(redrive))
     if envelope:
         rest = [c for c in lines.columns if c != "value"]

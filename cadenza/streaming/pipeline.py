@@ -44,6 +44,9 @@ DEFAULT_WATERMARK = "1 day"
 REDELIVERY = "7 days"
 MAX_ATTEMPTS = 5
 # -------------------------------------------------------------------------------------
+# Message bytes of a micro-batch without a number of files: the state has a fixed number of
+# partitions, so the batch, not the input, decides what one task reads.
+BATCH_BYTES = 4 << 30
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -53,7 +56,8 @@ def event_stream(spark: SparkSession, landing: str, max_files_per_trigger: int |
     ``source`` are options of ``messages.read_landing``: whole files, an archive
     folder, envelopes, a redrive folder.
     """
-    src = messages.read_landing(spark, landing, EVENT_A, streaming=True, max_files_per_trigger=max_files_per_trigger, **source)
+    src = messages.read_landing(spark, landing, EVENT_A, streaming=True, max_files_per_trigger=max_files_per_trigger,
+                                **{"max_bytes_per_trigger": BATCH_BYTES, **source})
     return validate.validate(src.withColumn("received_at", F.current_timestamp()))
 
 
@@ -66,15 +70,21 @@ def raw_stream(checked: DataFrame, redelivery: str | None = None) -> DataFrame:
 
 
 def delivered_once(checked: DataFrame, redelivery: str = REDELIVERY) -> DataFrame:
-    """Valid events whose id has not arrived within ``redelivery``; every invalid message."""
+    """Valid events whose id has not arrived within ``redelivery``; every invalid message.
+
+    All columns are shuffled to the state, so a valid event goes on without its text, unless
+    that stands in for its id; otherwise only failed messages need theirs.
+    """
     valid_id = F.coalesce("event_id", validate.message_uuid(F.col("raw_value")))
     return (checked.withColumn("_delivery", F.when(F.col("is_valid"), F.concat(F.lit("event:"), valid_id)).otherwise(F.expr("uuid()")))
+            .withColumn("raw_value", F.when(~F.col("is_valid") | F.col("event_id").isNull(), F.col("raw_value")))
             .withWatermark("received_at", redelivery).dropDuplicatesWithinWatermark(["_delivery"]).drop("_delivery"))
 
 
 def simple_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None, **source) -> DataFrame:
     """L2's input: shape B messages, loosely parsed, with ``errors`` and ``is_valid`` (V2 refuses only what is no JSON)."""
-    src = messages.read_landing(spark, landing, EVENT_B, streaming=True, max_files_per_trigger=max_files_per_trigger, **source)
+    src = messages.read_landing(spark, landing, EVENT_B, streaming=True, max_files_per_trigger=max_files_per_trigger,
+                                **{"max_bytes_per_trigger": BATCH_BYTES, **source})
     return (src.withColumn("received_at", F.current_timestamp())
             .withColumn("errors", F.when(F.col("parse_ok"), F.array().cast("array<string>")).otherwise(F.array(F.lit("parse_error"))))
             .withColumn("is_valid", F.col("parse_ok")))
@@ -126,6 +136,7 @@ def sustained_alerts(failures: DataFrame, per_second: float = 10.0, minutes: int
 FULL_OUTPUTS = ("raw", "topics", "enriched", "metrics")
 SIMPLE_OUTPUTS = ("processed", "metrics")
 SIMPLE_METRICS = ("engagement", "genre", "platform")
+METRIC_COLUMNS = ("event_id", "timestamp", "user_id", "track_id", "engagement_score", "platform", "event_type")
 
 
 def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1, distinct: str = "exact",
@@ -141,7 +152,7 @@ def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
         batch = batch.persist()
         try:
             good, bad = validate.split_valid(batch)
-            good = good.drop("received_at").persist()
+            good = good.drop("received_at")
             raw = sinks.with_event_date(raw_music_events(good, ["batch_file"]))
             if "raw" in outputs:
                 sinks.write_batch(raw.drop("batch_file"), out_root, "raw_music_events", batch_id, ["event_date"])
@@ -153,10 +164,11 @@ def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
             _write_failed(bad, out_root, batch_id, attempts)
             if "metrics" in outputs:
                 metric = window_state.event_metrics(distinct)
-                in_time = window_state.split_late(raw, "timestamp", metric.duration, lateness, out_root, batch_id)
+                counted = raw.select(*METRIC_COLUMNS).persist()  # read several times
+                in_time = window_state.split_late(counted, "timestamp", metric.duration, lateness, out_root, batch_id)
                 window_state.update(in_time, metric, out_root, batch_id)
+                counted.unpersist()
             _commit(batch.sparkSession, out_root, batch_id)
-            good.unpersist()
         finally:
             batch.unpersist()
     return run
@@ -244,6 +256,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")  # a lookup less for each row kept
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     return own
 
