@@ -302,41 +302,48 @@ def landed_b(spark: SparkSession, sf_dir: str) -> str:
     return messages.land_text(messages.to_json_text(nested_events_b(read_events(spark, sf_dir))), path)
 
 
-# Files of one delivery, and of one micro-batch.
+# Files of one delivery, and of one micro-batch; where deliveries are large, as many more
+# as hold about FILE_MESSAGES each.
 DELIVERY_FILES = 2
+FILE_MESSAGES = 20_000
 
 
-def deliveries(spark: SparkSession, sf_dir: str, to_text) -> str:
+def deliveries(spark: SparkSession, sf_dir: str, to_text) -> tuple[str, int]:
     """A landing of four deliveries, the second eight days of a month first, then the first,
     the last and the third; each brings every tenth event of the one before once more.
 
     ``to_text`` makes messages of events rows. A file holds rows of one delivery only,
-    and files are read in the order in which they were written.
+    and files are read in the order in which they were written. Returns the landing and
+    the number of files that each delivery has.
     """
     path = fresh_dir(spark, "deliveries")
     events = read_events(spark, sf_dir)
     quarter = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    sizes = [r["count"] for r in read_table(spark, sf_dir, "events").groupBy(quarter).count().collect()]  # at most five rows
+    files = max(DELIVERY_FILES, min(sum(sizes) // (4 * FILE_MESSAGES), min(sizes, default=0) // 1000))  # no file without rows
     before = None
     for q in (1, 0, 3, 2):
         own = quarter == q
         rows = events.where(own if before is None else own | (quarter == before) & (F.col("event_id") % 10 == 0))
-        to_text(rows).repartition(DELIVERY_FILES).write.mode("append").text(path)
+        to_text(rows.repartition(files)).write.mode("append").text(path)
         before = q
-    return path
+    return path, files
 
 
-def landed_deliveries_a(spark: SparkSession, sf_dir: str) -> str:
+def landed_deliveries_a(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     return deliveries(spark, sf_dir, messages.damaged_messages)
 
 
-def landed_deliveries_b(spark: SparkSession, sf_dir: str) -> str:
+def landed_deliveries_b(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     return deliveries(spark, sf_dir, lambda rows: messages.to_json_text(nested_events_b(rows)))
 
 
-def streamed(spark: SparkSession, start, landing: str, **kwargs) -> str:
-    """The tables of a pipeline that has read all of a landing, a delivery a batch."""
+def streamed(spark: SparkSession, start, landed: tuple[str, int | None], **kwargs) -> str:
+    """The tables of a pipeline that has read all of a landing, so many files a batch: a delivery, or without
+    a number as many as the pipeline's bound in bytes admits."""
     out = fresh_dir(spark, "stream")
-    stream.drain(start, spark, landing, out, max_files_per_trigger=DELIVERY_FILES, **kwargs)
+    landing, files = landed
+    stream.drain(start, spark, landing, out, max_files_per_trigger=files, **kwargs)
     return out
 
 
@@ -406,7 +413,7 @@ def q_compacted_platform_performance(spark, sf_dir):
 @register("delivery_attempts")
 def q_delivery_attempts(spark, sf_dir):
     # How often the messages of each error came back before they were given up
-    out = streamed(spark, stream.start_full_pipeline, landed_a_path(spark, sf_dir), outputs=[], attempts=stream.MAX_ATTEMPTS)
+    out = streamed(spark, stream.start_full_pipeline, (landed_a_path(spark, sf_dir), None), outputs=[], attempts=stream.MAX_ATTEMPTS)
     log = sinks.read_batches(spark, out, "attempts").groupBy("message_id", F.element_at("errors", 1).alias("error_code")).agg(
         F.count("*").alias("attempts"), F.max("attempt").alias("last_attempt"), F.count_if("final").alias("finals"))
     dead = sinks.read_batches(spark, out, "dead_letters").where(F.col("raw_value").isNotNull()).groupBy(
