@@ -99,9 +99,9 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
     row), else if it also starts anywhere else.
     """
     # Stored, so that both sides of the joins on g come from a shuffle and a hot g is split.
-    grams = stored(span_table(docs, units, length, gram, only_gram=True).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")
-    held = stored(span_table(docs, units, length, gram).join(grams, "g", "left_semi"), "spans")
-    classes = stored(held.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "start", "count")).alias("m")), "classes")
+    grams = stored(span_table(docs, units, length, gram, only_gram=True).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams", "zstd")
+    held = stored(span_table(docs, units, length, gram).join(grams, "g", "left_semi"), "spans", "zstd")
+    classes = stored(held.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "start", "count")).alias("m")), "classes", "zstd")
     if earlier_only:
         sure = held.join(classes.where("n > 1").select("g", "h", "m"), ["g", "h"]).where(
             (F.col("row_id") != F.col("m.row_id")) | (F.col("start") != F.col("m.start")))
@@ -109,10 +109,10 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
         sure = held.join(classes.where("n > 1").select("g", "h"), ["g", "h"], "left_semi")
     sure = sure.select("row_id", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1).alias("b"))
 
-    several = stored(classes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g"), "several")
+    several = stored(classes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g"), "several", "zstd")
     ends = classes.join(several, "g", "left_semi").select("m.*", "g").groupBy("row_id").agg(
         F.collect_list(F.struct("start", "count", "g")).alias("open"))
-    windows = stored(window_table(docs.join(ends, "row_id"), units, length, gram), "windows")
+    windows = stored(window_table(docs.join(ends, "row_id"), units, length, gram), "windows", "zstd")
     if earlier_only:
         same = windows.groupBy("g", "w").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "place")).alias("m")).where("n > 1").drop("n")
         single = windows.join(same, ["g", "w"]).where((F.col("row_id") != F.col("m.row_id")) | (F.col("place") != F.col("m.place")))
