@@ -1,6 +1,7 @@
 """Operators against brute force, on a small corpus with every awkward case."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -288,6 +289,32 @@ def test_container_counts_all_pages_of_a_host(spark):
     assert [tuple(r) for r in got] == [("h.example", "div.new")]
 
 
+def test_wrapper_decides_between_containers_of_one_label(spark):
+    """Menu and text lie in a bare div each; only their places in the host's wrapper tell them apart. Half of the pages have no menu."""
+    menu = "<div><ul><li>Go {}</li><li>To {}</li></ul></div><h2>Now</h2>"
+    page = "<body>{}<div><h3>Text</h3>{}</div></body>"
+    rows = [(i, "https://h.example/x", page.format(menu.format(i, -i) if i % 2 else "", "".join(f"<p>Part {j} of {i}" for j in range(1 + i % 3)))) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_wrapper.main_text(pages).collect()}
+    assert got == {i: "\n".join(["Text", *(f"Part {j} of {i}" for j in range(1 + i % 3))]) for i in range(40)}
+
+
+def test_wrapper_of_more_streams_than_one_task_takes(spark):
+    """Every page matches its host's wrapper in every label, in whatever order its parts come."""
+    heads = [f"h{1 + i % 6}" for i in range(6)]
+    bodies = ["".join(f"<{h}>x</{h}>" for h in itertools.islice(itertools.permutations(heads, 3), i, i + 1) for h in h) for i in range(80)]
+    rows = [(i, "https://h.example/x", f"<body><div class=a>{b}</div><div class=b>{i}</div></body>") for i, b in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    (found,) = html_wrapper.host_wrappers(pages).collect()
+    wrapper = html_wrapper.loads(found["wrapper"])
+    assert len({r[2] for r in rows}) > 2 * html_wrapper.FAN and any(optional for _, optional in wrapper)
+    for _, _, p in rows:
+        _, stream = html_wrapper.texts(p)
+        ids = html_wrapper.match(wrapper, *html_wrapper.folded(stream, [[i] for i in range(len(stream))]))
+        assert [wrapper[int(ids[i])][0] for i in sorted(ids)] == [stream[i] for i in sorted(ids)]
+        assert ids[stream.index("div.a")] == str([x for x, _ in wrapper].index("div.a"))
+
+
 def test_empty_tables(documents, spark):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
