@@ -18,6 +18,7 @@ SLICE_BYTES = 1 << 18
 # Rows handed to Python at a time: whole texts are wide, and every task holds a
 # batch on both sides of the pipe outside the JVM's heap.
 ARROW_ROWS = 250
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: cuts the lineage, and a lost executor costs no recomputation."""
+    back: cuts the lineage, and a lost executor costs no recomputation. The
+    shuffles of the write are removed with its end."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=codec)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -120,7 +120,8 @@ def repeated_ranges(docs: DataFrame, units: Units, length: int, gram: int, earli
         same = windows.groupBy("g", "w").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         single = windows.join(same, ["g", "w"], "left_semi")
     single = single.select("row_id", F.col("place").alias("a"), F.col("place").alias("b"))
-    return sure.unionByName(single).groupBy("row_id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    # Stored, so that the shuffles of these joins are gone when the texts are shuffled.
+    return stored(sure.unionByName(single).groupBy("row_id").agg(F.collect_list(F.struct("a", "b")).alias("ranges")), "ranges", "zstd")
 
 
 def runs_of(ranges: pa.Array, i: int, length: int) -> tuple[np.ndarray, np.ndarray]:
