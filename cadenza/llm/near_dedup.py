@@ -178,13 +178,13 @@ def _different(posts: DataFrame) -> DataFrame:
 
 
 def _mixed_lists(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """v, node, n, component, largest (component of most members) of the lists that several components share."""
+    """v, node, n, component, largest (component of most members), others (members outside it) of the lists that several components share."""
     if found is None:
         placed = members.withColumn("component", F.col("node"))
     else:
         placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     held = placed.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(
-        F.count("*").alias("groups"), F.max_by("component", F.struct("c", "component")).alias("largest")).where("groups > 1")
+        F.count("*").alias("groups"), F.max_by("component", F.struct("c", "component")).alias("largest"), (F.sum("c") - F.max("c")).alias("others")).where("groups > 1")
     return placed.join(held.drop("groups"), "v")
 
 
@@ -224,16 +224,17 @@ def _labelled(docs: DataFrame, threshold: float, k: int, width: int, long_list:
     posts = stored(short.unionByName(_rarest(docs, crowd, threshold, width)), "posts")
     members = stored(_different(posts).join(nodes.select("node", "parity"), "node"), "lists")
     bound = WORK * members.count()
-    links = found = tried = None
+    found = tried = None
     for turn in range(TURNS):
         mixed = stored(_mixed_lists(members, found), "mixed")
-        work = mixed.groupBy("v").agg((F.count("*") * F.count_if(F.col("component") != F.col("largest"))).alias("w")).agg(F.sum("w")).first()[0] or 0
+        work = mixed.agg(F.sum("others")).first()[0] or 0  # members of a list times those outside its largest component
         last = work <= bound or turn == TURNS - 1
         pairs = _across(mixed, threshold) if last else _to_pivots(mixed, turn, threshold)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = verified(docs, nodes, pairs, threshold, k, width)
-        links = stored(new if links is None else links.unionByName(new), "links")
+        # What is joined already is as good as its stars.
+        links = stored(new if found is None else new.unionByName(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
         found = stored(components(links), "found")
         if last:
             break
