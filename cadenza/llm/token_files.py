@@ -19,20 +19,21 @@ Extra columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, count, islice, pairwise
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import in_batches, slices, stored
+from cadenza.llm.token_alignment import byte_alphabet
 from cadenza.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -40,7 +41,8 @@ END_ID = 2
 LIMIT = 18
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 17
-CACHE_WORDS = 1 << 20  # words and pieces that a worker keeps (some 300 MB), also for its next task
+TEXT_BYTES = 1 << 23  # text whose words are looked up at once
+CACHE_WORDS = 1 << 20  # pieces that a worker keeps (some 150 MB), also for its next task
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -48,6 +50,20 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def runs(ids: np.ndarray, first: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``numbers`` of ``ids`` one after the other, and their sizes; run k is from ``first[k]`` to ``first[k + 1]``."""
+    start = first[numbers]
+    sizes = first[numbers + 1] - start
+    ends = np.cumsum(sizes)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + sizes, sizes)
+    return ids[at], sizes
+
+
+def starts(sizes: np.ndarray | pa.Array) -> np.ndarray:
+    """Where each run begins, and the end of the last."""
+    return np.append(0, np.cumsum(sizes, dtype=np.int64))
+
+
 class Ragged:
     """Numbered keys, each with a run of 16-bit ids; a key not seen before gets the next number."""
 
@@ -57,9 +73,13 @@ class Ragged:
         self.ids = np.zeros(0, dtype="<u2")
         self.used = np.zeros(0, dtype=np.int64)  # how often each key was asked for
 
-    def number(self, keys: list[str]) -> np.ndarray:
-        numbers = np.fromiter(map(self.numbers.__getitem__, keys), dtype=np.int64, count=len(keys))
-        self.used = np.bincount(numbers, minlength=len(self.numbers)) + np.pad(self.used, (0, len(self.numbers) - len(self.used)))
+    def number(self, keys: pa.StringArray, times: np.ndarray) -> np.ndarray:
+        """Numbers of ``keys``, each asked for so many ``times``; each distinct one is looked up once."""
+        coded = keys.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
+        used = np.bincount(numbers, weights=times, minlength=len(self.numbers)).astype(np.int64)
+        self.used = used + np.pad(self.used, (0, len(self.numbers) - len(self.used)))
         return numbers
 
     def shrunk(self, most: int) -> Ragged:
@@ -82,78 +102,98 @@ class Ragged:
         self.ids = np.concatenate([self.ids, ids])
 
     def runs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The runs of ``numbers`` one after the other, and their sizes."""
-        start = self.first[numbers]
-        sizes = self.first[numbers + 1] - start
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + sizes, sizes)
-        return self.ids[at], sizes
+        return runs(self.ids, self.first, numbers)
 
 
 class Encoder:
-    """Exact ids of whole texts, with the words and pieces that recur kept in a bounded cache.
+    """Exact ids of whole texts, with the pieces that recur kept in a bounded cache.
 
     The tokenizer lower-cases, splits a text into pieces and merges inside
     each piece alone. Where a text holds only tab, line ends, printable ASCII
     and Latin-1 letters, and nothing that could be a special token, its pieces
-    are found here and only unseen ones go through the library; any other text
-    goes through it whole.
+    are found here and only unseen ones go through the library, by a copy of
+    the tokenizer that lower-cases and splits no more; any other text goes
+    through the whole tokenizer.
     """
 
-    PLAIN = re.compile("[^\t\n\r\x20-\x7e\xc0-\xff]|<\\|")
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+|\n")
-    BREAK = "\n"  # between words in a list of pieces; a piece without ids
+    ODD = r"[^\t\n\r\x20-\x7e\x{c0}-\x{ff}]|<\|"  # RE2
+    PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+"
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+        self.tokenizer, self.merger = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.merger.normalizer, self.merger.pre_tokenizer = None, WhitespaceSplit()
+        # The characters that stand for bytes in the vocabulary, and the space between pieces.
+        self.alphabet = np.zeros(256, dtype="<u2")
+        for char, byte in byte_alphabet().items():
+            self.alphabet[byte] = ord(char)
+        self.alphabet[ord(" ")] = ord(" ")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a piece
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words, self.pieces = Ragged(), Ragged()
+        self.words = Ragged()
 
-    def _ids(self, text: str) -> np.ndarray:
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
         # The batch call without offsets: the same ids for less time.
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at:at + 4096]
-            texts = [p for p in part if p != self.BREAK]
-            ids = self._ids(" ".join(texts))
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
+
+    def _merged(self, pieces: list[str]) -> np.ndarray:
+        spelt = self.alphabet[np.frombuffer(" ".join(pieces).encode(), dtype=np.uint8)]
+        return self._ids(self.merger, spelt.tobytes().decode("utf-16-le"))
+
+    def _learn(self, pieces: list[str]) -> None:
+        learnt = []
+        for at in range(0, len(pieces), 512):
+            part = pieces[at:at + 512]
+            texts = [p for p in part if p]
+            ids = self._merged(texts)
             last = np.flatnonzero(self.ends[ids])
             sizes = np.diff(last, prepend=-1)
             if len(last) != len(texts) or sizes.sum() != len(ids):  # no single end a piece: one by one
-                each = [self._ids(p) for p in texts]
+                each = [self._merged([p]) for p in texts]
                 ids, sizes = np.concatenate(each), np.array([len(x) for x in each])
-            if len(texts) < len(part):
-                sizes = np.insert(sizes, part.index(self.BREAK), 0)
-            self.pieces.add(ids, sizes)
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.pieces.numbers) > self.cache_words:
-            self.pieces = self.pieces.shrunk(self.cache_words // 2)
-        numbers = self.pieces.number(self.PIECE.findall("".join([w + self.BREAK for w in words])))
-        self._learn_pieces(self.pieces.unseen())
-        ids, sizes = self.pieces.runs(numbers)
-        breaks = np.flatnonzero(numbers == self.pieces.numbers[self.BREAK])
-        self.words.add(ids, np.diff(np.cumsum(sizes)[breaks], prepend=0))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+            if len(texts) < len(part):  # the empty piece between words
+                sizes = np.insert(sizes, part.index(""), 0)
+            learnt.append((ids, sizes))
+        self.words.add(*map(np.concatenate, zip(*learnt, strict=True)))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian 16-bit integers, without the end id."""
-        plain = [not t or not self.PLAIN.search(t) for t in texts]
-        split = [(t or "").lower().split() for t, p in zip(texts, plain, strict=True) if p]
+        texts = pa.compute.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        odd = pa.compute.match_substring_regex(texts, self.ODD)
+        split = pa.compute.ascii_split_whitespace(pa.compute.utf8_lower(texts.filter(pa.compute.invert(odd))))
+        words = split.flatten().dictionary_encode()
+        pieces = pa.compute.ascii_split_whitespace(pa.compute.replace_substring_regex(words.dictionary, self.PIECE, r"\0 "))
         if len(self.words.numbers) > self.cache_words:
             self.words = self.words.shrunk(self.cache_words // 2)
-        numbers = self.words.number(list(chain.from_iterable(split)))
-        if len(self.words.numbers) >= len(self.words.first):
-            self._learn(self.words.unseen())
+        places, n_pieces = words.indices.to_numpy(), pieces.value_lengths().to_numpy()
+        numbers = self.words.number(pieces.flatten(), np.repeat(np.bincount(places, minlength=len(n_pieces)), n_pieces))
+        if unseen := self.words.unseen():
+            self._learn(unseen)
+        # Ids of the distinct words from those of their pieces, ids of the texts from those of their words.
         ids, sizes = self.words.runs(numbers)
-        n_ids, n_words = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum([len(ws) for ws in split], dtype=np.int64))
-        known = (ids[a:b].tobytes() for a, b in pairwise(n_ids[n_words]))
-        return [next(known) if p else self._ids(t).tobytes() for t, p in zip(texts, plain, strict=True)]
+        ids, sizes = runs(ids, starts(sizes)[starts(n_pieces)], places)
+        cuts = starts(sizes)[starts(split.value_lengths())]
+        known = (ids[a:b].tobytes() for a, b in pairwise(cuts))
+        return [self._ids(self.tokenizer, t.as_py()).tobytes() if o else next(known) for t, o in zip(texts, odd.to_pylist(), strict=True)]
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``batches`` in new ones of about ``limit`` bytes of ``column``."""
+    held, size = [], 0
+    for b in slices(batches, column, limit):
+        n = pa.compute.sum(pa.compute.binary_length(b.column(column))).as_py() or 0
+        if held and size + n > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(b)
+        size += n
+    if held:
+        yield pa.concat_batches(held)
 
 
 @lru_cache(1)
@@ -167,8 +207,8 @@ def tokenised(docs: DataFrame, path: str, cache_words: int = CACHE_WORDS) -> Dat
 
     def run(batches):
         e = encoder(path, cache_words)
-        for b in slices(batches, limit=min(8 * cache_words, 1 << 20)):
-            ids = [x + end for x in e.encode(b.column("text").to_pylist())]
+        for b in gathered(batches, "text", min(8 * cache_words, TEXT_BYTES)):
+            ids = [x + end for x in e.encode(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
     return docs.select("doc_id", "text").transform(in_batches, run, "doc_id long, n_tokens long, ids binary")
 
@@ -250,18 +290,18 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
 
 def unpack(payload: bytes, offsets: np.ndarray, n: int, table_id: np.ndarray, table_length: np.ndarray, limit: int) -> np.ndarray:
     """The ``n`` ids of a block: all stretches between checkpoints advance together."""
-    data = np.frombuffer(payload + bytes(8), dtype=np.uint8).astype(np.uint32)
-    out = np.zeros((len(offsets), CHECKPOINT), dtype=np.uint16)
+    data = np.frombuffer(payload + bytes(8), dtype=np.uint8).astype(np.int64)
+    window = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]  # 32 bits from every byte on
+    out = np.zeros((CHECKPOINT, len(offsets)), dtype=np.uint16)
     at = offsets.astype(np.int64)
+    spare, mask = 32 - limit, (1 << limit) - 1
     last = n - (len(offsets) - 1) * CHECKPOINT if len(offsets) else 0
     for k in range(CHECKPOINT if len(offsets) > 1 else last):
         live = at if k < last else at[:-1]
-        byte = live >> 3
-        window = (data[byte] << 24) | (data[byte + 1] << 16) | (data[byte + 2] << 8) | data[byte + 3]
-        key = (window << (live & 7).astype(np.uint32)) >> np.uint32(32 - limit)
-        out[:len(live), k] = table_id[key]
+        key = window[live >> 3] >> (spare - (live & 7)) & mask
+        out[k, :len(live)] = table_id[key]
         live += table_length[key]
-    return out.reshape(-1)[:n]
+    return out.T.reshape(-1)[:n]
 
 
 def decode_table(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +311,7 @@ def decode_table(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarra
     repeat = 1 << (limit - lengths[order].astype(np.int64))
     ids, sizes = np.repeat(order, repeat), np.repeat(lengths[order], repeat)
     pad = (1 << limit) - len(ids)
-    return np.append(ids, np.zeros(pad, int)).astype(np.uint16), np.append(sizes, np.ones(pad, int)).astype(np.int64)
+    return np.append(ids, np.zeros(pad, int)).astype(np.uint16), np.append(sizes, np.ones(pad, int)).astype(np.uint8)
 
 
 def _code_of(codebook: DataFrame) -> np.ndarray:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -338,3 +339,27 @@ def test_encoder_cache_keeps_ids_right():
         got = [np.frombuffer(x, dtype="<u2").tolist() for x in e.encode(texts)]
         assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert "the" in e.words.shrunk(25).numbers and len(e.words.shrunk(25).numbers) <= 25
+
+
+def test_encoder_learns_each_piece_once(monkeypatch):
+    """Texts of an Arrow column: a piece met in any case, word or call goes through the library once, without the steps that split texts."""
+    from tokenizers import Tokenizer
+    path = token_files.tokenizer_path()
+    tokenizer, e = Tokenizer.from_file(path), token_files.Encoder(path)
+    learnt, merged = [], e._merged
+    monkeypatch.setattr(e, "_merged", lambda pieces: [learnt.extend(pieces), merged(pieces)][1])
+    latin = "".join(map(chr, range(0xc0, 0x100)))
+    texts = [f" It's the THE, don't''s x1y22 {latin} ×÷", "\r\n", None, "the\tÉÉ-the", latin.lower() + "'LL 'Re\n\n''tt", "\u0130 the\x0bcafe\u0301", "".join(map(chr, range(32, 127)))]
+    for _ in range(2):
+        got = [np.frombuffer(x, dtype="<u2").tolist() for x in e.encode(pa.array(texts, pa.string()))]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert e.merger.normalizer is None and len(learnt) == len(set(learnt)) and {"the", "'s", "'ll", "éé"} <= set(learnt)
+
+
+def test_batches_are_gathered_by_bytes():
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": ["ab" * (i % 5) if i % 7 else None for i in range(40)]})
+    out = list(token_files.gathered((rows.slice(i, 3) for i in range(0, 40, 3)), "text", 20))
+    assert pa.Table.from_batches(out) == pa.Table.from_batches([rows]) and len(out) < 14
+    assert all(sum(len(t or "") for t in b.column("text").to_pylist()) <= 20 for b in out)
+    assert [b.num_rows for b in token_files.gathered((rows.slice(i, 3) for i in range(0, 40, 3)), "text", 1000)] == [40]
+    assert list(token_files.gathered(iter([]), "text", 20)) == []
