@@ -19,7 +19,7 @@ from cadenza.functions.derive_full import derive_fields, raw_music_events
 from cadenza.functions.derive_simple import enrichment_input_b, loose_parse_b, processed_events
 from cadenza.operators import daily, enrich, lookups, metrics, reports, rules, validate
 from cadenza.schemas import EVENT_A
-from cadenza.session import checkpoint_path
+from cadenza.session import checkpoint_path, shuffles_removed
 from cadenza.sources import messages, sinks
 from cadenza.sources.adapter import flat_events_a, nested_events_a, nested_events_b, read_events
 from cadenza.sources.tables import read_table
@@ -118,9 +118,10 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.read_landing(spark, path, EVENT_A)
 
 
-def landed_a_path(spark: SparkSession, sf_dir: str) -> str:
+def landed_a_path(spark: SparkSession, sf_dir: str, packed: bool = False) -> str:
     path = fresh_dir(spark, "landing-a")
-    return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path)
+    with shuffles_removed(spark):
+        return messages.land_text(messages.damaged_messages(read_events(spark, sf_dir)), path, packed)
 
 
 def checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +414,8 @@ def q_compacted_platform_performance(spark, sf_dir):
 @register("delivery_attempts")
 def q_delivery_attempts(spark, sf_dir):
     # How often the messages of each error came back before they were given up
-    out = streamed(spark, stream.start_full_pipeline, (landed_a_path(spark, sf_dir), None), outputs=[], attempts=stream.MAX_ATTEMPTS)
+    out = streamed(spark, stream.start_full_pipeline, (landed_a_path(spark, sf_dir, packed=True), None), outputs=[],
+                   attempts=stream.MAX_ATTEMPTS, packed=True)
     log = sinks.read_batches(spark, out, "attempts").groupBy("message_id", F.element_at("errors", 1).alias("error_code")).agg(
         F.count("*").alias("attempts"), F.max("attempt").alias("last_attempt"), F.count_if("final").alias("finals"))
     dead = sinks.read_batches(spark, out, "dead_letters").where(F.col("raw_value").isNotNull()).groupBy(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# Has the shuffles of a statement (of a stream: those of a micro-batch) removed with its end;
+# otherwise they stay until the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Statements that run inside leave no shuffle files; their results must be stored by then."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir (streaming state, tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), name)

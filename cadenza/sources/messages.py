@@ -137,9 +137,14 @@ def write_json_events(df: DataFrame, path: str, mode: str = "overwrite") -> None
     df.write.mode(mode).options(**JSON_OPTIONS).json(path)
 
 
-def land_text(text: DataFrame, path: str) -> str:
-    """Write a ``value`` text column as a landing folder (one file per task), replacing what it held."""
-    text.write.mode("overwrite").text(path)
+# Folders of messages may be in gzip. A micro-batch that is bounded in bytes takes their text
+# as so many times the size of the files (12 times for the messages made here).
+PACKED = 16
+
+
+def land_text(text: DataFrame, path: str, packed: bool = False) -> str:
+    """Write a ``value`` text column as a landing folder (one file per task; ``packed``: in gzip), replacing what it held."""
+    text.write.mode("overwrite").text(path, compression="gzip" if packed else None)
     return path
 
 
@@ -155,7 +160,7 @@ def file_events(text: Column) -> Column:
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False,
                  max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None, archive_dir: str | None = None,
-                 whole_files: bool = False, envelope: bool = False, redrive: str | None = None) -> DataFrame:
+                 whole_files: bool = False, envelope: bool = False, redrive: str | None = None, packed: bool = False) -> DataFrame:
     """Messages parsed at the scan, batch or stream.
 
     A message is a line, or with ``whole_files`` an event of a file that holds
@@ -166,13 +171,15 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     are no messages. ``attempt`` is 1, or the number that a message carries that
     comes back from the ``redrive`` folder (V13). A micro-batch of a stream takes
     ``max_files_per_trigger`` files, or else as many as hold ``max_bytes_per_trigger``
-    (one at least); of the redrive folder always the latter.
+    (one at least); of the redrive folder always the latter. With ``packed`` the landing
+    is in gzip, as the redrive folder is; those bytes are of the text, see ``PACKED``.
     """
+    packed_bytes = max(1, max_bytes_per_trigger // PACKED) if max_bytes_per_trigger else None
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     elif streaming and max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", packed_bytes if packed else max_bytes_per_trigger)
     if streaming and archive_dir:
         # S3: move each fully processed input file to the archive folder
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
@@ -184,7 +191,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, streaming
     if redrive:
         back = spark.readStream if streaming else spark.read
         if streaming and max_bytes_per_trigger:
-            back = back.option("maxBytesPerTrigger", max_bytes_per_trigger)
+            back = back.option("maxBytesPerTrigger", packed_bytes)
         lines = lines.unionByName(back.schema(REDRIVE).option("recursiveFileLookup", "true").json(redrive))
     if envelope:
         rest = [c for c in lines.columns if c != "value"]

@@ -33,7 +33,7 @@ from cadenza.functions.derive_full import raw_music_events
 from cadenza.functions.derive_simple import loose_parse_b, processed_events
 from cadenza.operators import enrich, metrics, validate
 from cadenza.schemas import EVENT_A, EVENT_B
-from cadenza.session import checkpoint_path
+from cadenza.session import SHUFFLE_CLEANUP, checkpoint_path
 from cadenza.sources import messages, sinks
 from cadenza.streaming import window_state
 
@@ -149,9 +149,9 @@ def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
     some out.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        good, bad = validate.split_valid(batch)
+        held = (batch if outputs else bad).persist()  # valid events are held for their tables only
         try:
-            good, bad = validate.split_valid(batch)
             good = good.drop("received_at")
             raw = sinks.with_event_date(raw_music_events(good, ["batch_file"]))
             if "raw" in outputs:
@@ -170,7 +170,7 @@ def fan_out_batch(out_root: str, lateness: str | None = None, attempts: int = 1,
                 counted.unpersist()
             _commit(batch.sparkSession, out_root, batch_id)
         finally:
-            batch.unpersist()
+            held.unpersist()
     return run
 
 
@@ -221,7 +221,7 @@ def _write_failed(bad: DataFrame, out_root: str, batch_id: int, attempts: int) -
     if attempts > 1:
         sinks.write_batch(bad.select(F.md5("raw_value").alias("message_id"), "attempt", "errors", last.alias("final"), "received_at"), out_root, "attempts", batch_id)
         (bad.where(~last).select(F.col("raw_value").alias("value"), (F.col("attempt") + 1).alias("attempt"), "batch_file")
-         .write.mode("overwrite").json(f"{redrive_folder(out_root)}/batch-{batch_id}"))
+         .write.mode("overwrite").json(f"{redrive_folder(out_root)}/batch-{batch_id}", compression="gzip"))
         bad = bad.where(last)
     sinks.write_batch(bad, out_root, "dead_letters", batch_id)
 
@@ -251,12 +251,15 @@ def read_committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session for a stateful query: state in RocksDB, in as many partitions as the cluster
-    has cores (a checkpoint fixes that number); the caller's session keeps its settings."""
+    has cores (a checkpoint fixes that number); the caller's session keeps its settings. The
+    shuffles of a micro-batch go with it, and its tables are in zstd."""
     own = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")  # a lookup less for each row kept
+    own.conf.set(SHUFFLE_CLEANUP, "true")
+    own.conf.set("spark.sql.parquet.compression.codec", "zstd")
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     return own
 

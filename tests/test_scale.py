@@ -2,13 +2,14 @@
 
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from cadenza.operators import daily
+from cadenza.operators import daily, validate
 from cadenza.plans import queries
-from cadenza.sources import messages, tables
+from cadenza.sources import messages, sinks, tables
 from cadenza.sources.adapter import nested_events_a, read_events
 from cadenza.streaming import compaction
 from cadenza.streaming import pipeline as stream
@@ -16,8 +17,25 @@ from cadenza.streaming import pipeline as stream
 SF = "/root/testdata/sf0.001"
 
 
-def land(df, path):
-    df.coalesce(1).write.mode("append").text(path)
+def land(df, path, **options):
+    df.coalesce(1).write.mode("append").text(path, **options)
+
+
+def files_in(path, ending=""):
+    return [f"{d}/{f}" for d, _, names in os.walk(path) for f in names if not f.startswith(("_", ".")) and f.endswith(ending)]
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def removed(spark, before):
+    """No shuffle files but those of ``before``; removal may lag behind."""
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return not left
 
 
 def test_more_rows_make_more_scan_tasks(spark, monkeypatch):
@@ -86,3 +104,43 @@ def test_compaction_cuts_ranges_for_tasks_not_files(spark, monkeypatch):
     files = [f for _, _, names in os.walk(packed) for f in names if f.endswith(".parquet")]
     assert len(files) > 60  # the files stay as small as they were asked for
     assert compaction.read_compacted(spark, root, "raw_music_events").count() == 1000
+
+
+def test_messages_that_come_back_are_packed(spark):
+    root = tempfile.mkdtemp(prefix="cadenza-redrive-")
+    broken = spark.range(300).select(F.concat(F.lit("broken message "), "id", F.lit(" of a sender")).alias("value"))
+    land(broken, f"{root}/landing")
+    before = shuffle_files(spark)
+    stream.drain(stream.start_full_pipeline, spark, f"{root}/landing", f"{root}/out", outputs=[], attempts=3)
+    assert removed(spark, before)  # the shuffles of its batches
+    back = files_in(f"{root}/out/redrive")
+    assert back and all(f.endswith(".json.gz") for f in back)
+    assert sum(map(os.path.getsize, back)) < 2 * sum(map(os.path.getsize, files_in(f"{root}/landing")))  # two times each
+    log = sinks.read_batches(spark, f"{root}/out", "attempts").groupBy("message_id").agg(F.count("*").alias("n"))
+    assert log.count() == 300 and {r.n for r in log.collect()} == {3}
+    assert sinks.read_batches(spark, f"{root}/out", "dead_letters").distinct().count() == 300
+
+
+def test_a_packed_landing_is_bounded_by_its_text(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="cadenza-packed-")
+    text = messages.to_json_text(nested_events_a(read_events(spark, SF).where("event_id < 30")))
+    number = F.regexp_extract("value", "evt-([0-9]+)", 1).cast("int") % 3
+    for i in range(3):
+        land(text.where(number == i), f"{root}/landing", compression="gzip")
+    files = files_in(f"{root}/landing")
+    monkeypatch.setattr(stream, "BATCH_BYTES", sum(map(os.path.getsize, files)))  # a file of it as text
+    stream.drain(stream.start_full_pipeline, spark, f"{root}/landing", f"{root}/out", outputs=["raw"], packed=True)
+    rows = stream.read_committed(spark, f"{root}/out", "raw_music_events")
+    assert rows.count() == 30 and rows.select("batch_id").distinct().count() == 3
+
+
+def test_only_failed_messages_are_held_where_no_table_takes_events(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="cadenza-held-")
+    text = messages.to_json_text(nested_events_a(read_events(spark, SF).where("event_id < 9")))
+    land(text.unionByName(spark.createDataFrame([("broken",)], "value string")), f"{root}/landing")
+    held, frame = [], type(text)
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: held.append(self.count()) or real(self, *a))
+    stream.fan_out_batch(f"{root}/out", outputs=[])(validate.validate(messages.read_landing(spark, f"{root}/landing", stream.EVENT_A))
+                                                    .withColumn("received_at", F.current_timestamp()), 0)
+    assert held == [1] and sinks.read_batches(spark, f"{root}/out", "dead_letters").count() == 1
