@@ -313,7 +313,7 @@ def deliveries(spark: SparkSession, sf_dir: str, to_text) -> tuple[str, int]:
     """A landing of four deliveries, the second eight days of a month first, then the first,
     the last and the third; each brings every tenth event of the one before once more.
 
-    ``to_text`` makes messages of events rows. A file holds rows of one delivery only,
+    ``to_text`` makes messages of events rows, which land in gzip. A file holds rows of one delivery only,
     and files are read in the order in which they were written. Returns the landing and
     the number of files that each delivery has.
     """
@@ -326,7 +326,8 @@ def deliveries(spark: SparkSession, sf_dir: str, to_text) -> tuple[str, int]:
     for q in (1, 0, 3, 2):
         own = quarter == q
         rows = events.where(own if before is None else own | (quarter == before) & (F.col("event_id") % 10 == 0))
-        to_text(rows.repartition(files)).write.mode("append").text(path)
+        with shuffles_removed(spark):
+            to_text(rows.repartition(files)).write.mode("append").text(path, compression="gzip")
         before = q
     return path, files
 

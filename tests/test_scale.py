@@ -144,3 +144,18 @@ def test_only_failed_messages_are_held_where_no_table_takes_events(spark, monkey
     stream.fan_out_batch(f"{root}/out", outputs=[])(validate.validate(messages.read_landing(spark, f"{root}/landing", stream.EVENT_A))
                                                     .withColumn("received_at", F.current_timestamp()), 0)
     assert held == [1] and sinks.read_batches(spark, f"{root}/out", "dead_letters").count() == 1
+
+
+def test_deliveries_are_packed_and_leave_no_shuffles(spark):
+    before = shuffle_files(spark)
+    landing, files = queries.landed_deliveries_a(spark, SF)
+    events = read_events(spark, SF)
+    quarter = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    again = events.where((F.col("event_id") % 10 == 0) & (quarter != 2)).count()  # the third quarter comes last
+    assert len(files_in(landing, ".txt.gz")) == len(files_in(landing)) == 4 * files
+    assert spark.read.text(landing).count() == events.count() + again
+    out = queries.streamed(spark, stream.start_full_pipeline, (landing, files), outputs=["enriched"])
+    assert removed(spark, before)
+    for table in ("enriched_topic", "enriched_music_events"):
+        assert files_in(f"{out}/{table}", ".zstd.parquet") == files_in(f"{out}/{table}", ".parquet")
+        assert stream.read_committed(spark, out, table).select("event_id").distinct().count() > 700
